@@ -17,6 +17,7 @@ from ..sources import ingest as ing
 from ..sources import schemas
 from ..sources import tables
 from ..streaming.upsert import stream_upsert
+from . import marts as _mart_relations  # noqa: F401  (declares x_m1)
 from .base import (RELATIONS, BATCH, Inputs, dim_user_sql, fact_answers_sql, fact_questions_sql, query, r,
                    raw_sql, stg_answers_sql, stg_questions_sql, stg_users_sql)
 

@@ -65,10 +65,13 @@ class DuplicateKeyError(ValueError):
     """A change set names the same key twice, so the merge has no single answer."""
 
 
-def reject_duplicate_keys(source: DataFrame, key: str) -> None:
-    twice = source.groupBy(key).agg(F.count("*").alias("n")).filter("n > 1")
-    if not twice.isEmpty():
+def reject_duplicate_keys(source: DataFrame, key: str) -> int:
+    """Row count of the change set; raises if a key occurs twice. One aggregate, one value back."""
+    per_key = source.groupBy(key).agg(F.count("*").alias("n"))
+    seen = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.max("n").alias("most")).first()
+    if (seen["most"] or 0) > 1:
         raise DuplicateKeyError(f"change set has more than one row for a {key}")
+    return seen["rows"]
 
 
 def evolve(df: DataFrame, like: DataFrame) -> DataFrame:
@@ -161,17 +164,14 @@ def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule:
 
     spark = source.sparkSession
     source = stored(source)
-    rows = source.count()
+    rows = reject_duplicate_keys(source, rule.key)
     result = MergeResult(processed=rows)
-    path = tables.table_path(root, layer, table)
-    if not _exists(spark, path):
-        reject_duplicate_keys(source, rule.key)
+    if not _exists(spark, tables.table_path(root, layer, table)):
         tables.store(source, root, layer, table)
         result.inserted = rows
         return result
     if rows == 0:
         return result
-    reject_duplicate_keys(source, rule.key)
 
     between = target_between[1:] if target_between else None
     span = None
@@ -184,41 +184,44 @@ def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule:
         target = tables.read_layer(spark, root, layer, table)
         merged = stored(merge_upsert(target, source, rule, span, False, rows))
         counts = action_counts(merged)
-        tables.store(merged.drop("_action"), root, layer, table)
+        if set(counts) - {"KEEP"}:
+            tables.store(merged.drop("_action"), root, layer, table)
     else:
         part = tables.PARTITIONS[table][0]
-        whole = tables.read_layer(spark, root, layer, table, between=between, keep_partition=True)
+        near = tables.read_layer(spark, root, layer, table, between=between, keep_partition=True)
+        near = near if span is None else near.filter(span)
         keys = source.select(rule.key)
-        keys = F.broadcast(keys) if rows <= SMALL_CHANGE_SET else keys
-        hit = whole if span is None else whole.filter(span)
-        hit = hit.join(keys, rule.key, "left_semi").select(F.col(part).alias("p"))
-        new = source.select(value.alias("p"))
-        # one value per touched partition folder
-        touched = [r["p"] for r in hit.union(new).distinct().collect()]
+        hit = near.join(F.broadcast(keys) if rows <= SMALL_CHANGE_SET else keys, rule.key, "left_semi")
+        # one value per touched partition folder reaches the driver
+        touched = hit.select(F.col(part).alias("p")).union(source.select(value.alias("p"))).distinct()
+        touched = [r["p"] for r in touched.collect()]
         everything = tables.read_layer(spark, root, layer, table, keep_partition=True)
         slice_ = everything.filter(F.col(part).isin(touched)).drop(part)
         merged = stored(merge_upsert(slice_, source, rule, span, False, rows))
-        counts = action_counts(merged)
-        if counts.get("INSERT", 0) + counts.get("UPDATE", 0):
-            _replace_partitions(merged.drop("_action"), root, layer, table, touched)
-        result.partitions = sorted(touched)
+        placed = merged.withColumn(part, value)
+        groups = placed.groupBy(part, "_action").agg(F.count("*").alias("n")).collect()
+        counts: dict[str, int] = {}
+        for g in groups:
+            counts[g["_action"]] = counts.get(g["_action"], 0) + g["n"]
+        if set(counts) - {"KEEP"}:
+            # folders that only keep rows need no rewrite, unless rows moved out of them
+            path = tables.table_path(root, layer, table)
+            moved = rule_moves_rows(rule, table)
+            dirty = {g[part] for g in groups if moved or g["_action"] != "KEEP"}
+            out = placed.filter(F.col(part).isin(list(dirty))).drop("_action")
+            tables.write_layer(out, path, part, tables.CLUSTERS.get(table), dynamic=True)
+            for empty in set(touched) - {g[part] for g in groups}:
+                _delete(spark, f"{path}/{part}={empty}")
+            result.partitions = sorted(dirty)
     result.inserted = counts.get("INSERT", 0)
     result.updated = counts.get("UPDATE", 0)
     return result
 
 
-def _replace_partitions(rows: DataFrame, root: str, layer: str, table: str, touched: list) -> None:
-    """Write the touched partitions; one left without rows is removed afterwards."""
+def rule_moves_rows(rule: MergeRule, table: str) -> bool:
+    """Whether an update can change the partition a row belongs to."""
     from ..sources import tables
-
-    spark = rows.sparkSession
-    part = tables.PARTITIONS[table][0]
-    out = rows.withColumn(part, tables.partition_value(table))
-    tables.write_layer(out, tables.table_path(root, layer, table), part, tables.CLUSTERS.get(table),
-                       dynamic=True)
-    left = {r[part] for r in out.select(part).distinct().collect()}
-    for gone in set(touched) - left:
-        _delete(spark, f"{tables.table_path(root, layer, table)}/{part}={gone}")
+    return tables.PARTITIONS[table][1] in rule.overwrite
 
 
 def _fs(spark, path):

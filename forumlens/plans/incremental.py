@@ -145,13 +145,11 @@ def run_incremental(spark: SparkSession, sources: refresh.Sources, root: str, as
     refresh.check_warehouse(spark, root, as_of, settings)
     if with_marts:
         refresh.refresh_marts(spark, root, as_of, settings)
-    log = None
-    for table, result, mark in steps:
-        log = tables.append_audit_log(spark, log_path, {
-            "step_name": table, "rows_processed": result.processed, "rows_inserted": result.inserted,
-            "rows_updated": result.updated,
-            "watermark_used": dt.datetime.fromisoformat(mark) if mark else None})
-    return log
+    return tables.append_audit_log(spark, log_path, *[{
+        "step_name": table, "rows_processed": result.processed, "rows_inserted": result.inserted,
+        "rows_updated": result.updated,
+        "watermark_used": dt.datetime.fromisoformat(mark) if mark else None}
+        for table, result, mark in steps])
 
 
 def rebuild_activity(spark: SparkSession, root: str, span: tuple[Moment, Moment]) -> None:

@@ -157,18 +157,15 @@ def drop_expired(spark: SparkSession, root: str, table: str, days: int = RAW_RET
     return sorted(removed)
 
 
-def audit_row(spark: SparkSession, run: dict) -> DataFrame:
-    """One log row; absent fields are NULL, identity and time are filled in."""
-    row = {"run_id": str(uuid.uuid4()), "status": "SUCCESS",
-           "run_timestamp": dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)}
-    row.update(run)
-    return spark.createDataFrame([tuple(row.get(n) for n in schemas.AUDIT_LOG.names)],
-                                 schemas.AUDIT_LOG)
-
-
-def append_audit_log(spark: SparkSession, path: str, run: dict) -> DataFrame:
-    """Append a run to the log, creating the log on first use."""
-    audit_row(spark, run).coalesce(1).write.mode("append").parquet(path)
+def append_audit_log(spark: SparkSession, path: str, *runs: dict) -> DataFrame:
+    """Append one row per step to the log, creating the log on first use.
+
+    Absent fields are NULL; identity, time and status are filled in.
+    """
+    now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
+    common = {"run_id": str(uuid.uuid4()), "run_timestamp": now, "status": "SUCCESS"}
+    rows = [tuple((common | run).get(n) for n in schemas.AUDIT_LOG.names) for run in runs]
+    spark.createDataFrame(rows, schemas.AUDIT_LOG).coalesce(1).write.mode("append").parquet(path)
     return spark.read.schema(schemas.AUDIT_LOG).parquet(path)
 
 
