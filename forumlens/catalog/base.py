@@ -32,6 +32,12 @@ class Inputs:
     def scratch(self, name: str) -> str:
         return f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
 
+    def keep(self, *names: str) -> "Inputs":
+        """Store the named relations once; whatever is derived later reads the stored copy."""
+        for name in names:
+            self.__dict__[name] = stored(getattr(self, name))
+        return self
+
     # sources
     @cached_property
     def src_questions(self):
@@ -82,7 +88,7 @@ class Inputs:
 
     @cached_property
     def dim_tag(self):
-        return dimensions.build_dim_tag(self.stg_questions, fx.AS_OF)
+        return dimensions.build_dim_tag(self.fact_questions, fx.AS_OF)
 
     @cached_property
     def dim_date(self):
@@ -100,18 +106,9 @@ class Inputs:
     def user_activity(self):
         return facts.build_user_activity(self.fact_questions, self.fact_answers)
 
-    # stored copies for queries that read a relation several times
-    @cached_property
-    def stored_questions(self):
-        return stored(self.fact_questions)
-
-    @cached_property
-    def stored_growth(self):
-        return stored(marts.tag_growth(self.stored_questions, fx.MIN_YEAR))
-
     @cached_property
-    def tags_of_stored(self):
-        return dimensions.build_dim_tag(self.stored_questions, fx.AS_OF)
+    def growth(self):
+        return marts.tag_growth(self.fact_questions, fx.MIN_YEAR)
 
 
 def query(name: str, sql: str | None = None):

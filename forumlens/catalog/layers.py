@@ -4,14 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions.numbers import fixed_sum
-from ..operators.relational import one_row
-from ..plans import dimensions, facts, quality, refresh, staging
+from ..plans import dimensions, quality, refresh, staging
 from ..plans.quality import Bounds, CHECKS
 from ..session import stored
 from ..sources import fixtures as fx
 from ..sources import tables
-from .base import Inputs, big, key_sql, query, r, share
+from .base import Inputs, big, key_sql, query, share
 
 # ------------------------------------------------------------------- raw layer
 query("ingest_raw_questions", "SELECT * FROM x_raw_q")(lambda x: x.raw_questions)
@@ -273,9 +271,8 @@ _REPORT = _report_sql(_COUNTS)
 
 
 def _report(x: Inputs):
-    fq, fa = x.stored_questions, stored(x.fact_answers)
-    calendar = dimensions.build_dim_date(x.spark, "1998-01-01")
-    return fq, fa, x.dim_user, calendar
+    x.keep("stg_questions", "fact_answers", "dim_user")
+    return x.fact_questions, x.fact_answers, x.dim_user, dimensions.build_dim_date(x.spark, "1998-01-01")
 
 
 @query("dq_report", _REPORT)

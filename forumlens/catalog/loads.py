@@ -233,7 +233,7 @@ FROM (SELECT DISTINCT d.* FROM x_dt d JOIN x_tagged t ON t.tag_name = d.tag_name
       WHERE t.creation_date < DATE '1996-01-01' AND t.primary_tag = 'python') o
 FULL JOIN x_dt n ON n.tag_name = o.tag_name""")
 def merge_dim_tag(x: Inputs):
-    fq = x.stored_questions
+    fq = x.keep("fact_questions").fact_questions
     early = fq.filter((F.col("creation_date") < "1996-01-01") & (F.col("primary_tag") == "python"))
     merged = merge_upsert(dimensions.build_dim_tag(early, T0), dimensions.build_dim_tag(fq, T1), inc.DIM_TAG)
     return merged.select("tag_name", "tag_category", "_action")
@@ -252,7 +252,8 @@ FULL JOIN (SELECT *, engagement_score AS e FROM x_ua) n
   ON n.user_id = o.user_id AND n.activity_date = o.activity_date""")
 def merge_user_activity(x: Inputs):
     """Activity known from answers only, then from both kinds of posts."""
-    fq, fa = x.stored_questions, stored(x.fact_answers)
+    x.keep("stg_questions", "fact_answers")
+    fq, fa = x.fact_questions, x.fact_answers
     known = fq.filter(F.lit(False))
     old = inc.activity_keyed(facts.build_user_activity(known, fa))
     new = inc.activity_keyed(facts.build_user_activity(fq, fa))

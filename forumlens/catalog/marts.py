@@ -182,13 +182,13 @@ query("growth_classification", "SELECT question_year, tag_name, growth_classific
     lambda x: marts.tag_growth(x.fact_questions, fx.MIN_YEAR).select(
         "question_year", "tag_name", "growth_classification"))
 
-query("mart_trending_technologies", "FROM x_m2")(lambda x: marts.trending(x.stored_growth, x.tags_of_stored))
+query("mart_trending_technologies", "FROM x_m2")(lambda x: marts.trending(x.keep("fact_questions", "growth").growth, x.dim_tag))
 query("trend_tier", "SELECT tag_name, popularity_rank, trend_tier FROM x_m2")(
-    lambda x: marts.trending(x.stored_growth, x.tags_of_stored).select("tag_name", "popularity_rank", "trend_tier"))
+    lambda x: marts.trending(x.keep("fact_questions", "growth").growth, x.dim_tag).select("tag_name", "popularity_rank", "trend_tier"))
 
 
 def _normalised(x: Inputs):
-    latest = marts.analysis_slice(x.stored_growth, x.tags_of_stored)
+    latest = marts.analysis_slice(x.keep("fact_questions", "growth").growth, x.dim_tag)
     return marts.normalised_metrics(stored(latest))
 
 
@@ -204,40 +204,40 @@ query("knowledge_gap_score", "SELECT tag_name, knowledge_gap_score FROM x_gaps")
         "tag_name", knowledge_gap().alias("knowledge_gap_score")))
 
 query("mart_top_contributors", "FROM x_m4")(
-    lambda x: marts.top_contributors(x.fact_answers, x.fact_questions, x.dim_user, fx.AS_OF))
+    lambda x: marts.top_contributors(x.keep("stg_questions").fact_answers, x.fact_questions, x.dim_user, fx.AS_OF))
 query("mart_top_contributors_distributed", "FROM x_m4")(
-    lambda x: marts.top_contributors(x.fact_answers, x.fact_questions, x.dim_user, fx.AS_OF,
+    lambda x: marts.top_contributors(x.keep("stg_questions").fact_answers, x.fact_questions, x.dim_user, fx.AS_OF,
                                      small_table=0, small_lookup=0))
-query("contributor_combined", _COMBINED)(lambda x: marts.contributor_combined(x.fact_answers, x.fact_questions))
+query("contributor_combined", _COMBINED)(lambda x: marts.contributor_combined(x.keep("stg_questions").fact_answers, x.fact_questions))
 query("contribution_score", "SELECT user_id, contribution_score FROM x_profiles")(
-    lambda x: marts.contributor_combined(x.fact_answers, x.fact_questions).filter("total_answers >= 1")
+    lambda x: marts.contributor_combined(x.keep("stg_questions").fact_answers, x.fact_questions).filter("total_answers >= 1")
     .join(x.dim_user.select("user_id", "reputation"), "user_id")
     .select("user_id", contribution_score().alias("contribution_score")))
 query("activity_consistency", "SELECT user_id, activity_consistency_pct FROM x_profiles")(
-    lambda x: marts.contributor_profiles(marts.contributor_combined(x.fact_answers, x.fact_questions),
+    lambda x: marts.contributor_profiles(marts.contributor_combined(x.keep("stg_questions").fact_answers, x.fact_questions),
                                          x.dim_user, fx.AS_OF).select("user_id", "activity_consistency_pct"))
 
-query("mart_contributor_retention", "FROM x_m5")(lambda x: marts.contributor_retention(x.user_activity))
+query("mart_contributor_retention", "FROM x_m5")(lambda x: marts.contributor_retention(x.keep("stg_questions").user_activity))
 query("retention_of_events", """
 SELECT user_id, CAST(date_trunc('month', activity_date) AS DATE) AS activity_month,
   CAST(sum(questions_posted) AS BIGINT) AS monthly_questions, CAST(sum(answers_posted) AS BIGINT) AS monthly_answers,
   CAST(sum(total_posts) AS BIGINT) AS total_monthly_posts FROM x_activity WHERE user_id > 0 GROUP BY ALL""")(
     lambda x: marts.monthly_activity(x.src_activity).drop("peak_daily_engagement"))
 
-query("question_latency", "FROM x_latency")(lambda x: marts.question_latency(x.fact_questions, x.fact_answers))
+query("question_latency", "FROM x_latency")(lambda x: marts.question_latency(x.keep("stg_questions").fact_questions, x.fact_answers))
 query("question_latency_exact", "FROM x_latency_exact")(
-    lambda x: marts.question_latency(x.fact_questions, x.fact_answers, use_timestamps=True))
+    lambda x: marts.question_latency(x.keep("stg_questions").fact_questions, x.fact_answers, use_timestamps=True))
 query("mart_answer_latency", "FROM x_m6")(
-    lambda x: marts.answer_latency(x.stored_questions, x.fact_answers, exact=True))
+    lambda x: marts.answer_latency(x.keep("stg_questions").fact_questions, x.fact_answers, exact=True))
 query("mart_answer_latency_exact_times", _latency_by_tag("FROM x_latency_exact"))(
-    lambda x: marts.answer_latency(x.stored_questions, x.fact_answers, exact=True, use_timestamps=True))
-query("mart_answer_latency_approx")(lambda x: marts.answer_latency(x.fact_questions, x.fact_answers))
+    lambda x: marts.answer_latency(x.keep("stg_questions").fact_questions, x.fact_answers, exact=True, use_timestamps=True))
+query("mart_answer_latency_approx")(lambda x: marts.answer_latency(x.keep("stg_questions").fact_questions, x.fact_answers))
 
 
 def _health_parts(x: Inputs):
-    fq = x.stored_questions
+    fq = x.keep("stg_questions").fact_questions
     return (marts.tag_answer_stats(fq), marts.tag_latency_stats(fq, x.fact_answers, exact=True),
-            marts.tag_growth(fq, fx.MIN_YEAR), x.tags_of_stored, fx.AS_OF)
+            x.growth, x.dim_tag, fx.AS_OF)
 
 
 query("mart_community_health", "FROM x_m7")(lambda x: marts.community_health(*_health_parts(x)))
@@ -265,19 +265,19 @@ SELECT (SELECT count(DISTINCT question_id) FROM x_fq) AS total_questions,
   (SELECT {r("avg(engagement_score)", 2)} FROM x_fq) AS avg_question_engagement_score,
   (SELECT max(creation_date) FROM x_fq) AS last_question_date,
   (SELECT max(creation_date) FROM x_fa) AS last_answer_date""")(
-    lambda x: kpis.platform_overview(x.stored_questions, x.fact_answers, x.dim_user, x.tags_of_stored))
+    lambda x: kpis.platform_overview(x.keep("stg_questions").fact_questions, x.fact_answers, x.dim_user, x.dim_tag))
 
 _LATEST = "question_year = (SELECT max(question_year) - 1 FROM x_m1)"
 _G = "tag_name, question_year, question_count, prior_year_question_count, yoy_growth_rate_pct, growth_classification"
 query("kpi_02_fastest_growing", f"""
 SELECT {_G} FROM x_m1 WHERE {_LATEST} AND yoy_growth_rate_pct IS NOT NULL
-ORDER BY yoy_growth_rate_pct DESC, tag_name LIMIT 10""")(lambda x: kpis.fastest_growing(x.stored_growth))
+ORDER BY yoy_growth_rate_pct DESC, tag_name LIMIT 10""")(lambda x: kpis.fastest_growing(x.keep("growth").growth))
 query("kpi_03_declining", f"""
 SELECT {_G} FROM x_m1 WHERE {_LATEST} AND yoy_growth_rate_pct < 0
-ORDER BY yoy_growth_rate_pct, tag_name LIMIT 10""")(lambda x: kpis.declining(x.stored_growth))
+ORDER BY yoy_growth_rate_pct, tag_name LIMIT 10""")(lambda x: kpis.declining(x.keep("growth").growth))
 query("kpi_04_highest_engagement", f"""
 SELECT tag_name, question_year, avg_engagement, question_count, answer_rate_pct FROM x_m1 WHERE {_LATEST}
-ORDER BY avg_engagement DESC, tag_name LIMIT 10""")(lambda x: kpis.highest_engagement(x.stored_growth))
+ORDER BY avg_engagement DESC, tag_name LIMIT 10""")(lambda x: kpis.highest_engagement(x.keep("growth").growth))
 query("kpi_05_highest_unanswered", """
 SELECT tag_name, total_questions, unanswered_questions, unanswered_pct, knowledge_gap_score FROM x_gaps
 ORDER BY unanswered_pct DESC, tag_name LIMIT 10""")(
@@ -286,20 +286,20 @@ query("kpi_06_top_contributors", """
 SELECT user_id, display_name, reputation, total_answers, accepted_answers, contribution_score,
   rank_by_contribution_score FROM x_m4 ORDER BY contribution_score DESC, user_id LIMIT 10""")(
     lambda x: kpis.leading_contributors(
-        marts.top_contributors(x.fact_answers, x.fact_questions, x.dim_user, fx.AS_OF)))
+        marts.top_contributors(x.keep("stg_questions").fact_answers, x.fact_questions, x.dim_user, fx.AS_OF)))
 query("kpi_07_healthiest", """
 SELECT tag_name, community_health_score, health_classification, health_rank FROM x_m7
 ORDER BY health_rank, tag_name LIMIT 10""")(lambda x: kpis.healthiest(marts.community_health(*_health_parts(x))))
 query("kpi_08_retention_trend", """
 SELECT activity_month, total_active_contributors, retained_contributors, month_over_month_retention_pct,
   rolling_3m_avg_contributors FROM x_m5""")(
-    lambda x: kpis.retention_trend(marts.contributor_retention(x.user_activity)))
+    lambda x: kpis.retention_trend(marts.contributor_retention(x.keep("stg_questions").user_activity)))
 query("kpi_09_emerging", """
 SELECT tag_name, min(question_year) AS first_year, CAST(sum(question_count) AS BIGINT) AS total_questions FROM x_m1
 GROUP BY 1 HAVING min(question_year) > (SELECT max(question_year) FROM x_m1) - 7""")(
-    lambda x: kpis.emerging(x.stored_growth, years=7))
+    lambda x: kpis.emerging(x.keep("growth").growth, years=7))
 query("kpi_10_losing_popularity", """
 SELECT tag_name, question_year, question_count, yoy_growth_rate_pct, prior_growth_rate_pct FROM (
   SELECT *, lag(yoy_growth_rate_pct) OVER (PARTITION BY tag_name ORDER BY question_year) AS prior_growth_rate_pct
   FROM x_m1) WHERE yoy_growth_rate_pct < 0 AND prior_growth_rate_pct < 0""")(
-    lambda x: kpis.losing_popularity(x.stored_growth))
+    lambda x: kpis.losing_popularity(x.keep("growth").growth))

@@ -51,12 +51,12 @@ FULL JOIN (SELECT user_id, count(*) AS total_questions_asked, {r("avg(score)", 2
   ON a.user_id = q.user_id"""
 
 query("contributor_full_outer", _COMBINED)(
-    lambda x: marts.contributor_combined(x.fact_answers, x.fact_questions))
+    lambda x: marts.contributor_combined(x.keep("stg_questions").fact_answers, x.fact_questions))
 
 query("contributor_profile_join", f"""
 SELECT c.user_id, display_name, reputation, total_answers, total_questions_asked
 FROM ({_COMBINED}) c JOIN x_du u ON u.user_id = c.user_id""")(
-    lambda x: marts.contributor_combined(x.fact_answers, x.fact_questions)
+    lambda x: marts.contributor_combined(x.keep("stg_questions").fact_answers, x.fact_questions)
     .join(x.dim_user.select("user_id", "display_name", "reputation"), "user_id")
     .select("user_id", "display_name", "reputation", "total_answers", "total_questions_asked"))
 
@@ -79,18 +79,18 @@ query("cohort_join", f"""
 SELECT m.user_id, m.activity_month, f.cohort_month FROM ({_MONTHS}) m
 JOIN (SELECT user_id, min(activity_month) AS cohort_month FROM ({_MONTHS}) GROUP BY user_id) f
   ON f.user_id = m.user_id""")(
-    lambda x: marts.cohort_months(x.user_activity).select("user_id", "activity_month", "cohort_month"))
+    lambda x: marts.cohort_months(x.keep("stg_questions").user_activity).select("user_id", "activity_month", "cohort_month"))
 
-query("cohort_months", _COHORT)(lambda x: marts.cohort_months(x.user_activity))
+query("cohort_months", _COHORT)(lambda x: marts.cohort_months(x.keep("stg_questions").user_activity))
 
 query("lag_lead_dates", f"""
 SELECT user_id, activity_month, prior_active_month, next_active_month FROM ({_COHORT})""")(
-    lambda x: marts.cohort_months(x.user_activity).select(
+    lambda x: marts.cohort_months(x.keep("stg_questions").user_activity).select(
         "user_id", "activity_month", "prior_active_month", "next_active_month"))
 
 query("contributor_type", f"""
 SELECT contributor_type, months_since_first_activity, count(*) AS n FROM ({_COHORT}) GROUP BY ALL""")(
-    lambda x: marts.cohort_months(x.user_activity)
+    lambda x: marts.cohort_months(x.keep("stg_questions").user_activity)
     .groupBy("contributor_type", "months_since_first_activity").agg(F.count("*").alias("n")))
 
 query("tag_dim_lookup", """
@@ -99,9 +99,9 @@ SELECT t.question_id, t.tag_name, d.tag_category FROM x_tagged t LEFT JOIN x_dt
 
 
 def _tag_lookup(x: Inputs):
-    fq = x.stored_questions
-    return rel.explode_tags(fq, ["question_id"]).drop("first_in_post").join(
-        dimensions.build_dim_tag(fq).select("tag_name", "tag_category"), "tag_name", "left")
+    fq = x.keep("fact_questions").fact_questions
+    return rel.explode_tags(fq, ["question_id"]).join(
+        x.dim_tag.select("tag_name", "tag_category"), "tag_name", "left")
 
 
 query("question_first_answer_join", """
@@ -133,7 +133,7 @@ def _last_full_year(x: Inputs):
 
 # ---------------------------------------------------------------- aggregations
 query("explode_tags", "SELECT question_id, tag_name FROM x_tagged")(
-    lambda x: rel.explode_tags(x.fact_questions, ["question_id"]).drop("first_in_post"))
+    lambda x: rel.explode_tags(x.fact_questions, ["question_id"]))
 
 query("distinct_tags", "SELECT DISTINCT tag_name FROM x_tagged")(
     lambda x: dimensions.distinct_tags(x.fact_questions))

@@ -173,7 +173,6 @@ def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule:
     if rows == 0:
         return result
 
-    between = target_between[1:] if target_between else None
     span = None
     if target_between:
         column, lo, hi = target_between
@@ -188,14 +187,15 @@ def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule:
             tables.store(merged.drop("_action"), root, layer, table)
     else:
         part = tables.PARTITIONS[table][0]
-        near = tables.read_layer(spark, root, layer, table, between=between, keep_partition=True)
-        near = near if span is None else near.filter(span)
+        everything = tables.read_layer(spark, root, layer, table, keep_partition=True)
+        near = everything
+        if span is not None:
+            near = tables.folders_between(everything, table, lo, hi).filter(span)
         keys = source.select(rule.key)
         hit = near.join(F.broadcast(keys) if rows <= SMALL_CHANGE_SET else keys, rule.key, "left_semi")
         # one value per touched partition folder reaches the driver
         touched = hit.select(F.col(part).alias("p")).union(source.select(value.alias("p"))).distinct()
         touched = [r["p"] for r in touched.collect()]
-        everything = tables.read_layer(spark, root, layer, table, keep_partition=True)
         slice_ = everything.filter(F.col(part).isin(touched)).drop(part)
         merged = stored(merge_upsert(slice_, source, rule, span, False, rows))
         placed = merged.withColumn(part, value)

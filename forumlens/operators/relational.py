@@ -9,7 +9,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions.numbers import rnd
-from ..functions.text import normal_tag, tag_parts
+from ..functions.text import stripped, tag_parts
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
@@ -25,19 +25,26 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_by: Sequence[str],
     return df.withColumn("_copy", F.row_number().over(newest)).filter("_copy = 1").drop("_copy")
 
 
-def explode_tags(df: DataFrame, keep: Sequence[str] = (), tags: str = "tags_clean") -> DataFrame:
-    """One row per post and tag: ``keep``, ``tag_name``, ``first_in_post``.
+def explode_tags(df: DataFrame, keep: Sequence[str] = (), tags: str = "tags_clean",
+                 mark_first: bool = False) -> DataFrame:
+    """One row per post and tag: ``keep`` and ``tag_name``, lower-cased and stripped.
 
-    A tag that a post names twice gives two rows, of which one has ``first_in_post``.
+    A tag that a post names twice gives two rows; ``mark_first`` adds ``first_in_post``,
+    true for one of them. The tag list is tidied as one string, which stays in compiled
+    code where a function over array elements would not.
     """
     tagged = df.filter(F.col(tags).isNotNull() & (F.col(tags) != ""))
-    names = F.transform(tag_parts(tags), normal_tag)
-    listed = tagged.select(*keep, names.alias("_names"))
-    pairs = F.transform("_names", lambda t, i: F.struct(
-        t.alias("tag_name"), (F.array_position("_names", t) == i + 1).alias("first_in_post")))
-    return (listed.select(*keep, F.explode(pairs).alias("_pair"))
-            .select(*keep, "_pair.tag_name", "_pair.first_in_post")
-            .filter(F.col("tag_name") != ""))
+    text = F.lower(stripped(tags))
+    spaced = F.regexp_replace(text, r"(?U)\s*\|\s*", "|")
+    parts = tag_parts(F.when(text.rlike(r"(?U)\s"), spaced).otherwise(text))
+    if not mark_first:
+        rows = tagged.select(*keep, F.explode(parts).alias("tag_name"))
+    else:
+        listed = tagged.select(*keep, parts.alias("_parts"))
+        placed = listed.select(*keep, "_parts", F.posexplode("_parts").alias("_at", "tag_name"))
+        rows = placed.select(*keep, "tag_name", (F.array_position("_parts", F.col("tag_name"))
+                                                 == F.col("_at") + 1).alias("first_in_post"))
+    return rows.filter(F.col("tag_name") != "")
 
 
 def orphans(child: DataFrame, parent: DataFrame, on: str, parent_key: str | None = None) -> DataFrame:
@@ -89,6 +96,27 @@ def minmax(df: DataFrame, columns: dict[str, str], digits: int = 2) -> DataFrame
     return df.withColumns({new: scaled(source) for new, source in columns.items()})
 
 
+def middle_value(value: str, weight: Column, upto: Column, total: Column,
+                 interpolate: bool = True) -> Column:
+    """Median as an aggregate over (value, weight) rows with their running weight.
+
+    The two middle positions coincide when the total is odd; without interpolation the
+    lower one is taken.
+    """
+    low = F.floor((total + 1) / 2)
+    high = F.floor((total + 2) / 2) if interpolate else low
+    counted = weight > 0
+    return (F.min(F.when(counted & (upto >= low), F.col(value)))
+            + F.min(F.when(counted & (upto >= high), F.col(value)))) / 2.0
+
+
+def running_weight(key: str, value: str, weight: Column) -> tuple[Column, Column]:
+    """Weight up to a row in the order of values, and of the whole group."""
+    group = W.partitionBy(key)
+    upto = F.sum(weight).over(group.orderBy(value).rowsBetween(W.unboundedPreceding, 0))
+    return upto, F.sum(weight).over(group)
+
+
 def grouped_median(df: DataFrame, key: str, value: str, name: str = "median",
                    interpolate: bool = True) -> DataFrame:
     """Exact median per key.
@@ -97,15 +125,7 @@ def grouped_median(df: DataFrame, key: str, value: str, name: str = "median",
     no task holds all the values of a large group in one buffer.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
-    upto = W.partitionBy(key).orderBy(value).rowsBetween(W.unboundedPreceding, 0)
-    running = counts.withColumn("_upto", F.sum("_n").over(upto))
-    total = F.sum("_n").over(W.partitionBy(key))
-    placed = running.withColumn("_total", total)
-    # 1-based middle positions; equal when the count is odd
-    low = F.floor((F.col("_total") + 1) / 2)
-    high = F.floor((F.col("_total") + 2) / 2) if interpolate else low
-    covers_low = F.col("_upto") >= low
-    covers_high = F.col("_upto") >= high
+    upto, total = running_weight(key, value, F.col("_n"))
+    placed = counts.select(key, value, "_n", upto.alias("_upto"), total.alias("_total"))
     return placed.groupBy(key).agg(
-        ((F.min(F.when(covers_low, F.col(value))) + F.min(F.when(covers_high, F.col(value)))) / 2.0)
-        .alias(name))
+        middle_value(value, F.col("_n"), F.col("_upto"), F.col("_total"), interpolate).alias(name))

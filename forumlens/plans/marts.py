@@ -20,7 +20,8 @@ from ..functions.numbers import (clamp, contribution_score, fixed_mean, fixed_su
                                  health_score, knowledge_gap, pct, popularity_score, ratio, rnd,
                                  speed_score)
 from ..operators.ranking import Rank, with_ranks
-from ..operators.relational import explode_tags, first_event, grouped_median, minmax, one_row
+from ..operators.relational import (explode_tags, first_event, middle_value, minmax, one_row,
+                                     running_weight)
 from ..session import stored
 
 
@@ -44,7 +45,8 @@ def tag_year_volume(fact_questions: DataFrame, min_year: int = 2010) -> DataFram
     recent = fact_questions.filter(F.col("creation_date") >= F.make_date(F.lit(min_year), F.lit(1), F.lit(1)))
     pairs = explode_tags(
         recent.withColumn("question_year", F.year("creation_date").cast("long")),
-        ["question_year", "user_id", "score", "view_count", "answer_count", "engagement_score"])
+        ["question_year", "user_id", "score", "view_count", "answer_count", "engagement_score"],
+        mark_first=True)
     per_user = pairs.groupBy("question_year", "tag_name", "user_id").agg(
         F.count_if("first_in_post").alias("questions"),
         F.count_if(F.col("answer_count") > 0).alias("answered"),
@@ -59,24 +61,32 @@ def tag_year_volume(fact_questions: DataFrame, min_year: int = 2010) -> DataFram
         F.sum("answered").alias("answered_questions"))
 
 
+def change_pct(now: str, before: str) -> Column:
+    return pct(F.col(now) - F.col(before), before)
+
+
 def yoy(df: DataFrame, part: str, order: str, value: str, prior: str, growth: str) -> DataFrame:
     """Previous row's value and the percentage change from it."""
     previous = F.lag(value).over(W.partitionBy(part).orderBy(order))
-    return df.withColumn(prior, previous).withColumn(growth, pct(F.col(value) - F.col(prior), F.col(prior)))
+    return df.withColumn(prior, previous).withColumn(growth, change_pct(value, prior))
 
 
 def tag_growth(fact_questions: DataFrame, min_year: int = 2010) -> DataFrame:
     """Yearly volume per tag with change on the previous present year, total to date and rank."""
     volume = tag_year_volume(fact_questions, min_year)
-    history = yoy(volume, "tag_name", "question_year", "question_count",
-                  "prior_year_question_count", "yoy_growth_rate_pct")
-    history = yoy(history, "tag_name", "question_year", "distinct_contributors",
-                  "prior_year_contributors", "contributor_growth_rate_pct")
-    so_far = W.partitionBy("tag_name").orderBy("question_year").rowsBetween(W.unboundedPreceding, 0)
+    by_tag = W.partitionBy("tag_name").orderBy("question_year")
     in_year = W.partitionBy("question_year").orderBy(F.col("question_count").desc())
+    # one pass over each tag's years serves all three columns
+    history = volume.withColumns({
+        "prior_year_question_count": F.lag("question_count").over(by_tag),
+        "prior_year_contributors": F.lag("distinct_contributors").over(by_tag),
+        "cumulative_question_count":
+            F.sum("question_count").over(by_tag.rowsBetween(W.unboundedPreceding, 0))})
     return (history
-            .withColumn("cumulative_question_count", F.sum("question_count").over(so_far))
-            .withColumn("rank_by_volume_in_year", F.rank().over(in_year).cast("long"))
+            .withColumns({
+                "yoy_growth_rate_pct": change_pct("question_count", "prior_year_question_count"),
+                "contributor_growth_rate_pct": change_pct("distinct_contributors", "prior_year_contributors"),
+                "rank_by_volume_in_year": F.rank().over(in_year).cast("long")})
             .select("question_year", "tag_name", "question_count", "prior_year_question_count",
                     "yoy_growth_rate_pct", "distinct_contributors", "prior_year_contributors",
                     "contributor_growth_rate_pct", "avg_score", "avg_views", "avg_engagement",
@@ -126,7 +136,7 @@ def trending(growth: DataFrame, dim_tag: DataFrame, analysis_year: int | None =
 def tag_answer_stats(fact_questions: DataFrame, min_questions: int = 50) -> DataFrame:
     """Answer state, views and askers per tag with at least ``min_questions`` questions."""
     pairs = explode_tags(fact_questions, ["user_id", "answer_count", "has_accepted_answer", "score",
-                                          "view_count"])
+                                          "view_count"], mark_first=True)
     per_user = pairs.groupBy("tag_name", "user_id").agg(
         F.count_if("first_in_post").alias("questions"),
         F.count_if(F.col("answer_count") == 0).alias("unanswered"),
@@ -302,20 +312,8 @@ def tag_latency_stats(fact_questions: DataFrame, fact_answers: DataFrame, min_qu
     pairs = explode_tags(
         latency.withColumn("answered", F.col("first_answer_date").isNotNull()),
         ["answered", "hours_to_first_answer", "hours_to_accepted_answer"])
-    first, accepted = F.col("hours_to_first_answer"), F.col("hours_to_accepted_answer")
-    aggregates = [
-        F.count("*").alias("total_questions"),
-        F.count_if("answered").alias("questions_with_answers"),
-        fixed_sum(first, 2).alias("_first_sum"), F.count(first).alias("_first_n"),
-        fixed_sum(accepted, 2).alias("_accepted_sum"), F.count(accepted).alias("_accepted_n"),
-        F.min(F.when(first > 0, first)).alias("_min"),
-        F.max(F.when(first < 10000, first)).alias("_max")]
-    if not exact:
-        aggregates.append(F.percentile_approx(F.when(first >= 0, first), 0.5, 10000).alias("_median"))
-    stats = pairs.groupBy("tag_name").agg(*aggregates).filter(F.col("total_questions") >= min_questions)
-    if exact:
-        middle = grouped_median(pairs.filter(first >= 0), "tag_name", "hours_to_first_answer", "_median")
-        stats = stats.join(middle, "tag_name", "left")
+    stats = _exact_latency(pairs) if exact else _approximate_latency(pairs)
+    stats = stats.filter(F.col("total_questions") >= min_questions)
     return stats.select(
         "tag_name", "total_questions", "questions_with_answers",
         rnd(fixed_mean("_first_sum", "_first_n", 2), 2).alias("avg_hours_to_first_answer"),
@@ -327,6 +325,43 @@ def tag_latency_stats(fact_questions: DataFrame, fact_answers: DataFrame, min_qu
         fixed_mean("_first_sum", "_first_n", 2).alias("_mean_hours"))
 
 
+def _approximate_latency(pairs: DataFrame) -> DataFrame:
+    first, accepted = F.col("hours_to_first_answer"), F.col("hours_to_accepted_answer")
+    return pairs.groupBy("tag_name").agg(
+        F.count("*").alias("total_questions"),
+        F.count_if("answered").alias("questions_with_answers"),
+        fixed_sum(first, 2).alias("_first_sum"), F.count(first).alias("_first_n"),
+        fixed_sum(accepted, 2).alias("_accepted_sum"), F.count(accepted).alias("_accepted_n"),
+        F.min(F.when(first > 0, first)).alias("_min"),
+        F.max(F.when(first < 10000, first)).alias("_max"),
+        F.percentile_approx(F.when(first >= 0, first), 0.5, 10000).alias("_median"))
+
+
+def _exact_latency(pairs: DataFrame) -> DataFrame:
+    """The same with an exact median, still in one pass over the rows.
+
+    Rows are first combined per tag and latency (two decimals of an hour, so the number of
+    distinct values has a bound that does not depend on the data volume); running counts
+    over those give the middle.
+    """
+    first, accepted = F.col("hours_to_first_answer"), F.col("hours_to_accepted_answer")
+    combined = pairs.groupBy("tag_name", "hours_to_first_answer").agg(
+        F.count("*").alias("n"), F.count_if("answered").alias("a"),
+        fixed_sum(accepted, 2).alias("s"), F.count(accepted).alias("c"))
+    weight = F.when(first >= 0, F.col("n")).otherwise(F.lit(0))
+    upto, total = running_weight("tag_name", "hours_to_first_answer", weight)
+    placed = combined.withColumns({"_w": weight, "_upto": upto, "_total": total})
+    hundredths = F.rint(first * 100.0).cast("long")
+    return placed.groupBy("tag_name").agg(
+        F.sum("n").alias("total_questions"), F.sum("a").alias("questions_with_answers"),
+        F.sum(hundredths * F.col("n")).alias("_first_sum"),
+        F.sum(F.when(first.isNotNull(), F.col("n")).otherwise(F.lit(0))).alias("_first_n"),
+        F.sum("s").alias("_accepted_sum"), F.sum("c").alias("_accepted_n"),
+        F.min(F.when(first > 0, first)).alias("_min"),
+        F.max(F.when(first < 10000, first)).alias("_max"),
+        middle_value("hours_to_first_answer", F.col("_w"), F.col("_upto"), F.col("_total")).alias("_median"))
+
+
 def answer_latency(fact_questions: DataFrame, fact_answers: DataFrame, min_questions: int = 100,
                    use_timestamps: bool = False, exact: bool = False) -> DataFrame:
     stats = tag_latency_stats(fact_questions, fact_answers, min_questions, use_timestamps, exact)

@@ -8,6 +8,7 @@ by DataFrames here and by table names there.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 from . import schemas
 from .schemas import conform
@@ -102,10 +103,19 @@ FROM {src} WHERE creation_date <= CAST('2000-01-01' AS TIMESTAMP)
 """
 
 
+_SCHEMAS: dict[str, StructType] = {}
+
+
+def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A given table; its schema is taken from the files once per process."""
+    path = f"{sf_dir}/{name}.parquet"
+    if path not in _SCHEMAS:
+        _SCHEMAS[path] = spark.read.parquet(path).schema
+    return spark.read.schema(_SCHEMAS[path]).parquet(path)
+
+
 def _run(spark: SparkSession, sf_dir: str, sql: str, *names: str) -> DataFrame:
-    # interval arithmetic and CAST AS TIMESTAMP stay zone-less
-    frames = {n: spark.read.parquet(f"{sf_dir}/{n}.parquet") for n in names}
-    return spark.sql(sql, **frames)
+    return spark.sql(sql, **{n: read_table(spark, sf_dir, n) for n in names})
 
 
 def questions(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -119,17 +119,22 @@ def read_layer(spark: SparkSession, root: str, layer: str, table: str,
         reader = reader.schema(T.StructType([*schema.fields, *layout]))
     df = reader.parquet(table_path(root, layer, table))
     if table in PARTITIONS:
-        part, _, grain = PARTITIONS[table]
         if between is not None:
-            lo, hi = (as_python_date(m) for m in between)
-            if grain == "month":
-                lo = lo.replace(day=1)
-            df = df.filter(F.col(part).between(F.lit(lo), F.lit(hi)))
+            df = folders_between(df, table, *between)
         if not keep_partition:
-            df = df.drop(part)
+            df = df.drop(PARTITIONS[table][0])
     return df.select(*columns) if columns else df
 
 
+def folders_between(df: DataFrame, table: str, lo: Moment, hi: Moment) -> DataFrame:
+    """Only the partition folders that can hold days from ``lo`` to ``hi``."""
+    part, _, grain = PARTITIONS[table]
+    first, last = as_python_date(lo), as_python_date(hi)
+    if grain == "month":
+        first = first.replace(day=1)
+    return df.filter(F.col(part).between(F.lit(first), F.lit(last)))
+
+
 def expire_partitions(df: DataFrame, ts_col: str, days: int = RAW_RETENTION_DAYS,
                       as_of: Moment = None) -> DataFrame:
     """Rows whose load day is at most ``days`` old."""
