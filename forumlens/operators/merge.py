@@ -53,6 +53,11 @@ class MergeRule:
     compare_null_safe: tuple[str, ...] = ()
     only_if_newer: str | None = None
 
+    def read_columns(self) -> list[str]:
+        """Columns needed to decide what happens to a row."""
+        newer = [self.only_if_newer] if self.only_if_newer else []
+        return list(dict.fromkeys([self.key, *self.compare, *self.compare_null_safe, *newer]))
+
     def condition(self) -> Column:
         test = changed(self.compare, self.compare_null_safe)
         if self.only_if_newer:
@@ -124,8 +129,7 @@ def merge_upsert(target: DataFrame, source: DataFrame, rule: MergeRule,
 
 def _merge_small(target: DataFrame, source: DataFrame, rule: MergeRule, names: list[str]) -> DataFrame:
     """Map-side form: only the compared and overwritten columns are broadcast."""
-    needed = list(dict.fromkeys([rule.key, *rule.compare, *rule.compare_null_safe, *rule.overwrite,
-                                 *([rule.only_if_newer] if rule.only_if_newer else [])]))
+    needed = list(dict.fromkeys([*rule.read_columns(), *rule.overwrite]))
     narrow = F.broadcast(_prefixed(source, "s_", needed))
     left = target.join(narrow, F.col(rule.key) == F.col("s_" + rule.key), "left")
     left = left.withColumns({"t_" + c: F.col(c) for c in needed})
@@ -154,67 +158,78 @@ class MergeResult:
 
 def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule: MergeRule,
                      target_between: tuple[str, Moment, Moment] | None = None) -> MergeResult:
-    """Merge a change set into a stored table, rewriting only the partitions it touches.
+    """Merge a change set into a stored table; a missing table is created from it.
 
-    The new content is stored in the shared folder before the table is replaced, so the
-    write never reads what it overwrites and a lost executor costs one task. A table that
-    does not exist yet is created from the change set.
+    A partitioned table is first read for its key and compared columns only, which tells
+    the changed rows and their folders; then those folders alone are read in full, merged
+    and replaced. An unpartitioned table is merged as a whole.
     """
     from ..sources import tables
 
-    spark = source.sparkSession
     source = stored(source)
     rows = reject_duplicate_keys(source, rule.key)
-    result = MergeResult(processed=rows)
+    spark = source.sparkSession
     if not _exists(spark, tables.table_path(root, layer, table)):
         tables.store(source, root, layer, table)
-        result.inserted = rows
-        return result
+        return MergeResult(inserted=rows, processed=rows)
     if rows == 0:
-        return result
-
+        return MergeResult()
     span = None
     if target_between:
         column, lo, hi = target_between
         span = F.col(column).between(F.lit(as_python_date(lo)), F.lit(as_python_date(hi)))
+    if table in tables.PARTITIONS:
+        return _merge_folders(root, layer, table, source, rows, rule, span, target_between)
+
+    target = tables.read_layer(spark, root, layer, table)
+    merged = stored(merge_upsert(target, source, rule, span, False, rows))
+    counts = action_counts(merged)
+    if set(counts) - {"KEEP"}:
+        tables.store(merged.drop("_action"), root, layer, table)
+    return MergeResult(counts.get("INSERT", 0), counts.get("UPDATE", 0), rows)
+
+
+def _merge_folders(root, layer, table, source, rows, rule, span, target_between) -> MergeResult:
+    from ..sources import tables
+
+    part, value = tables.PARTITIONS[table][0], tables.partition_value(table)
+    path = tables.table_path(root, layer, table)
+    everything = tables.read_layer(source.sparkSession, root, layer, table, keep_partition=True)
+    near = evolve(everything, source)
+    if span is not None:
+        near = tables.folders_between(near, table, *target_between[1:]).filter(span)
+    changes = _prefixed(evolve(source, everything.drop(part)), "s_", rule.read_columns())
+    found = _prefixed(near, "t_", [*rule.read_columns(), part]).join(
+        F.broadcast(changes) if rows <= SMALL_CHANGE_SET else changes,
+        F.col("t_" + rule.key) == F.col("s_" + rule.key))
+    # at most one row per row of the change set
+    found = stored(found.select(F.col("s_" + rule.key).alias(rule.key), F.col("t_" + part).alias("folder"),
+                                rule.condition().alias("changed")))
+    per_folder = {g["folder"]: (g["found"], g["changed"]) for g in found.groupBy("folder").agg(
+        F.count("*").alias("found"), F.count_if("changed").alias("changed")).collect()}
+    result = MergeResult(rows - sum(f for f, _ in per_folder.values()),
+                         sum(c for _, c in per_folder.values()), rows)
+    if not result.inserted and not result.updated:
+        return result
 
-    value = tables.partition_value(table)
-    if value is None:
-        target = tables.read_layer(spark, root, layer, table)
-        merged = stored(merge_upsert(target, source, rule, span, False, rows))
-        counts = action_counts(merged)
-        if set(counts) - {"KEEP"}:
-            tables.store(merged.drop("_action"), root, layer, table)
-    else:
-        part = tables.PARTITIONS[table][0]
-        everything = tables.read_layer(spark, root, layer, table, keep_partition=True)
-        near = everything
-        if span is not None:
-            near = tables.folders_between(everything, table, lo, hi).filter(span)
-        keys = source.select(rule.key)
-        hit = near.join(F.broadcast(keys) if rows <= SMALL_CHANGE_SET else keys, rule.key, "left_semi")
-        # one value per touched partition folder reaches the driver
-        touched = hit.select(F.col(part).alias("p")).union(source.select(value.alias("p"))).distinct()
-        touched = [r["p"] for r in touched.collect()]
-        slice_ = everything.filter(F.col(part).isin(touched)).drop(part)
-        merged = stored(merge_upsert(slice_, source, rule, span, False, rows))
-        placed = merged.withColumn(part, value)
-        groups = placed.groupBy(part, "_action").agg(F.count("*").alias("n")).collect()
-        counts: dict[str, int] = {}
-        for g in groups:
-            counts[g["_action"]] = counts.get(g["_action"], 0) + g["n"]
-        if set(counts) - {"KEEP"}:
-            # folders that only keep rows need no rewrite, unless rows moved out of them
-            path = tables.table_path(root, layer, table)
-            moved = rule_moves_rows(rule, table)
-            dirty = {g[part] for g in groups if moved or g["_action"] != "KEEP"}
-            out = placed.filter(F.col(part).isin(list(dirty))).drop("_action")
-            tables.write_layer(out, path, part, tables.CLUSTERS.get(table), dynamic=True)
-            for empty in set(touched) - {g[part] for g in groups}:
-                _delete(spark, f"{path}/{part}={empty}")
-            result.partitions = sorted(dirty)
-    result.inserted = counts.get("INSERT", 0)
-    result.updated = counts.get("UPDATE", 0)
+    active = source.join(found.filter(~F.col("changed")).select(rule.key), rule.key, "left_anti")
+    # folder names only: those holding changed rows and those the active rows belong to
+    homes = {r["p"] for r in active.select(value.alias("p")).distinct().collect()}
+    old = {f for f, (_, c) in per_folder.items() if c}
+    if not rule_moves_rows(rule, table):
+        homes = homes if result.inserted else old
+    dirty = sorted(homes | old)
+    slice_ = everything.filter(F.col(part).isin(dirty)).drop(part)
+    merged = merge_upsert(slice_, active, rule, span, False, result.inserted + result.updated)
+    emptied = set()
+    if rule_moves_rows(rule, table):
+        held = everything.filter(F.col(part).isin(sorted(old))).groupBy(part).agg(F.count("*").alias("n"))
+        emptied = {r[part] for r in held.collect() if r["n"] == per_folder[r[part]][1]} - homes
+    tables.write_layer(merged.drop("_action").withColumn(part, value), path, part,
+                       tables.CLUSTERS.get(table), dynamic=True)
+    for folder in emptied:
+        _delete(source.sparkSession, f"{path}/{part}={folder}")
+    result.partitions = dirty
     return result
 
 

@@ -114,7 +114,9 @@ def run_incremental(spark: SparkSession, sources: refresh.Sources, root: str, as
     feeds = [(ing.QUESTIONS, sources.questions, RAW_QUESTIONS), (ing.ANSWERS, sources.answers, RAW_ANSWERS),
              (ing.USERS_WITH_ACCOUNT, sources.users, RAW_USERS)]
     for feed, source, rule in feeds:
-        mark = read_watermark(read("raw", feed.table), "_ingested_at")
+        # the newest load day holds the latest load time, so only its folder is read
+        newest = tables.newest_folder(spark, root, "raw", feed.table)
+        mark = read_watermark(read("raw", feed.table, between=(newest, newest)), "_ingested_at")
         merge("raw", feed.table, raw_changes(source, feed, mark, as_of, batch_id), rule, mark)
 
     cleaners = [("stg_questions", "raw_questions", staging.clean_questions, STG_QUESTIONS),

@@ -135,6 +135,14 @@ def folders_between(df: DataFrame, table: str, lo: Moment, hi: Moment) -> DataFr
     return df.filter(F.col(part).between(F.lit(first), F.lit(last)))
 
 
+def newest_folder(spark: SparkSession, root: str, layer: str, table: str) -> str | None:
+    """Value of the last partition folder, from folder names alone."""
+    part = PARTITIONS[table][0]
+    base = spark._jvm.org.apache.hadoop.fs.Path(table_path(root, layer, table))
+    names = [f.getPath().getName() for f in base.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(base)]
+    return max((n.split("=", 1)[1] for n in names if n.startswith(f"{part}=")), default=None)
+
+
 def expire_partitions(df: DataFrame, ts_col: str, days: int = RAW_RETENTION_DAYS,
                       as_of: Moment = None) -> DataFrame:
     """Rows whose load day is at most ``days`` old."""
