@@ -139,7 +139,8 @@ def _merge_small(target: DataFrame, source: DataFrame, rule: MergeRule, names: l
         (F.when(F.col("_action") == "UPDATE", F.col("s_" + c)).otherwise(F.col(c)).alias(c)
          if c in rule.overwrite else F.col(c)) for c in names], "_action")
     known = target.select(rule.key).join(F.broadcast(source.select(rule.key)), rule.key, "left_semi")
-    fresh = source.join(known, rule.key, "left_anti").select(*names).withColumn("_action", F.lit("INSERT"))
+    # no more keys than the change set has
+    fresh = source.join(F.broadcast(known), rule.key, "left_anti").select(*names).withColumn("_action", F.lit("INSERT"))
     return kept.unionByName(fresh)
 
 
