@@ -169,7 +169,11 @@ def dim_date_facts(x: Inputs):
 
 query("dim_user", "SELECT * FROM x_du")(lambda x: x.dim_user)
 query("dim_tag", "SELECT * FROM x_dt")(lambda x: x.dim_tag.drop("tag_key"))
-query("surrogate_key")(lambda x: x.dim_tag.select("tag_key", "tag_name"))
+query("surrogate_key", """
+SELECT count(*) AS tags, count(*) AS different_keys, CAST(0 AS BIGINT) AS negative_keys FROM x_dt""")(
+    # the hash itself is ours; what must hold is one non-negative key per tag
+    lambda x: x.dim_tag.agg(F.count("*").alias("tags"), F.count_distinct("tag_key").alias("different_keys"),
+                            F.count_if(F.col("tag_key") < 0).alias("negative_keys")))
 
 
 @query("dimension_report", """

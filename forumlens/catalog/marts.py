@@ -231,7 +231,7 @@ query("mart_answer_latency", "FROM x_m6")(
     lambda x: marts.answer_latency(x.keep("stg_questions").fact_questions, x.fact_answers, exact=True))
 query("mart_answer_latency_exact_times", _latency_by_tag("FROM x_latency_exact"))(
     lambda x: marts.answer_latency(x.keep("stg_questions").fact_questions, x.fact_answers, exact=True, use_timestamps=True))
-query("mart_answer_latency_approx")(lambda x: marts.answer_latency(x.keep("stg_questions").fact_questions, x.fact_answers))
+query("mart_answer_latency_approx", _latency_by_tag("FROM x_latency").replace("quantile_cont", "quantile_disc"))(lambda x: marts.answer_latency(x.keep("stg_questions").fact_questions, x.fact_answers))
 
 
 def _health_parts(x: Inputs):

@@ -149,9 +149,12 @@ FROM x_tagged GROUP BY 1""")(
     lambda x: rel.explode_tags(x.fact_questions, ["question_id", "user_id"]).groupBy("tag_name").agg(
         F.count_distinct("question_id").alias("questions"), F.count_distinct("user_id").alias("askers")))
 
-query("count_distinct_approx")(
+query("count_distinct_approx", """
+SELECT tag_name, count(DISTINCT user_id) AS askers, true AS estimate_is_close FROM x_tagged GROUP BY 1""")(
     lambda x: rel.explode_tags(x.fact_questions, ["user_id"]).groupBy("tag_name").agg(
-        F.approx_count_distinct("user_id").alias("askers")))
+        F.count_distinct("user_id").alias("askers"),
+        (F.abs(F.approx_count_distinct("user_id", 0.02) - F.count_distinct("user_id"))
+         <= F.count_distinct("user_id") * 0.1).alias("estimate_is_close")))
 
 query("count_if", """
 SELECT tag_name, count(*) FILTER (answer_count = 0) AS unanswered, count(*) FILTER (answer_count > 0) AS answered,
@@ -178,7 +181,9 @@ SELECT question_id, {big("sum(CASE WHEN score > 0 THEN 1 ELSE 0 END)")} AS upvot
         F.min(F.when(F.col("accepted_answer_flag") == 1, F.col("creation_date"))).alias("accepted_day"),
         rnd(F.avg(F.when(F.col("score") >= 0, F.col("score"))), 2).alias("avg_nonnegative")))
 
-query("approx_median")(
+query("approx_median", """
+SELECT tag_name, quantile_disc(view_count, 0.5) AS median_views FROM x_tagged GROUP BY 1""")(
+    # the sketch keeps groups of up to its accuracy whole, so here it gives the exact element
     lambda x: rel.explode_tags(x.fact_questions, ["view_count"]).groupBy("tag_name").agg(
         F.percentile_approx("view_count", 0.5, 10000).alias("median_views")))
 

@@ -194,6 +194,8 @@ query("question_engagement", f"SELECT id, {ENGAGE_Q} AS engagement_score FROM x_
 query("answer_engagement", f"SELECT id, {ENGAGE_A} AS engagement_score FROM x_raw_a")(
     lambda x: x.raw_answers.select("id", numbers.answer_engagement().alias("engagement_score")))
 
-query("run_identifier")(
+query("run_identifier", """
+SELECT count(*) AS rows_stamped, CAST(1 AS BIGINT) AS identifiers FROM x_raw_q""")(
     # one identifier per run, the same on every row
-    lambda x: ing.ingest(x.src_questions, ing.QUESTIONS, fx.AS_OF).select("id", "_batch_id"))
+    lambda x: ing.ingest(x.src_questions, ing.QUESTIONS, fx.AS_OF).agg(
+        F.count("*").alias("rows_stamped"), F.count_distinct("_batch_id").alias("identifiers")))

@@ -76,22 +76,28 @@ def attach_ranks(df: DataFrame, ranks: DataFrame, column: str, total: int,
                  take: dict[str, str], small_lookup: int = SMALL_LOOKUP) -> DataFrame:
     """Bring per-value ranks back to the rows.
 
-    Few values: broadcast. Many values: values held by more than a thousandth of the rows
-    (at most a thousand of them) are broadcast and their rows never shuffled; the rest is
-    an ordinary shuffled join without hot keys.
+    Few values: broadcast. Many values: those held by more than a thousandth of the rows
+    (at most a thousand of them) are broadcast; the others are joined by a shuffle in which
+    rows already served carry a salt of their own, so that a hot value spreads over all
+    tasks instead of meeting in one.
     """
     picked = ranks.select(F.col(column).alias("_value"), "n", *[F.col(s).alias(t) for s, t in take.items()])
-
-    def matched(left, right):
-        return left.join(right.drop("n"), left[column].eqNullSafe(right["_value"])).drop("_value")
-
     if picked.count() <= small_lookup:
-        return matched(df, F.broadcast(picked))
+        few = F.broadcast(picked.drop("n"))
+        return df.join(few, df[column].eqNullSafe(few["_value"])).drop("_value")
+
     hot_from = max(total // 1000, 1)
-    hot = F.broadcast(picked.filter(F.col("n") > hot_from))
-    cold = picked.filter(F.col("n") <= hot_from)
-    rest = df.join(hot.select("_value"), df[column].eqNullSafe(F.col("_value")), "left_anti")
-    return matched(df, hot).unionByName(matched(rest, cold))
+    hot = picked.filter(F.col("n") > hot_from).select(
+        F.col("_value").alias("_hot"), *[F.col(t).alias(f"_hot{t}") for t in take.values()])
+    served = df.join(F.broadcast(hot), F.col(column).eqNullSafe(F.col("_hot")), "left")
+    first = next(iter(take.values()))
+    salt = F.when(F.col(f"_hot{first}").isNotNull(),
+                  F.pmod(F.xxhash64(*df.columns), F.lit(1_000_003)) + 1).otherwise(F.lit(0))
+    # zero for every value, written so that the planner keeps it as a join key
+    cold = picked.filter(F.col("n") <= hot_from).withColumn("_zero", F.least(F.col("n"), F.lit(1)) - 1).drop("n")
+    out = served.withColumn("_salt", salt).join(
+        cold, F.col(column).eqNullSafe(F.col("_value")) & (F.col("_salt") == F.col("_zero")), "left")
+    return out.select(*df.columns, *[F.coalesce(f"_hot{t}", t).alias(t) for t in take.values()])
 
 
 def ntile_of(number: Column, total: int, tiles: int) -> Column:

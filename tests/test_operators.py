@@ -90,12 +90,14 @@ def test_distributed_number_moves_no_row_to_a_single_task(spark):
     assert sorted(r["row_number"] for r in numbered.collect()) == list(range(1, 501))
 
 
-def test_hot_value_is_joined_without_shuffle(spark):
+def test_hot_value_spreads_in_the_shuffled_lookup(spark):
     df = skewed(spark, 2000)
     ranks = rk.value_ranks(df, "v")
     out = rk.attach_ranks(df, ranks, "v", 2000, {"rank": "place"}, small_lookup=0)
-    assert out.count() == 2000
+    assert out.count() == 2000 and out.filter("place IS NULL").count() == 0
     assert out.filter("v = 7.0").select("place").distinct().count() == 1
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "_salt" in plan.split("Join LeftOuter", 1)[1].splitlines()[0]
 
 
 def test_ntile_of_matches_definition(spark):
