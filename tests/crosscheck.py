@@ -24,7 +24,7 @@ def connection(sf_dir: str):
 
 def _cell(v):
     if isinstance(v, float):
-        return "nan" if math.isnan(v) else repr(round(v, 9) + 0.0)
+        return "nan" if math.isnan(v) else repr(v + 0.0)
     return str(v)
 
 

@@ -124,3 +124,39 @@ def test_expiry_drops_whole_folders(spark, root):
     assert rows(tables.expire_partitions(df, "_ingested_at", 60, "2020-03-15").select("id")) == [(2,)]
     assert tables.drop_expired(spark, root, "raw_questions", 60, "2020-03-15") == ["load_day=2020-01-01"]
     assert rows(tables.read_layer(spark, root, "raw", "raw_questions", ["id"])) == [(2,)]
+
+
+def test_late_copy_does_not_overwrite_a_newer_one(spark):
+    rule = MergeRule("id", ("score",), ("score", "best"), only_if_newer="best")
+    old = spark.createDataFrame([(1, 5, 20), (2, 5, 20)], "id long, score long, best long")
+    new = spark.createDataFrame([(1, 9, 10), (2, 9, 30)], "id long, score long, best long")
+    for size in (None, 2):
+        got = {r["id"]: (r["score"], r["_action"]) for r in
+               mg.merge_upsert(old, new, rule, source_rows=size).collect()}
+        assert got == {1: (5, "KEEP"), 2: (9, "UPDATE")}
+
+
+def test_reads_open_only_the_asked_folders(spark, root):
+    tables.store(fact(spark, [(1, "2020-01-05", 1), (2, "2020-02-05", 1), (3, "2020-03-05", 1)]), root,
+                 "warehouse", "fact_questions")
+    one_month = tables.read_layer(spark, root, "warehouse", "fact_questions", ["question_id"],
+                                  between=("2020-02-03", "2020-02-20"))
+    assert len(one_month.inputFiles()) == 3 and rows(one_month) == [(2,)]
+    plan = one_month._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(month_start" in plan and "question_id:bigint>" in plan
+
+
+def test_large_partition_is_written_by_several_tasks(spark, root):
+    """One load day must not end up in one task."""
+    df = spark.range(0, 200_000, 1, 4).select("id", F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+                                              .alias("_ingested_at"), F.sha2(F.col("id").cast("string"), 256).alias("t"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes", None)
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "2m")
+    try:
+        tables.store(df, root, "raw", "raw_users")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.advisoryPartitionSizeInBytes") if old is None else \
+            spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    folder = f"{root}/raw/raw_users/load_day=2020-01-01"
+    assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) > 1
+    assert tables.read_layer(spark, root, "raw", "raw_users").count() == 200_000
