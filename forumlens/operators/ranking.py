@@ -114,8 +114,7 @@ def ntile_of(number: Column, total: int, tiles: int) -> Column:
 @dataclass(frozen=True)
 class Rank:
     """A ranking column: ``kind`` is rank, dense_rank, percent_rank (x100, two decimals),
-    row_number or ntile. ``within`` restarts row_number per value of a column with few
-    values. Ties in row_number and ntile are settled by the table's ``tiebreak``."""
+    row_number or ntile. ``within`` restarts row_number per value of a column. Ties in row_number and ntile are settled by the table's ``tiebreak``."""
 
     name: str
     kind: str
@@ -168,8 +167,9 @@ def with_ranks(df: DataFrame, specs: list[Rank], tiebreak: list[str],
         terms = ([(within, False)] if within else []) + [(by, down)] + [(t, False) for t in tiebreak]
         numbered = global_row_number(out, terms, "_number")
         if within:
-            sizes = numbered.groupBy(within).agg(F.min("_number").alias("_first"))
-            sizes = F.broadcast(sizes.withColumnRenamed(within, "_within"))
+            sizes = stored(numbered.groupBy(F.col(within).alias("_within")).agg(F.min("_number").alias("_first")))
+            if sizes.count() <= SMALL_LOOKUP:
+                sizes = F.broadcast(sizes)
             numbered = numbered.join(sizes, numbered[within].eqNullSafe(F.col("_within"))).withColumn(
                 "_number", F.col("_number") - F.col("_first") + 1).drop("_within", "_first")
         new = {s.name: (F.col("_number") if s.kind == "row_number"
