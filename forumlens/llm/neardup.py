@@ -220,25 +220,66 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     links = stored(verified(star, sets, threshold), "neardup-links")
     classes = stored(components(links), "neardup-classes")
 
-    # buckets of three or more whose nodes are still in different classes: those pairs meet too
-    labelled = (crowded.filter("n > 2").join(classes, "node", "left")
-                .select("bucket", "node", "low", F.coalesce("root", "node").alias("root")))
-    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("bucket")
-    open_rows = labelled.join(mixed, "bucket").filter("node <> low")
-    left, right = (open_rows.select("bucket", F.col("node").alias(n), F.col("root").alias(r)) for n, r in (("a", "ra"), ("b", "rb")))
-    cross = (left.join(right, "bucket").filter("ra < rb").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-             .distinct().join(star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti"))
+    # nodes of buckets that still hold several classes meet again: first in finer buckets of two
+    # bands, with both ends of each, then wherever their rarest shingles leave room for the threshold
+    star_pairs = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    unsure = stored(_mixed(crowded, classes).select("node", "root").distinct().join(nodes.select("node", "bands"), "node"), "neardup-unsure")
+    fine = unsure.select("node", "root", F.explode(F.transform(
+        F.sequence(F.lit(1), F.lit(bands - 1)), lambda i: F.xxhash64(i, F.element_at("bands", i), F.element_at("bands", i + 1)))).alias("bucket"))
+    ends = fine.groupBy("bucket").agg(F.min(F.struct("node", "root")).alias("low"), F.max(F.struct("node", "root")).alias("high"))
+    closer = (fine.join(ends, "bucket").select("node", "root", F.explode(F.array("low", "high")).alias("end")).filter("root <> end.root")
+              .select(F.least("node", "end.node").alias("a"), F.greatest("node", "end.node").alias("b")).distinct()
+              .join(star_pairs, ["a", "b"], "left_anti"))
+    closer = stored(closer, "neardup-closer")
+    links = stored(links.unionByName(verified(closer, sets, threshold)), "neardup-links")
+    classes = stored(components(links), "neardup-classes")
+    open_nodes = _mixed(crowded, classes).select("node", "root").distinct()
+    cross = (_prefix_pairs(open_nodes, sets, threshold)
+             .join(star_pairs.unionByName(closer), ["a", "b"], "left_anti"))
     more = stored(verified(cross, sets, threshold), "neardup-more")
     roots = classes if more.isEmpty() else stored(components(links.unionByName(more)), "neardup-roots")
 
     named = nodes.join(roots, "node", "left").select("node", "doc_id", F.coalesce("root", "node").alias("root"))
     smallest = named.groupBy("root").agg(F.min("doc_id").alias("class_id"))
     classes_of = stored(named.join(smallest, "root").select("node", "root", "class_id"), "neardup-result")
-    for df in {id(df): df for df in (crowded, star, wanted, sets, links, classes, more, roots)}.values():
+    for df in {id(df): df for df in (crowded, star, wanted, sets, unsure, closer, links, classes, more, roots)}.values():
         discard(df)
     return described_rows.drop("bands"), classes_of
 
 
+def _mixed(crowded: DataFrame, classes: DataFrame) -> DataFrame:
+    """(bucket, node, low, root) of the buckets of three or more whose nodes are in different classes."""
+    labelled = (crowded.filter("n > 2").join(classes, "node", "left")
+                .select("bucket", "node", "low", F.coalesce("root", "node").alias("root")))
+    mixed = labelled.groupBy("bucket").agg(F.min("root").alias("r0"), F.max("root").alias("r1")).filter("r0 <> r1").select("bucket")
+    return labelled.join(mixed, "bucket")
+
+
+def _prefix_pairs(open_nodes: DataFrame, sets: DataFrame, threshold: float) -> DataFrame:
+    """Pairs (a, b) of nodes of different classes that can reach the threshold; none that does is missed.
+
+    Shingles stand from rare to frequent. Two sets that reach the threshold share one within
+    the first places, and from the first that they share there must be enough left in both.
+    """
+    tokens = (open_nodes.join(sets, "node").select("node", "root", F.explode(F.arrays_zip("items", "weights")).alias("s"))
+              .select("node", "root", F.explode(F.sequence(F.lit(1), F.col("s.weights").cast("int"))).alias("copy"), "s.items")
+              .select("node", "root", F.xxhash64("items", "copy").alias("token")))
+    tokens = stored(tokens, "neardup-tokens")
+    often = tokens.groupBy("token").agg(F.count(F.lit(1)).alias("often")).filter("often > 1")
+    # tokens of one node only come first and join nothing: only their number counts
+    ranked = (tokens.join(often, "token", "left").groupBy("node", "root")
+              .agg(F.count(F.lit(1)).alias("n"), F.array_sort(F.collect_list(F.when(F.col("often").isNotNull(), F.struct("often", "token")))).alias("shared"))
+              .select("node", "root", "n", (F.col("n") - F.size("shared")).alias("own"), F.posexplode("shared").alias("at", "t"))
+              .select("node", "root", "n", F.col("t.token").alias("token"), (F.col("n") - F.col("own") - F.col("at")).alias("left"))
+              .filter(F.col("left") >= F.ceil(F.lit(threshold) * F.col("n") - 1e-9)))
+    ranked = stored(ranked, "neardup-prefixes")
+    one, two = (ranked.select("token", F.col("node").alias(x), F.col("root").alias(f"root_{x}"), F.col("n").alias(f"n_{x}"), F.col("left").alias(f"left_{x}"))
+                for x in ("a", "b"))
+    enough = F.lit(threshold / (1 + threshold)) * (F.col("n_a") + F.col("n_b")) - 1e-9
+    return (one.join(two, (one["token"] == two["token"]) & (F.col("a") < F.col("b")) & (F.col("root_a") != F.col("root_b"))
+                     & (F.least("left_a", "left_b") >= enough)).select("a", "b").distinct())
+
+
 def _with_nodes(width: int, weights: str, names: list[str], text_at: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
