@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import uuid
 from collections.abc import Iterable, Iterator
@@ -43,6 +44,12 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose results are stored; it does so when the driver collects garbage."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def discard(df: DataFrame) -> None:
     """Delete the files of a stored relation that nothing reads any more."""
     spark = df.sparkSession
@@ -141,6 +148,20 @@ def text_blocks(texts: list, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
         yield start, len(texts)
 
 
+# ---- arrays
+
+
+def running_total(values: Column, block: int = 256) -> Column:
+    """Running sums of an array; by blocks, so that appending stays cheap for long arrays."""
+    zero = F.array(F.lit(0))
+    add = lambda acc, x: F.array_append(acc, F.element_at(acc, -1) + x)
+    n = F.size(values)
+    blocks = F.transform(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0)), F.lit(block)), lambda s: F.slice(values, s + 1, block))
+    sums = F.transform(blocks, lambda b: F.slice(F.aggregate(b, zero, add), 2, block))
+    starts = F.aggregate(sums, zero, lambda acc, b: F.array_append(acc, F.element_at(acc, -1) + F.coalesce(F.try_element_at(b, F.lit(-1)), F.lit(0))))
+    return F.flatten(F.zip_with(sums, F.slice(starts, 1, F.size(sums)), lambda b, s: F.transform(b, lambda x: x + s)))
+
+
 # ---- filters by id
 
 
