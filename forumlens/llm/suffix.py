@@ -131,8 +131,11 @@ def _rows(groups: int, name, context, seq, start, width) -> list[tuple]:
     order = np.lexsort((start, seq, context, name))
     name, context, seq, start, width = (c[order] for c in (name, context, seq, start, width))
     again = _same_as_before(name, context)
-    out = [(slot, False, *blobs) for slot, blobs in _packed((name[~again] % np.uint64(groups)).astype(np.int64), [
-        c[~again] for c in (name, context, seq, start, width)])]
+    # in order of position again: what lies beside each other is alike and travels compressed
+    once = np.flatnonzero(~again)
+    once = once[np.lexsort((start[once], seq[once]))]
+    out = [(slot, False, *blobs) for slot, blobs in _packed((name[once] % np.uint64(groups)).astype(np.int64), [
+        c[once] for c in (name, context, seq, start, width)])]
     if again.any():
         out += [(slot, True, b"", b"", *blobs) for slot, blobs in _packed(_part(seq[again], groups), [
             c[again] for c in (seq, start, width)])]
@@ -163,7 +166,7 @@ def _runs(groups: int):
                 high = np.flatnonzero(inside & np.concatenate([change | ~inside[1:], [True]]))
                 context = mix(_pair(threshold_names(h, low), threshold_names(h, high)) + (high - low).astype(np.uint64))
                 owner = np.searchsorted(first, low, "right") - 1
-                start = (low - first[owner] + base[owner]).astype(np.int64)
+                start = (low - first[owner] + base[owner]).astype(np.int32)
                 yield _batch(_rows(groups, h[at[low]], context, who[owner], start, (high - low).astype(np.uint8)), _PACKED_ARROW)
 
     return run
@@ -175,7 +178,7 @@ def _unpacked(table: pa.Table, columns: dict[str, type]) -> list[np.ndarray]:
 
 def _settled(groups: int, table: pa.Table) -> list[tuple]:
     done = table.filter(table.column("settled"))
-    return [(slot, False, *blobs) for slot, blobs in _merged(groups, *_unpacked(done, {"seqs": np.int64, "starts": np.int64, "widths": np.uint8}))]
+    return [(slot, False, *blobs) for slot, blobs in _merged(groups, *_unpacked(done, {"seqs": np.int64, "starts": np.int32, "widths": np.uint8}))]
 
 
 def _merged(groups: int, seq, start, width):
@@ -187,7 +190,7 @@ def _compare_runs(groups: int):
     def run(table: pa.Table) -> pa.Table:
         rows = _settled(groups, table)
         name, context, seq, start, width = _unpacked(table.filter(pc.invert(table.column("settled"))), {
-            "names": np.uint64, "contexts": np.uint64, "seqs": np.int64, "starts": np.int64, "widths": np.uint8})
+            "names": np.uint64, "contexts": np.uint64, "seqs": np.int64, "starts": np.int32, "widths": np.uint8})
         order = np.lexsort((start, seq, context, name))
         name, context, seq, start, width = (c[order] for c in (name, context, seq, start, width))
         again = _same_as_before(name, context)
@@ -205,7 +208,7 @@ def _compare_runs(groups: int):
 def _open_strings(groups: int):
     """The 100-byte names of the strings in open runs, for the texts of one part."""
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        seq, start, width = _unpacked(found, {"seqs": np.int64, "starts": np.int64, "widths": np.uint8})
+        seq, start, width = _unpacked(found, {"seqs": np.int64, "starts": np.int32, "widths": np.uint8})
         order = np.argsort(seq, kind="stable")
         seq, start, width = seq[order], start[order], width[order]
         rows = []
@@ -217,10 +220,10 @@ def _open_strings(groups: int):
             if high[i] > low[i]:
                 data = np.frombuffer(raw[i].as_py(), np.uint8)
                 n = width[low[i]:high[i]].astype(np.int64) + 1
-                at = np.repeat(start[low[i]:high[i]] - np.cumsum(n) + n, n) + np.arange(n.sum())
+                at = np.repeat(start[low[i]:high[i]].astype(np.int64) - np.cumsum(n) + n, n) + np.arange(n.sum())
                 name.append(_names_at(data, at))
                 who.append(np.full(len(at), ids[i]))
-                place.append(at)
+                place.append(at.astype(np.int32))
                 size += len(at)
             if name and (size > BLOCK_BYTES // 4 or i == len(ids) - 1):
                 name, who, place = map(np.concatenate, (name, who, place))
@@ -248,7 +251,7 @@ def _compare_strings(groups: int):
     def run(table: pa.Table) -> pa.Table:
         rows = _settled(groups, table)
         name, seq, start = _unpacked(table.filter(pc.invert(table.column("settled"))), {
-            "names": np.uint64, "seqs": np.int64, "starts": np.int64})
+            "names": np.uint64, "seqs": np.int64, "starts": np.int32})
         order = np.lexsort((start, seq, name))
         again = order[_same_as_before(name[order])]
         rows += [(slot, False, *blobs) for slot, blobs in _merged(groups, seq[again], start[again], np.zeros(len(again), np.uint8))]
@@ -263,7 +266,7 @@ _SPAN = pa.struct([("start", pa.int64()), ("end", pa.int64())])
 def _cut(id_type: pa.DataType):
     """Union of the repeated strings of every text of one part, and the bytes that are left."""
     def run(texts: pa.Table, found: pa.Table) -> pa.Table:
-        seq, start, width = _unpacked(found, {"seqs": np.int64, "starts": np.int64, "widths": np.uint8})
+        seq, start, width = _unpacked(found, {"seqs": np.int64, "starts": np.int32, "widths": np.uint8})
         order = np.argsort(seq, kind="stable")
         seq, start, width = seq[order], start[order], width[order]
         ids, raw = texts.column("seq").to_numpy(), texts.column("bytes")
@@ -278,7 +281,7 @@ def _cut(id_type: pa.DataType):
                 continue
             depth = np.zeros(len(data) + 1, np.int64)
             np.add.at(depth, start[low[i]:high[i]], 1)
-            np.add.at(depth, start[low[i]:high[i]] + width[low[i]:high[i]] + THRESHOLD, -1)
+            np.add.at(depth, start[low[i]:high[i]].astype(np.int64) + width[low[i]:high[i]] + THRESHOLD, -1)
             covered = np.concatenate([[0], (np.cumsum(depth[:-1]) > 0).astype(np.int8), [0]])
             edge = np.diff(covered)
             spans.append([{"start": a, "end": b} for a, b in zip(np.flatnonzero(edge == 1).tolist(), np.flatnonzero(edge == -1).tolist())])
@@ -302,7 +305,7 @@ def repeated_strings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     else:  # number the rows in their order; ranges of a sort keep it over many tasks
         rows = stored(rows.orderBy(F.col("doc_id").asc_nulls_last(), F.xxhash64("bytes"))
                       .withColumn("seq", F.monotonically_increasing_id()), "suffix-rows")
-    groups = max(4 * int(spark.conf.get("spark.sql.shuffle.partitions")), (state.size or 0) // GROUP_BYTES) | 1
+    groups = max(int(spark.conf.get("spark.sql.shuffle.partitions")), (state.size or 0) // GROUP_BYTES) | 1
     texts = rows.withColumn("part", F.expr(f"CAST(pmod(seq ^ shiftright(seq, 7), {groups}L) AS INT)"))
 
     runs = stored(rows.select("seq", "bytes").mapInArrow(_runs(groups), _PACKED).groupBy("slot")
