@@ -26,9 +26,6 @@ class Inputs:
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
 
-    def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.sf_dir}/{name}.parquet")
-
     def scratch(self, name: str) -> str:
         return f"{shared_folder(self.spark)}/{name}-{uuid.uuid4().hex}"
 

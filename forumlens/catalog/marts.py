@@ -207,7 +207,7 @@ query("mart_top_contributors", "FROM x_m4")(
     lambda x: marts.top_contributors(x.keep("stg_questions").fact_answers, x.fact_questions, x.dim_user, fx.AS_OF))
 query("mart_top_contributors_distributed", "FROM x_m4")(
     lambda x: marts.top_contributors(x.keep("stg_questions").fact_answers, x.fact_questions, x.dim_user, fx.AS_OF,
-                                     small_table=0, small_lookup=0))
+                                     small_lookup=0))
 query("contributor_combined", _COMBINED)(lambda x: marts.contributor_combined(x.keep("stg_questions").fact_answers, x.fact_questions))
 query("contribution_score", "SELECT user_id, contribution_score FROM x_profiles")(
     lambda x: marts.contributor_combined(x.keep("stg_questions").fact_answers, x.fact_questions).filter("total_answers >= 1")
@@ -264,8 +264,9 @@ SELECT (SELECT count(DISTINCT question_id) FROM x_fq) AS total_questions,
   (SELECT {share("count_if(has_accepted_answer)", "count(*)")} FROM x_fq) AS platform_acceptance_rate_pct,
   (SELECT {r("avg(engagement_score)", 2)} FROM x_fq) AS avg_question_engagement_score,
   (SELECT max(creation_date) FROM x_fq) AS last_question_date,
-  (SELECT max(creation_date) FROM x_fa) AS last_answer_date""")(
-    lambda x: kpis.platform_overview(x.keep("stg_questions").fact_questions, x.fact_answers, x.dim_user, x.dim_tag))
+  (SELECT max(creation_date) FROM x_fa) AS last_answer_date,
+  TIMESTAMP '{fx.AS_OF} 00:00:00' AS report_generated_at""")(
+    lambda x: kpis.platform_overview(x.keep("stg_questions").fact_questions, x.fact_answers, x.dim_user, x.dim_tag, fx.AS_OF))
 
 _LATEST = "question_year = (SELECT max(question_year) - 1 FROM x_m1)"
 _G = "tag_name, question_year, question_count, prior_year_question_count, yoy_growth_rate_pct, growth_classification"

@@ -263,8 +263,8 @@ SELECT activity_month, users, {r('''avg(users) OVER (ORDER BY activity_month
     lambda x: _active_users(x).withColumn("rolling", rnd(
         F.avg("users").over(W.orderBy("activity_month").rowsBetween(-2, 0)), 0)))
 
-# Row limits of zero force the distributed form on these small tables.
-FORCED = {"small_table": 0, "small_lookup": 0}
+# A limit of zero forces the joins that large lookups take on these small tables.
+FORCED = {"small_lookup": 0}
 
 _USERS = "SELECT user_id, reputation, reputation_bucket FROM x_stg_u"
 

@@ -12,6 +12,11 @@ from .numbers import col
 Moment = str | dt.date | dt.datetime | None
 
 
+def settled(moment: Moment) -> Moment:
+    """The moment itself, or the wall clock read once (UTC), for everything a run does."""
+    return moment if moment is not None else dt.datetime.now(dt.timezone.utc).replace(tzinfo=None).isoformat(sep=" ", timespec="seconds")
+
+
 def ntz(moment: Moment) -> Column:
     """Timestamp literal; None means the wall clock of the query."""
     if moment is None:

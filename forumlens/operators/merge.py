@@ -12,8 +12,6 @@ from pyspark.sql import functions as F
 from ..functions.calendar import Moment, as_python_date
 from ..session import stored
 
-# A change set up to this many rows is sent to the target's tasks; a larger one is shuffled.
-SMALL_CHANGE_SET = 300_000
 EPOCH = "2008-01-01 00:00:00"
 
 
@@ -52,6 +50,8 @@ class MergeRule:
     overwrite: tuple[str, ...]
     compare_null_safe: tuple[str, ...] = ()
     only_if_newer: str | None = None
+    # an append-only table takes changed rows as new versions, stamped by this column
+    version_by: str | None = None
 
     def read_columns(self) -> list[str]:
         """Columns needed to decide what happens to a row."""
@@ -71,9 +71,10 @@ class DuplicateKeyError(ValueError):
 
 
 def reject_duplicate_keys(source: DataFrame, key: str) -> int:
-    """Row count of the change set; raises if a key occurs twice. One aggregate, one value back."""
+    """Row count of the change set; raises if a key occurs twice (NULL keys match nothing and may repeat)."""
     per_key = source.groupBy(key).agg(F.count("*").alias("n"))
-    seen = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), F.max("n").alias("most")).first()
+    most = F.max(F.when(F.col(key).isNotNull(), F.col("n")))
+    seen = per_key.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), most.alias("most")).first()
     if (seen["most"] or 0) > 1:
         raise DuplicateKeyError(f"change set has more than one row for a {key}")
     return seen["rows"]
@@ -90,14 +91,13 @@ def _prefixed(df: DataFrame, prefix: str, columns: Sequence[str] | None = None)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, rule: MergeRule,
-                 target_range: Column | None = None, check: bool = True,
-                 source_rows: int | None = None) -> DataFrame:
+                 target_range: Column | None = None, check: bool = True) -> DataFrame:
     """Target after the merge, with ``_action`` UPDATE, INSERT or KEEP per row.
 
-    Matched rows that changed take the rule's ``overwrite`` columns, unmatched source rows
-    are inserted, everything else stays. Columns are matched by name and new ones are
-    added. ``target_range`` limits which target rows may match. With a known small
-    ``source_rows`` the target is not shuffled at all; the source should then be stored.
+    Every matched row that changed takes the rule's ``overwrite`` columns, unmatched source
+    rows are inserted, everything else stays; a NULL key matches nothing on either side.
+    Columns are matched by name and new ones are added. ``target_range`` limits which
+    target rows may match.
     """
     if check:
         reject_duplicate_keys(source, rule.key)
@@ -107,16 +107,14 @@ def merge_upsert(target: DataFrame, source: DataFrame, rule: MergeRule,
     if target_range is not None:
         inside = F.coalesce(target_range, F.lit(False))
         outside = target.filter(~inside).withColumn("_action", F.lit("KEEP"))
-        merged = merge_upsert(target.filter(inside), source, rule, None, False, source_rows)
-        return merged.unionByName(outside)
-    if source_rows is not None and source_rows <= SMALL_CHANGE_SET:
-        return _merge_small(target, source, rule, names)
-
-    both = _prefixed(target, "t_").join(
-        _prefixed(source, "s_"), F.col("t_" + rule.key) == F.col("s_" + rule.key), "full_outer")
-    missing_target = F.col("t_" + rule.key).isNull()
-    action = (F.when(missing_target, F.lit("INSERT"))
-              .when(F.col("s_" + rule.key).isNotNull() & rule.condition(), F.lit("UPDATE"))
+        return merge_upsert(target.filter(inside), source, rule, None, False).unionByName(outside)
+
+    # marks of presence: a key may be NULL in a row that is there
+    both = _prefixed(target, "t_").withColumn("_in_target", F.lit(True)).join(
+        _prefixed(source, "s_").withColumn("_in_source", F.lit(True)),
+        F.col("t_" + rule.key) == F.col("s_" + rule.key), "full_outer")
+    action = (F.when(F.col("_in_target").isNull(), F.lit("INSERT"))
+              .when(F.col("_in_source").isNotNull() & rule.condition(), F.lit("UPDATE"))
               .otherwise(F.lit("KEEP")))
     both = both.withColumn("_action", action)
 
@@ -127,23 +125,6 @@ def merge_upsert(target: DataFrame, source: DataFrame, rule: MergeRule,
     return both.select(*[final(c) for c in names], "_action")
 
 
-def _merge_small(target: DataFrame, source: DataFrame, rule: MergeRule, names: list[str]) -> DataFrame:
-    """Map-side form: only the compared and overwritten columns are broadcast."""
-    needed = list(dict.fromkeys([*rule.read_columns(), *rule.overwrite]))
-    narrow = F.broadcast(_prefixed(source, "s_", needed))
-    left = target.join(narrow, F.col(rule.key) == F.col("s_" + rule.key), "left")
-    left = left.withColumns({"t_" + c: F.col(c) for c in needed})
-    update = F.col("s_" + rule.key).isNotNull() & rule.condition()
-    left = left.withColumn("_action", F.when(update, F.lit("UPDATE")).otherwise(F.lit("KEEP")))
-    kept = left.select(*[
-        (F.when(F.col("_action") == "UPDATE", F.col("s_" + c)).otherwise(F.col(c)).alias(c)
-         if c in rule.overwrite else F.col(c)) for c in names], "_action")
-    known = target.select(rule.key).join(F.broadcast(source.select(rule.key)), rule.key, "left_semi")
-    # no more keys than the change set has
-    fresh = source.join(F.broadcast(known), rule.key, "left_anti").select(*names).withColumn("_action", F.lit("INSERT"))
-    return kept.unionByName(fresh)
-
-
 def action_counts(merged: DataFrame) -> dict[str, int]:
     """Rows per action; three rows at most reach the driver."""
     return {r["_action"]: r["n"] for r in merged.groupBy("_action").agg(F.count("*").alias("n")).collect()}
@@ -161,16 +142,17 @@ def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule:
                      target_between: tuple[str, Moment, Moment] | None = None) -> MergeResult:
     """Merge a change set into a stored table; a missing table is created from it.
 
-    A partitioned table is first read for its key and compared columns only, which tells
-    the changed rows and their folders; then those folders alone are read in full, merged
-    and replaced. An unpartitioned table is merged as a whole.
+    An append-only table (``version_by``) takes new and changed rows into the folder they
+    belong to and nothing else is written. A partitioned table is first read for its key
+    and compared columns only, which tells the files with changed rows; those files alone
+    are read in full and replaced. An unpartitioned table is merged as a whole.
     """
     from ..sources import tables
 
     source = stored(source)
     rows = reject_duplicate_keys(source, rule.key)
     spark = source.sparkSession
-    if not _exists(spark, tables.table_path(root, layer, table)):
+    if not tables.exists(spark, tables.table_path(root, layer, table)):
         tables.store(source, root, layer, table)
         return MergeResult(inserted=rows, processed=rows)
     if rows == 0:
@@ -179,77 +161,79 @@ def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule:
     if target_between:
         column, lo, hi = target_between
         span = F.col(column).between(F.lit(as_python_date(lo)), F.lit(as_python_date(hi)))
+    if rule.version_by:
+        return _append_versions(root, layer, table, source, rows, rule)
     if table in tables.PARTITIONS:
-        return _merge_folders(root, layer, table, source, rows, rule, span, target_between)
+        return _merge_files(root, layer, table, source, rows, rule, span, target_between)
 
     target = tables.read_layer(spark, root, layer, table)
-    merged = stored(merge_upsert(target, source, rule, span, False, rows))
+    merged = stored(merge_upsert(target, source, rule, span, False))
     counts = action_counts(merged)
     if set(counts) - {"KEEP"}:
         tables.store(merged.drop("_action"), root, layer, table)
     return MergeResult(counts.get("INSERT", 0), counts.get("UPDATE", 0), rows)
 
 
-def _merge_folders(root, layer, table, source, rows, rule, span, target_between) -> MergeResult:
+def newest_versions(df: DataFrame, rule: MergeRule) -> DataFrame:
+    """The newest version of every key of an append-only table; of copies in one load all stay. NULL keys stay."""
+    newest = df.groupBy(rule.key).agg(F.max(rule.version_by).alias("_newest")).withColumnRenamed(rule.key, "_key")
+    return (df.join(newest, F.col(rule.key).eqNullSafe(F.col("_key")))
+            .filter(F.col(rule.key).isNull() | F.col(rule.version_by).eqNullSafe(F.col("_newest"))).select(*df.columns))
+
+
+def _append_versions(root, layer, table, source, rows, rule) -> MergeResult:
+    """Add source rows that no copy of the newest load equals."""
     from ..sources import tables
 
-    part, value = tables.PARTITIONS[table][0], tables.partition_value(table)
+    spark = source.sparkSession
+    target = evolve(tables.read_layer(spark, root, layer, table), source)
+    full = evolve(source, target)
+    columns = list(dict.fromkeys([*rule.read_columns(), rule.version_by]))
+    pairs = _prefixed(target, "t_", columns).join(_prefixed(full, "s_", rule.read_columns()),
+                                                  F.col("t_" + rule.key) == F.col("s_" + rule.key))
+    state = (pairs.groupBy(F.col("s_" + rule.key).alias("_key"))
+             .agg(F.max(F.struct(F.col("t_" + rule.version_by), (~rule.condition()).alias("same"))).alias("_last"))
+             .select("_key", F.col("_last.same").alias("_same")))
+    taken = stored(full.join(state, F.col(rule.key) == F.col("_key"), "left")
+                   .filter(F.col("_same").isNull() | ~F.col("_same")))
+    counts = taken.agg(F.count_if(F.col("_same").isNull()).alias("new"), F.count_if(F.col("_same").isNotNull()).alias("changed")).first()
+    if counts["new"] or counts["changed"]:
+        tables.append(taken.select(*target.columns), root, layer, table)
+    return MergeResult(counts["new"], counts["changed"], rows)
+
+
+def _merge_files(root, layer, table, source, rows, rule, span, target_between) -> MergeResult:
+    """Replace the files that hold changed rows; new rows become new files.
+
+    Inserts are decided by an anti join on matched keys and updates row by row, so keys
+    that the target repeats or lacks cannot mislead either count. New files are complete
+    before old ones go: a stop in between leaves both copies and never loses a row.
+    """
+    from ..sources import tables
+
+    spark = source.sparkSession
     path = tables.table_path(root, layer, table)
-    everything = tables.read_layer(source.sparkSession, root, layer, table, keep_partition=True)
-    near = evolve(everything, source)
+    everything = tables.read_layer(spark, root, layer, table, keep_partition=True, with_file="_file")
+    target = evolve(everything, source)
+    near = target
     if span is not None:
         near = tables.folders_between(near, table, *target_between[1:]).filter(span)
-    changes = _prefixed(evolve(source, everything.drop(part)), "s_", rule.read_columns())
-    found = _prefixed(near, "t_", [*rule.read_columns(), part]).join(
-        F.broadcast(changes) if rows <= SMALL_CHANGE_SET else changes,
-        F.col("t_" + rule.key) == F.col("s_" + rule.key))
-    # at most one row per row of the change set
-    found = stored(found.select(F.col("s_" + rule.key).alias(rule.key), F.col("t_" + part).alias("folder"),
-                                rule.condition().alias("changed")))
-    per_folder = {g["folder"]: (g["found"], g["changed"]) for g in found.groupBy("folder").agg(
-        F.count("*").alias("found"), F.count_if("changed").alias("changed")).collect()}
-    result = MergeResult(rows - sum(f for f, _ in per_folder.values()),
-                         sum(c for _, c in per_folder.values()), rows)
+    full = evolve(source, target.drop("_file", tables.PARTITIONS[table][0]))
+    found = stored(_prefixed(near, "t_", [*rule.read_columns(), "_file"])
+                   .join(_prefixed(full, "s_", rule.read_columns()), F.col("t_" + rule.key) == F.col("s_" + rule.key))
+                   .select(F.col("s_" + rule.key).alias("_key"), F.col("t__file").alias("_file"), rule.condition().alias("changed")))
+    fresh = stored(full.join(found.select("_key").distinct(), F.col(rule.key) == F.col("_key"), "left_anti"))
+    # names of files that are about to be replaced
+    dirty = [r["_file"] for r in found.filter("changed").select("_file").distinct().collect()]
+    result = MergeResult(fresh.count(), found.filter("changed").count(), rows)
     if not result.inserted and not result.updated:
         return result
 
-    active = source.join(found.filter(~F.col("changed")).select(rule.key), rule.key, "left_anti")
-    # folder names only: those holding changed rows and those the active rows belong to
-    homes = {r["p"] for r in active.select(value.alias("p")).distinct().collect()}
-    old = {f for f, (_, c) in per_folder.items() if c}
-    if not rule_moves_rows(rule, table):
-        homes = homes if result.inserted else old
-    dirty = sorted(homes | old)
-    slice_ = everything.filter(F.col(part).isin(dirty)).drop(part)
-    merged = merge_upsert(slice_, active, rule, span, False, result.inserted + result.updated)
-    emptied = set()
-    if rule_moves_rows(rule, table):
-        held = everything.filter(F.col(part).isin(sorted(old))).groupBy(part).agg(F.count("*").alias("n"))
-        emptied = {r[part] for r in held.collect() if r["n"] == per_folder[r[part]][1]} - homes
-    tables.write_layer(merged.drop("_action").withColumn(part, value), path, part,
-                       tables.CLUSTERS.get(table), dynamic=True)
-    for folder in emptied:
-        _delete(source.sparkSession, f"{path}/{part}={folder}")
-    result.partitions = dirty
+    out = fresh
+    if dirty:
+        rewritten = tables.read_files(spark, root, layer, table, dirty)
+        matching = full.join(found.select("_key").distinct(), F.col(rule.key) == F.col("_key"), "left_semi")
+        merged = merge_upsert(rewritten, matching, rule, span, False).filter("_action <> 'INSERT'").drop("_action")
+        out = merged.unionByName(fresh, allowMissingColumns=True)
+    result.partitions = tables.replace_files(spark, out, root, layer, table, dirty)
     return result
-
-
-def rule_moves_rows(rule: MergeRule, table: str) -> bool:
-    """Whether an update can change the partition a row belongs to."""
-    from ..sources import tables
-    return tables.PARTITIONS[table][1] in rule.overwrite
-
-
-def _fs(spark, path):
-    p = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
-
-
-def _exists(spark, path: str) -> bool:
-    fs, p = _fs(spark, path)
-    return fs.exists(p)
-
-
-def _delete(spark, path: str) -> None:
-    fs, p = _fs(spark, path)
-    fs.delete(p, True)

@@ -17,8 +17,6 @@ from pyspark.sql import functions as F
 from ..functions.numbers import rnd
 from ..session import stored
 
-# Tables up to this many rows are ranked with one plain window.
-SMALL_TABLE = 1_000_000
 # A table of ranks up to this many distinct values is small enough to broadcast.
 SMALL_LOOKUP = 500_000
 _INDEX_BITS = 33
@@ -29,7 +27,7 @@ def _order(terms: list[tuple[str, bool]]) -> list[Column]:
     return [F.col(c).desc_nulls_last() if down else F.col(c).asc_nulls_first() for c, down in terms]
 
 
-def _sorted_blocks(df: DataFrame, terms: list[tuple[str, bool]]) -> DataFrame:
+def sorted_blocks(df: DataFrame, terms: list[tuple[str, bool]]) -> DataFrame:
     """``df`` range-sorted and stored, with ``_block`` and place in block ``_at``."""
     place = F.monotonically_increasing_id()
     rows = stored(df.orderBy(*_order(terms)).withColumn("_place", place))
@@ -48,7 +46,7 @@ def _earlier(blocks: DataFrame, **totals: Column) -> DataFrame:
 
 def global_row_number(df: DataFrame, terms: list[tuple[str, bool]], name: str = "row_number") -> DataFrame:
     """Consecutive numbers from 1 in the given order, which should be total."""
-    blocks = _sorted_blocks(df, terms)
+    blocks = sorted_blocks(df, terms)
     offsets = F.broadcast(_earlier(blocks, _rows=F.count("*")))
     return (blocks.join(offsets, "_block")
             .withColumn(name, (F.col("_rows") + F.col("_at") + 1).cast("long"))
@@ -62,7 +60,7 @@ def value_ranks(df: DataFrame, column: str, descending: bool = True) -> DataFram
     from there on.
     """
     values = df.groupBy(column).agg(F.count("*").alias("n"))
-    blocks = _sorted_blocks(values, [(column, descending)])
+    blocks = sorted_blocks(values, [(column, descending)])
     offsets = F.broadcast(_earlier(blocks, _rows=F.sum("n"), _values=F.count("*")))
     before = W.partitionBy("_block").orderBy("_at").rowsBetween(W.unboundedPreceding, -1)
     inside = F.coalesce(F.sum("n").over(before), F.lit(0))
@@ -143,18 +141,21 @@ def _plain(df: DataFrame, spec: Rank, tiebreak: list[str]) -> Column:
 
 
 def with_ranks(df: DataFrame, specs: list[Rank], tiebreak: list[str],
-               small_table: int = SMALL_TABLE, small_lookup: int = SMALL_LOOKUP) -> DataFrame:
+               one_task: bool = False, small_lookup: int = SMALL_LOOKUP) -> DataFrame:
     """Add ranking columns to a table of any size.
 
-    The table is stored and counted first. A small one takes plain windows; a larger one
-    the range-sorted form, which gives the same numbers.
+    The table is stored once. Ranks are computed on the ranked columns alone, by range
+    sorts over many tasks, and joined to the rows in the end. ``one_task`` takes plain
+    windows instead, which hold all rows in one task: for callers whose tables have a bound
+    of their own (one row per tag).
     """
-    base = stored(df)
-    total = base.count()
-    if total <= small_table:
-        return base.withColumns({s.name: _plain(base, s, tiebreak) for s in specs})
+    base = stored(df.withColumn("_row", F.monotonically_increasing_id()))
+    if one_task:
+        return base.withColumns({s.name: _plain(base, s, tiebreak) for s in specs}).drop("_row")
 
-    out = base
+    total = base.count()
+    narrow = base.select(*dict.fromkeys(["_row", *tiebreak, *[s.by for s in specs], *[s.within for s in specs if s.within]]))
+    out = narrow
     value_specs: dict[tuple[str, bool], list[Rank]] = {}
     number_specs: dict[tuple[str, bool, str | None], list[Rank]] = {}
     for s in specs:
@@ -168,7 +169,7 @@ def with_ranks(df: DataFrame, specs: list[Rank], tiebreak: list[str],
         numbered = global_row_number(out, terms, "_number")
         if within:
             sizes = stored(numbered.groupBy(F.col(within).alias("_within")).agg(F.min("_number").alias("_first")))
-            if sizes.count() <= SMALL_LOOKUP:
+            if sizes.count() <= small_lookup:
                 sizes = F.broadcast(sizes)
             numbered = numbered.join(sizes, numbered[within].eqNullSafe(F.col("_within"))).withColumn(
                 "_number", F.col("_number") - F.col("_first") + 1).drop("_within", "_first")
@@ -178,7 +179,7 @@ def with_ranks(df: DataFrame, specs: list[Rank], tiebreak: list[str],
 
     for (by, down), group in value_specs.items():
         take = {"rank": "_rank", "dense_rank": "_dense"}
-        out = attach_ranks(out, value_ranks(base, by, down), by, total, take, small_lookup)
+        out = attach_ranks(out, value_ranks(narrow, by, down), by, total, take, small_lookup)
 
         def final(s: Rank) -> Column:
             if s.kind == "percent_rank":
@@ -186,4 +187,4 @@ def with_ranks(df: DataFrame, specs: list[Rank], tiebreak: list[str],
             return F.col("_rank") if s.kind == "rank" else F.col("_dense")
         out = out.withColumns({s.name: final(s) for s in group}).drop("_rank", "_dense")
 
-    return out.select(*df.columns, *[s.name for s in specs])
+    return base.join(out.select("_row", *[s.name for s in specs]), "_row").select(*df.columns, *[s.name for s in specs])

@@ -110,22 +110,35 @@ def middle_value(value: str, weight: Column, upto: Column, total: Column,
             + F.min(F.when(counted & (upto >= high), F.col(value)))) / 2.0
 
 
-def running_weight(key: str, value: str, weight: Column) -> tuple[Column, Column]:
-    """Weight up to a row in the order of values, and of the whole group."""
-    group = W.partitionBy(key)
-    upto = F.sum(weight).over(group.orderBy(value).rowsBetween(W.unboundedPreceding, 0))
-    return upto, F.sum(weight).over(group)
+def with_running_weight(df: DataFrame, key: str, value: str, weight: Column) -> DataFrame:
+    """``df`` with ``_w``, its running sum ``_upto`` in the order of values, and the group's ``_total``.
+
+    Rows are range-sorted on (key, value), so a large group lies in several tasks; what a
+    task adds up is one row per task and group, and sums before a task come from those.
+    """
+    from .ranking import sorted_blocks
+
+    blocks = sorted_blocks(df.withColumn("_w", weight), [(key, False), (value, False)])
+    parts = blocks.groupBy(F.col(key).alias("_key"), F.col("_block").alias("_part")).agg(F.sum("_w").alias("_sum"))
+    group = W.partitionBy("_key")
+    before = group.orderBy("_part").rowsBetween(W.unboundedPreceding, -1)
+    parts = parts.select("_key", "_part", F.coalesce(F.sum("_sum").over(before), F.lit(0)).alias("_before"),
+                         F.sum("_sum").over(group).alias("_total"))
+    inside = W.partitionBy(key, "_block").orderBy("_at").rowsBetween(W.unboundedPreceding, 0)
+    return (blocks.withColumn("_inside", F.sum("_w").over(inside))
+            .join(parts, blocks[key].eqNullSafe(F.col("_key")) & (F.col("_block") == F.col("_part")))
+            .withColumn("_upto", F.col("_before") + F.col("_inside"))
+            .drop("_key", "_part", "_before", "_inside", "_block", "_at"))
 
 
 def grouped_median(df: DataFrame, key: str, value: str, name: str = "median",
                    interpolate: bool = True) -> DataFrame:
     """Exact median per key.
 
-    Equal values are counted before the shuffle and a running count finds the middle, so
-    no task holds all the values of a large group in one buffer.
+    Equal values are counted before the shuffle and a running count over many tasks finds
+    the middle, so no task holds all the values of a large group.
     """
     counts = df.filter(F.col(value).isNotNull()).groupBy(key, value).agg(F.count("*").alias("_n"))
-    upto, total = running_weight(key, value, F.col("_n"))
-    placed = counts.select(key, value, "_n", upto.alias("_upto"), total.alias("_total"))
+    placed = with_running_weight(counts, key, value, F.col("_n"))
     return placed.groupBy(key).agg(
         middle_value(value, F.col("_n"), F.col("_upto"), F.col("_total"), interpolate).alias(name))

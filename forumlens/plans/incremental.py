@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..functions.calendar import Moment, as_python_date, day, ntz
+from ..functions.calendar import Moment, as_python_date, day, ntz, settled
 from ..operators.merge import MergeResult, MergeRule, merge_into_table, merge_upsert, read_watermark
+from ..session import scratch
 from ..sources import ingest as ing
 from ..sources import tables
 from . import dimensions, facts, refresh, staging
@@ -19,12 +21,13 @@ _LOAD = ("_ingested_at", "_batch_id", "_load_type")
 RAW_QUESTIONS = MergeRule(
     "id", ("score", "answer_count", "view_count", "favorite_count", "last_activity_date"),
     ("score", "answer_count", "view_count", "favorite_count", "accepted_answer_id", "last_activity_date",
-     "last_edit_date", *_LOAD), ("accepted_answer_id",))
+     "last_edit_date", *_LOAD), ("accepted_answer_id",), version_by="_ingested_at")
 RAW_ANSWERS = MergeRule(
-    "id", ("score", "last_activity_date"), ("score", "last_activity_date", "last_edit_date", *_LOAD))
+    "id", ("score", "last_activity_date"), ("score", "last_activity_date", "last_edit_date", *_LOAD),
+    version_by="_ingested_at")
 RAW_USERS = MergeRule(
     "id", ("reputation", "up_votes", "down_votes", "last_access_date"),
-    ("reputation", "up_votes", "down_votes", "last_access_date", "location", *_LOAD))
+    ("reputation", "up_votes", "down_votes", "last_access_date", "location", *_LOAD), version_by="_ingested_at")
 STG_QUESTIONS = MergeRule(
     "question_id", ("score", "answer_count", "view_count"),
     ("score", "answer_count", "view_count", "favorite_count", "accepted_answer_id", "is_answered",
@@ -101,22 +104,47 @@ def activity_keyed(activity: DataFrame) -> DataFrame:
 def run_incremental(spark: SparkSession, sources: refresh.Sources, root: str, as_of: Moment = None,
                     settings: refresh.Settings = refresh.Settings(), batch_id: str | None = None,
                     with_marts: bool = True) -> DataFrame:
-    """Bring every stored table up to ``as_of`` and log one audit row per step."""
+    """Bring every stored table up to ``as_of`` and log one audit row per step.
+
+    The clock and the batch id are settled once, so that a run over midnight is one run. A
+    step that fails leaves a FAILED row with its message and ends the run.
+    """
+    as_of, batch_id = settled(as_of), batch_id or str(uuid.uuid4())
     log_path = tables.table_path(root, "raw", "pipeline_audit_log")
     steps: list[tuple[str, MergeResult, str | None]] = []
+    doing = ["start"]
+
+    def log(*more: dict) -> DataFrame:
+        return tables.append_audit_log(spark, log_path, *[{
+            "run_id": batch_id, "step_name": table, "rows_processed": result.processed, "rows_inserted": result.inserted,
+            "rows_updated": result.updated, "watermark_used": dt.datetime.fromisoformat(mark) if mark else None}
+            for table, result, mark in steps], *more)
+
+    try:
+        with scratch(spark):
+            _run_steps(spark, sources, root, as_of, settings, batch_id, with_marts, steps, doing)
+    except Exception as error:
+        log({"run_id": batch_id, "step_name": doing[-1], "status": "FAILED", "error_message": str(error)[:1000]})
+        raise
+    return log()
+
 
+def _run_steps(spark, sources, root, as_of, settings, batch_id, with_marts, steps, doing) -> None:
     def read(layer, table, **kw):
         return tables.read_layer(spark, root, layer, table, **kw)
 
     def merge(layer, table, rows, rule, mark=None, between=None):
+        doing.append(table)
         steps.append((table, merge_into_table(root, layer, table, rows, rule, between), mark))
 
-    feeds = [(ing.QUESTIONS, sources.questions, RAW_QUESTIONS), (ing.ANSWERS, sources.answers, RAW_ANSWERS),
-             (ing.USERS_WITH_ACCOUNT, sources.users, RAW_USERS)]
-    for feed, source, rule in feeds:
+    feeds = [(ing.QUESTIONS, sources.questions, RAW_QUESTIONS, "stg_questions"),
+             (ing.ANSWERS, sources.answers, RAW_ANSWERS, "stg_answers"),
+             (ing.USERS_WITH_ACCOUNT, sources.users, RAW_USERS, "stg_users")]
+    for feed, source, rule, staged in feeds:
         # the newest load day holds the latest load time, so only its folder is read
         newest = tables.newest_folder(spark, root, "raw", feed.table)
-        mark = read_watermark(read("raw", feed.table, between=(newest, newest)), "_ingested_at")
+        last = read("raw", feed.table, between=(newest, newest)) if newest else read("staging", staged)
+        mark = read_watermark(last, "_ingested_at")
         merge("raw", feed.table, raw_changes(source, feed, mark, as_of, batch_id), rule, mark)
 
     cleaners = [("stg_questions", "raw_questions", staging.clean_questions, STG_QUESTIONS),
@@ -142,16 +170,17 @@ def run_incremental(spark: SparkSession, sources: refresh.Sources, root: str, as
     merge("warehouse", "fact_answers",
           facts.build_fact_answers(recent_a, read("staging", "stg_questions")), FACT_ANSWERS,
           between=("creation_date", *span))
+    doing.append("fact_user_activity")
     rebuild_activity(spark, root, span)
 
+    doing.append("quality_gate")
     refresh.check_warehouse(spark, root, as_of, settings)
     if with_marts:
+        doing.append("marts")
         refresh.refresh_marts(spark, root, as_of, settings)
-    return tables.append_audit_log(spark, log_path, *[{
-        "step_name": table, "rows_processed": result.processed, "rows_inserted": result.inserted,
-        "rows_updated": result.updated,
-        "watermark_used": dt.datetime.fromisoformat(mark) if mark else None}
-        for table, result, mark in steps])
+    doing.append("retention")
+    for feed, *_ in feeds:
+        tables.drop_expired(spark, root, feed.table, as_of=as_of)
 
 
 def rebuild_activity(spark: SparkSession, root: str, span: tuple[Moment, Moment]) -> None:

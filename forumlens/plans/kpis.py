@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions.calendar import Moment, ntz
 from ..functions.numbers import fixed_mean, fixed_sum, pct, rnd
 from ..operators.relational import one_row
 
@@ -17,7 +18,7 @@ def top_k(df: DataFrame, by: str, k: int = 10, descending: bool = True, tie: str
 
 
 def platform_overview(fact_questions: DataFrame, fact_answers: DataFrame, dim_user: DataFrame,
-                      dim_tag: DataFrame) -> DataFrame:
+                      dim_tag: DataFrame, as_of: Moment = None) -> DataFrame:
     """One row about the whole platform, from one aggregate per table."""
     users = (dim_user.filter(F.col("user_id") > 0).groupBy("user_id")
              .agg(F.max("is_active").alias("is_active")))
@@ -39,7 +40,7 @@ def platform_overview(fact_questions: DataFrame, fact_answers: DataFrame, dim_us
         pct("_answered", "_rows").alias("platform_answer_rate_pct"),
         pct("_accepted", "_rows").alias("platform_acceptance_rate_pct"),
         rnd(fixed_mean("_engagement", "_scored", 4), 2).alias("avg_question_engagement_score"),
-        "last_question_date", answers["last"].alias("last_answer_date"))
+        "last_question_date", answers["last"].alias("last_answer_date"), ntz(as_of).alias("report_generated_at"))
 
 
 def _analysis_year(growth: DataFrame):

@@ -21,7 +21,7 @@ from ..functions.numbers import (clamp, contribution_score, fixed_mean, fixed_su
                                  speed_score)
 from ..operators.ranking import Rank, with_ranks
 from ..operators.relational import (explode_tags, first_event, middle_value, minmax, one_row,
-                                     running_weight)
+                                     with_running_weight)
 from ..session import stored
 
 
@@ -121,7 +121,7 @@ def trending(growth: DataFrame, dim_tag: DataFrame, analysis_year: int | None =
     """Weighted popularity of tags; give ``growth`` as a stored table, it is read twice."""
     latest = stored(analysis_slice(growth, dim_tag, analysis_year, min_questions))
     scored = normalised_metrics(latest).withColumn("popularity_score", popularity_score())
-    ranked = with_ranks(scored, [Rank("popularity_rank", "rank", "popularity_score")], ["tag_name"])
+    ranked = with_ranks(scored, [Rank("popularity_rank", "rank", "popularity_score")], ["tag_name"], one_task=True)
     in_category = W.partitionBy("tag_category").orderBy(F.col("popularity_score").desc())
     return ranked.select(
         "tag_name", "tag_category", "popularity_score", "question_count", "yoy_growth_rate_pct",
@@ -163,7 +163,7 @@ def unanswered(fact_questions: DataFrame, min_questions: int = 50) -> DataFrame:
     stats = tag_answer_stats(fact_questions, min_questions).withColumn(
         "_share", ratio("unanswered_questions", "total_questions"))
     return with_ranks(stats, [Rank("rank_by_unanswered_count", "rank", "unanswered_questions"),
-                              Rank("rank_by_unanswered_pct", "rank", "_share")], ["tag_name"]).drop("_share")
+                              Rank("rank_by_unanswered_pct", "rank", "_share")], ["tag_name"], one_task=True).drop("_share")
 
 
 # -------------------------------------------------------------- contributors
@@ -283,6 +283,8 @@ def contributor_retention(activity: DataFrame) -> DataFrame:
             .drop("_before"))
 
 
+# Ranks of tags (``one_task``) hold one row per tag: the tag vocabulary, not the posts, bounds them.
+
 # -------------------------------------------------------------------- latency
 
 def question_latency(fact_questions: DataFrame, fact_answers: DataFrame,
@@ -349,8 +351,7 @@ def _exact_latency(pairs: DataFrame) -> DataFrame:
         F.count("*").alias("n"), F.count_if("answered").alias("a"),
         fixed_sum(accepted, 2).alias("s"), F.count(accepted).alias("c"))
     weight = F.when(first >= 0, F.col("n")).otherwise(F.lit(0))
-    upto, total = running_weight("tag_name", "hours_to_first_answer", weight)
-    placed = combined.withColumns({"_w": weight, "_upto": upto, "_total": total})
+    placed = with_running_weight(combined, "tag_name", "hours_to_first_answer", weight)
     hundredths = F.rint(first * 100.0).cast("long")
     return placed.groupBy("tag_name").agg(
         F.sum("n").alias("total_questions"), F.sum("a").alias("questions_with_answers"),
@@ -366,7 +367,7 @@ def answer_latency(fact_questions: DataFrame, fact_answers: DataFrame, min_quest
                    use_timestamps: bool = False, exact: bool = False) -> DataFrame:
     stats = tag_latency_stats(fact_questions, fact_answers, min_questions, use_timestamps, exact)
     fastest = Rank("rank_fastest_community", "rank", "_mean_hours", descending=False)
-    return with_ranks(stats, [fastest], ["tag_name"]).drop("_mean_hours")
+    return with_ranks(stats, [fastest], ["tag_name"], one_task=True).drop("_mean_hours")
 
 
 # ----------------------------------------------------------- community health
@@ -402,7 +403,7 @@ def health_scores(inputs: DataFrame) -> DataFrame:
 def community_health(unanswered_mart: DataFrame, latency: DataFrame, growth: DataFrame, dim_tag: DataFrame,
                      as_of: Moment = None, min_questions: int = 100) -> DataFrame:
     scored = health_scores(health_inputs(unanswered_mart, latency, growth, dim_tag, as_of, min_questions))
-    ranked = with_ranks(scored, [Rank("health_rank", "rank", "community_health_score")], ["tag_name"])
+    ranked = with_ranks(scored, [Rank("health_rank", "rank", "community_health_score")], ["tag_name"], one_task=True)
     components = [rnd(c, 2).alias(c) for c in ("response_rate_score", "acceptance_rate_score", "speed_score",
                                                "growth_score", "engagement_score")]
     return ranked.select(

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
 from dataclasses import dataclass, field
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..functions.calendar import Moment
+from ..functions.calendar import Moment, settled
+from ..session import scratch
 from ..sources import ingest as ing
 from ..sources import tables
 from . import dimensions, facts, marts, quality, staging
@@ -71,14 +73,22 @@ def check_warehouse(spark: SparkSession, root: str, as_of: Moment = None,
 
 
 def full_rebuild(spark: SparkSession, sources: Sources, root: str, as_of: Moment = None,
-                 settings: Settings = Settings(), with_marts: bool = True) -> None:
-    """Raw, staging, dimensions, facts, quality gate, marts."""
+                 settings: Settings = Settings(), with_marts: bool = True, batch_id: str | None = None) -> None:
+    """Raw, staging, dimensions, facts, quality gate, marts; one clock and one batch id for all of it."""
+    as_of, batch_id = settled(as_of), batch_id or str(uuid.uuid4())
+    with scratch(spark):
+        _rebuild(spark, sources, root, as_of, settings, with_marts, batch_id)
+
+
+def _rebuild(spark, sources, root, as_of, settings, with_marts, batch_id) -> None:
     def st(layer, table, df):
         return tables.store(df, root, layer, table)
 
-    raw_q = st("raw", "raw_questions", ing.ingest(sources.questions, ing.QUESTIONS, as_of))
-    raw_a = st("raw", "raw_answers", ing.ingest(sources.answers, ing.ANSWERS, as_of))
-    raw_u = st("raw", "raw_users", ing.ingest(sources.users, ing.USERS, as_of))
+    def load(feed, source):
+        return st("raw", feed.table, ing.ingest(source, feed, as_of, batch_id=batch_id))
+
+    raw_q, raw_a = load(ing.QUESTIONS, sources.questions), load(ing.ANSWERS, sources.answers)
+    raw_u = load(ing.USERS, sources.users)
     stg_q = st("staging", "stg_questions", staging.clean_questions(raw_q, as_of, settings.floor))
     stg_a = st("staging", "stg_answers", staging.clean_answers(raw_a, as_of, settings.floor))
     stg_u = st("staging", "stg_users", staging.clean_users(raw_u, as_of, settings.floor))
@@ -106,6 +116,5 @@ def publish_all(spark: SparkSession, root: str, prefix: str = "") -> list[str]:
                   "mart_community_health"],
     }
     tables.ensure_layers(spark, root, prefix=prefix)
-    from ..operators.merge import _exists
     return [tables.publish(spark, root, layer, t, prefix) for layer, names in contents.items()
-            for t in names if _exists(spark, tables.table_path(root, layer, t))]
+            for t in names if tables.exists(spark, tables.table_path(root, layer, t))]

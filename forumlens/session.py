@@ -1,11 +1,18 @@
-"""Session construction and the shared folder used to cut lineage."""
+"""Session construction, the shared folder, and relations stored in it."""
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
+import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
+_OPEN: list[list[str]] = []  # paths of relations stored within each open ``scratch`` block
+
 
 def build_session(app: str = "forumlens", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings every job here assumes; ``conf`` overrides them."""
@@ -29,8 +36,8 @@ def build_session(app: str = "forumlens", master: str | None = None, **conf: str
 def shared_folder(spark: SparkSession) -> str:
     """Folder every executor can reach, as named by ``spark.checkpoint.dir``.
 
-    A folder of our own is made only for a local session that names none; a cluster
-    session without the setting is an error, since executors could not read it back.
+    A folder of our own is made only for a local session that names none, and removed with
+    it; a cluster session without the setting is an error, since executors could not read it back.
     """
     current = spark.sparkContext.getCheckpointDir()
     if current:
@@ -40,15 +47,32 @@ def shared_folder(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         named = tempfile.mkdtemp(prefix="forumlens-")
+        atexit.register(shutil.rmtree, named, ignore_errors=True)
     spark.sparkContext.setCheckpointDir(named)
     return spark.sparkContext.getCheckpointDir()
 
 
 def stored(df: DataFrame) -> DataFrame:
-    """Compute ``df`` once into the shared folder and go on from there.
+    """Write ``df`` to Parquet in the shared folder and go on from the files.
 
     Used where one relation feeds several branches, or where a value (a sampled range
-    partitioning, a merge result) has to stay the same if a task is run again.
+    partitioning, a merge result) has to stay the same if a task is run again. Readers
+    take only the columns they need; filters reach the files.
     """
-    shared_folder(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(df.sparkSession)}/stored-{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    if _OPEN:
+        _OPEN[-1].append(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete relations stored inside the block when it ends; for runs that leave nothing lazy behind."""
+    _OPEN.append([])
+    try:
+        yield
+    finally:
+        for path in _OPEN.pop():
+            p = spark._jvm.org.apache.hadoop.fs.Path(path)
+            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)

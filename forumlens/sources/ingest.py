@@ -39,12 +39,10 @@ class Feed:
     contract: T.StructType
     guards: Guards
     activity: str
-    cluster_by: tuple[str, ...] = ("id",)
 
 
 QUESTIONS = Feed("raw_questions", "posts_questions", schemas.POST, question_guards, "last_activity_date")
-ANSWERS = Feed("raw_answers", "posts_answers", schemas.POST, answer_guards, "last_activity_date",
-               ("id", "parent_id"))
+ANSWERS = Feed("raw_answers", "posts_answers", schemas.POST, answer_guards, "last_activity_date")
 USERS = Feed("raw_users", "users", schemas.USER, user_guards, "last_access_date")
 USERS_WITH_ACCOUNT = Feed("raw_users", "users", schemas.USER_WITH_ACCOUNT, user_guards, "last_access_date")
 

@@ -57,10 +57,3 @@ def conform(df: DataFrame, contract: T.StructType) -> DataFrame:
 
     return df.select(*[column(f) for f in contract.fields])
 
-
-def require(df: DataFrame, names: list[str], table: str) -> DataFrame:
-    """Fail early, on the driver, when a layer hands over a table without these columns."""
-    missing = [n for n in names if n not in df.columns]
-    if missing:
-        raise ValueError(f"{table} lacks columns {missing}")
-    return df

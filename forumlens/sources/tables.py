@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import json
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -39,6 +40,61 @@ CLUSTERS = {
     "dim_user": ["reputation", "reputation_bucket"], "fact_questions": ["user_id", "score"],
     "fact_answers": ["question_id", "user_id"], "fact_user_activity": ["user_id"],
 }
+DESCRIPTIONS = {
+    "raw_questions": "Question versions as loaded", "raw_answers": "Answer versions as loaded",
+    "raw_users": "User versions as loaded", "stg_questions": "Newest valid version of each question",
+    "stg_answers": "Newest valid version of each answer", "stg_users": "Newest valid version of each user",
+    "dim_date": "Calendar", "dim_user": "Users with reputation ranks", "dim_tag": "Tags and their categories",
+    "fact_questions": "One row per question", "fact_answers": "One row per answer",
+    "fact_user_activity": "Posts per user and day", "mart_tag_growth": "Yearly growth per tag",
+    "mart_trending_technologies": "Popularity of tags", "mart_unanswered_questions": "Open questions per tag",
+    "mart_top_contributors": "Contribution per user", "mart_contributor_retention": "Contributors per month",
+    "mart_answer_latency": "Hours to answers per tag", "mart_community_health": "Health score per tag",
+}
+
+
+def _path(spark: SparkSession, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    fs, p = _path(spark, path)
+    return fs.exists(p)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    fs, p = _path(spark, path)
+    fs.delete(p, True)
+
+
+def touch(spark: SparkSession, path: str) -> None:
+    """An empty file as a mark."""
+    fs, p = _path(spark, path)
+    fs.create(p, True).close()
+
+
+def save_schema(spark: SparkSession, path: str, schema: T.StructType) -> None:
+    """Keep the table's columns beside its files: folders written earlier may lack newer ones."""
+    fs, p = _path(spark, f"{path}/_columns.json")
+    out = fs.create(p, True)
+    out.write(bytearray(schema.json().encode()))
+    out.close()
+
+
+def saved_schema(spark: SparkSession, path: str) -> T.StructType | None:
+    fs, p = _path(spark, f"{path}/_columns.json")
+    if not fs.exists(p):
+        return None
+    stream = fs.open(p)
+    text = spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    stream.close()
+    return T.StructType.fromJson(json.loads(text))
+
+
+def _with_layout(schema: T.StructType, table: str) -> T.StructType:
+    own = [f for f in schema.fields if table not in PARTITIONS or f.name != PARTITIONS[table][0]]
+    return T.StructType([*own, *([T.StructField(PARTITIONS[table][0], T.DateType())] if table in PARTITIONS else [])])
 
 
 def table_path(root: str, layer: str, table: str) -> str:
@@ -58,11 +114,20 @@ def ensure_layers(spark: SparkSession, root: str, names: dict[str, str] = LAYERS
 
 
 def publish(spark: SparkSession, root: str, layer: str, table: str, prefix: str = "") -> str:
-    """Make a stored table visible to SQL as ``layer.table``."""
-    name = f"`{prefix}{layer}`.`{table}`"
-    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} USING parquet LOCATION '{table_path(root, layer, table)}'")
+    """Make a stored table visible to SQL as ``layer.table``, with its present columns and folders.
+
+    The table is external: declaring it again where columns were added touches no file.
+    """
+    name, path = f"`{prefix}{layer}`.`{table}`", table_path(root, layer, table)
+    fields = _with_layout(saved_schema(spark, path) or spark.read.parquet(path).schema, table)
+    if spark.catalog.tableExists(f"{prefix}{layer}.{table}") and spark.table(name).columns != fields.names:
+        spark.sql(f"DROP TABLE {name}")
+    columns = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in fields)
+    layout = f"PARTITIONED BY (`{PARTITIONS[table][0]}`)" if table in PARTITIONS else ""
+    about = DESCRIPTIONS.get(table, LAYERS.get(layer, "")).replace("'", "")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({columns}) USING parquet {layout} COMMENT '{about}' LOCATION '{path}'")
     if table in PARTITIONS:
-        spark.sql(f"MSCK REPAIR TABLE {name}")
+        spark.sql(f"MSCK REPAIR TABLE {name} SYNC PARTITIONS")
     spark.sql(f"REFRESH TABLE {name}")
     return name
 
@@ -102,22 +167,55 @@ def store(df: DataFrame, root: str, layer: str, table: str, dynamic: bool = Fals
     part = PARTITIONS[table][0] if table in PARTITIONS else None
     out = df.withColumn(part, value) if part else df
     write_layer(out, path, part, CLUSTERS.get(table), dynamic=dynamic and part is not None)
+    save_schema(df.sparkSession, path, df.schema)
     return read_layer(df.sparkSession, root, layer, table, schema=df.schema)
 
 
+def append(df: DataFrame, root: str, layer: str, table: str) -> None:
+    """Add rows to a table as new files; other files are not touched, new columns are noted."""
+    path, value = table_path(root, layer, table), partition_value(table)
+    part = PARTITIONS[table][0] if table in PARTITIONS else None
+    write_layer(df.withColumn(part, value) if part else df, path, part, CLUSTERS.get(table), mode="append")
+    known = saved_schema(df.sparkSession, path)
+    if known is None or set(df.columns) - set(known.names):
+        save_schema(df.sparkSession, path, df.schema)
+
+
+def read_files(spark: SparkSession, root: str, layer: str, table: str, files: list[str]) -> DataFrame:
+    """Some files of a table, without its layout column."""
+    path = table_path(root, layer, table)
+    schema = saved_schema(spark, path) or read_layer(spark, root, layer, table).schema
+    return (spark.read.schema(_with_layout(schema, table)).option("basePath", path).parquet(*files)
+            .drop(PARTITIONS[table][0] if table in PARTITIONS else ""))
+
+
+def replace_files(spark: SparkSession, df: DataFrame, root: str, layer: str, table: str, old: list[str]) -> list:
+    """Write ``df`` as new files, then delete ``old`` ones and folders that are left empty; the folders touched."""
+    append(df, root, layer, table)
+    folders = {f.rsplit("/", 1)[0] for f in old}
+    for f in old:
+        delete(spark, f)
+    for folder in folders:
+        fs, p = _path(spark, folder)
+        if not any(s.getPath().getName().endswith(".parquet") for s in fs.listStatus(p)):
+            fs.delete(p, True)
+    return sorted(f.rsplit("=", 1)[-1] for f in folders)
+
+
 def read_layer(spark: SparkSession, root: str, layer: str, table: str,
                columns: list[str] | None = None, between: tuple[Moment, Moment] | None = None,
-               schema=None, keep_partition: bool = False) -> DataFrame:
-    """A stored table without its layout column.
+               schema=None, keep_partition: bool = False, with_file: str | None = None) -> DataFrame:
+    """A stored table without its layout column, with all columns it ever got.
 
     ``between`` (two days) restricts the partitions that are opened; callers filter the
-    rows themselves.
+    rows themselves. ``with_file`` adds the name of each row's file.
     """
-    reader = spark.read
-    if schema is not None:
-        layout = [T.StructField(PARTITIONS[table][0], T.DateType())] if table in PARTITIONS else []
-        reader = reader.schema(T.StructType([*schema.fields, *layout]))
-    df = reader.parquet(table_path(root, layer, table))
+    path = table_path(root, layer, table)
+    schema = schema or saved_schema(spark, path)
+    reader = spark.read.schema(_with_layout(schema, table)) if schema is not None else spark.read
+    df = reader.parquet(path)
+    if with_file:
+        df = df.select("*", F.col("_metadata.file_path").alias(with_file))
     if table in PARTITIONS:
         if between is not None:
             df = folders_between(df, table, *between)
@@ -162,6 +260,8 @@ def drop_expired(spark: SparkSession, root: str, table: str, days: int = RAW_RET
     base = jvm.org.apache.hadoop.fs.Path(table_path(root, "raw", table))
     fs = base.getFileSystem(spark._jsc.hadoopConfiguration())
     removed = []
+    if not fs.exists(base):
+        return removed
     for status in fs.listStatus(base):
         name = status.getPath().getName()
         if name.startswith(f"{part}=") and name.split("=", 1)[1] < oldest.isoformat():

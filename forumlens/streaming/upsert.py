@@ -1,29 +1,41 @@
 """Upserts from a stream of source rows.
 
 Each micro-batch is reduced to the newest row per key and merged like a daily change set.
-Merging the same batch twice changes nothing, so a batch that is replayed after a failure
-is harmless; the stream keeps no state besides its checkpoint and the target table.
+Batches that were merged are noted by number beside the stream's checkpoint, so a replayed
+batch is skipped; one that stopped half-way is merged again, which changes nothing that was
+done. A row older than what the table holds never overwrites it, whatever batch it comes in.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators.merge import MergeRule, merge_into_table
 from ..operators.relational import dedup_latest
+from ..session import scratch
+from ..sources import tables
 
 
 def stream_upsert(stream: DataFrame, root: str, layer: str, table: str, rule: MergeRule,
                   order_by: Sequence[str], checkpoint: str,
                   prepare: Callable[[DataFrame], DataFrame] | None = None) -> StreamingQuery:
     """Merge everything the stream has available into a stored table, then stop."""
-    def batch(rows: DataFrame, _batch_id: int) -> None:
+    newer = replace(rule, only_if_newer=rule.only_if_newer or order_by[0])
+
+    def batch(rows: DataFrame, batch_id: int) -> None:
+        spark = rows.sparkSession
+        done = f"{checkpoint}/merged/{batch_id}"
+        if tables.exists(spark, done):
+            return
         ready = prepare(rows) if prepare else rows
         rest = [c for c in ready.columns if c not in (rule.key, *order_by)]
-        merge_into_table(root, layer, table, dedup_latest(ready, [rule.key], order_by, rest), rule)
+        with scratch(spark):
+            merge_into_table(root, layer, table, dedup_latest(ready, [rule.key], order_by, rest), newer)
+        tables.touch(spark, done)
 
     return (stream.writeStream.foreachBatch(batch).option("checkpointLocation", checkpoint)
             .trigger(availableNow=True).start())

@@ -28,25 +28,25 @@ EXPECT = [(1, 6, None, "s", "UPDATE"),   # ordinary change
           (4, 0, 0, "t", "KEEP"), (9, 1, 1, "s", "INSERT")]
 
 
-@pytest.mark.parametrize("size", [None, 4])
-def test_merge_semantics_in_both_forms(spark, size):
-    assert rows(mg.merge_upsert(target(spark), source(spark), RULE, source_rows=size)) == rows(
+def test_merge_semantics(spark):
+    assert rows(mg.merge_upsert(target(spark), source(spark), RULE)) == rows(
         spark.createDataFrame(EXPECT, "id long, score long, best long, note string, _action string"))
 
 
-@pytest.mark.parametrize("size", [None, 4])
-def test_second_merge_changes_nothing(spark, size):
+def test_second_merge_changes_nothing(spark):
     rule = MergeRule("id", ("score",), ("score", "note", "best"), ("best",))
-    once = mg.merge_upsert(target(spark), source(spark), rule, source_rows=size).drop("_action")
-    twice = mg.merge_upsert(once, source(spark), rule, source_rows=size)
+    once = mg.merge_upsert(target(spark), source(spark), rule).drop("_action")
+    twice = mg.merge_upsert(once, source(spark), rule)
     assert twice.filter("_action <> 'KEEP'").count() == 0
     assert rows(twice.drop("_action")) == rows(once)
 
 
-def test_small_merge_does_not_shuffle_the_target(spark):
-    plan = mg.merge_upsert(target(spark), source(spark), RULE, check=False, source_rows=4)
-    text = plan._jdf.queryExecution().executedPlan().toString()
-    assert "SortMergeJoin" not in text and "Exchange hashpartitioning" not in text
+def test_null_and_repeated_keys(spark):
+    kind = "id long, score long, best long, note string"
+    old = spark.createDataFrame([(None, 1, 1, "keep me"), (1, 5, 1, "a"), (1, 4, 1, "b")], kind)
+    new = spark.createDataFrame([(None, 9, 9, "new"), (1, 5, 1, "c")], kind)
+    assert rows(mg.merge_upsert(old, new, RULE).drop("best")) == [
+        (None, 1, "keep me", "KEEP"), (None, 9, "new", "INSERT"), (1, 5, "a", "KEEP"), (1, 5, "c", "UPDATE")]
 
 
 def test_duplicate_source_keys_raise(spark):
@@ -100,16 +100,18 @@ def test_only_changed_folders_are_rewritten(spark, root):
     assert (again.inserted, again.updated) == (0, 0)
 
 
+def raw(spark, values):
+    return spark.createDataFrame([(i, s, dt.datetime.fromisoformat(d)) for i, s, d in values],
+                                 "id long, score long, _ingested_at timestamp_ntz").withColumn("parent_id", F.lit(0).cast("long"))
+
+
+MOVING = MergeRule("id", ("score",), ("score", "_ingested_at"))
+
+
 def test_rows_move_between_load_days_and_empty_folders_go(spark, root):
-    rule = MergeRule("id", ("score",), ("score", "_ingested_at"))
-
-    def raw(values):
-        return spark.createDataFrame([(i, s, dt.datetime.fromisoformat(d)) for i, s, d in values],
-                                     "id long, score long, _ingested_at timestamp_ntz").withColumn(
-            "parent_id", F.lit(0).cast("long"))
-    tables.store(raw([(1, 1, "2020-01-01"), (2, 1, "2020-01-02"), (3, 1, "2020-01-02")]), root, "raw", "raw_answers")
-    mg.merge_into_table(root, "raw", "raw_answers", raw([(1, 2, "2020-01-03"), (2, 5, "2020-01-03"),
-                                                         (8, 8, "2020-01-03")]), rule)
+    tables.store(raw(spark, [(1, 1, "2020-01-01"), (2, 1, "2020-01-02"), (3, 1, "2020-01-02")]), root, "raw", "raw_answers")
+    mg.merge_into_table(root, "raw", "raw_answers", raw(spark, [(1, 2, "2020-01-03"), (2, 5, "2020-01-03"),
+                                                                (8, 8, "2020-01-03")]), MOVING)
     back = tables.read_layer(spark, root, "raw", "raw_answers", ["id", "score"])
     assert rows(back) == [(1, 2), (2, 5), (3, 1), (8, 8)]
     left = sorted(f for f in os.listdir(f"{root}/raw/raw_answers") if f.startswith("load_day="))
@@ -117,6 +119,47 @@ def test_rows_move_between_load_days_and_empty_folders_go(spark, root):
     assert tables.newest_folder(spark, root, "raw", "raw_answers") == "2020-01-03"
 
 
+def test_repeated_target_keys_lose_no_new_rows(spark, root):
+    tables.store(raw(spark, [(1, 1, "2020-01-01")] * 3), root, "raw", "raw_answers")
+    done = mg.merge_into_table(root, "raw", "raw_answers", raw(spark, [(1, 1, "2020-01-03"), (2, 1, "2020-01-03"),
+                                                                       (3, 1, "2020-01-03")]), MOVING)
+    assert (done.inserted, done.updated) == (2, 0)
+    assert rows(tables.read_layer(spark, root, "raw", "raw_answers", ["id"])) == [(1,), (1,), (1,), (2,), (3,)]
+
+
+def test_every_copy_of_a_key_is_updated(spark, root):
+    tables.store(raw(spark, [(1, 5, "2020-01-01"), (1, 4, "2020-01-02"), (None, 7, "2020-01-02")]), root, "raw", "raw_answers")
+    done = mg.merge_into_table(root, "raw", "raw_answers", raw(spark, [(1, 5, "2020-01-03"), (2, 1, "2020-01-03"),
+                                                                       (3, 1, "2020-01-03")]), MOVING)
+    assert (done.inserted, done.updated) == (2, 1)
+    assert rows(tables.read_layer(spark, root, "raw", "raw_answers", ["id", "score"])) == [
+        (None, 7), (1, 5), (1, 5), (2, 1), (3, 1)]
+
+
+def test_columns_that_appear_later_are_kept(spark, root):
+    wide = lambda values: raw(spark, values).withColumn("account_id", F.col("id") * 10)
+    tables.store(raw(spark, [(1, 1, "2020-01-01")]), root, "raw", "raw_users")
+    mg.merge_into_table(root, "raw", "raw_users", wide([(2, 1, "2020-01-02")]), MOVING)
+    mg.merge_into_table(root, "raw", "raw_users", wide([(3, 1, "2020-01-03"), (1, 2, "2020-01-03")]), MOVING)
+    assert rows(tables.read_layer(spark, root, "raw", "raw_users", ["id", "score", "account_id"])) == [
+        (1, 2, None), (2, 1, 20), (3, 1, 30)]
+
+
+def test_versions_go_to_their_own_folder(spark, root):
+    rule = MergeRule("id", ("score",), ("score", "_ingested_at"), version_by="_ingested_at")
+    tables.store(raw(spark, [(1, 1, "2020-01-01"), (1, 1, "2020-01-01"), (2, 1, "2020-01-01")]), root, "raw", "raw_answers")
+    folder = f"{root}/raw/raw_answers/load_day=2020-01-01"
+    before = sorted(os.listdir(folder))
+    change = raw(spark, [(1, 1, "2020-01-03"), (2, 5, "2020-01-03"), (3, 8, "2020-01-03")])
+    done = mg.merge_into_table(root, "raw", "raw_answers", change, rule)
+    assert (done.inserted, done.updated) == (1, 1) and sorted(os.listdir(folder)) == before
+    whole = tables.read_layer(spark, root, "raw", "raw_answers")
+    assert rows(whole.select("id", "score")) == [(1, 1), (1, 1), (2, 1), (2, 5), (3, 8)]
+    assert rows(mg.newest_versions(whole, rule).select("id", "score")) == [(1, 1), (1, 1), (2, 5), (3, 8)]
+    again = mg.merge_into_table(root, "raw", "raw_answers", change, rule)
+    assert (again.inserted, again.updated) == (0, 0)
+
+
 def test_expiry_drops_whole_folders(spark, root):
     df = spark.createDataFrame([(1, dt.datetime(2020, 1, 1)), (2, dt.datetime(2020, 3, 1))],
                                "id long, _ingested_at timestamp_ntz")
@@ -130,10 +173,8 @@ def test_late_copy_does_not_overwrite_a_newer_one(spark):
     rule = MergeRule("id", ("score",), ("score", "best"), only_if_newer="best")
     old = spark.createDataFrame([(1, 5, 20), (2, 5, 20)], "id long, score long, best long")
     new = spark.createDataFrame([(1, 9, 10), (2, 9, 30)], "id long, score long, best long")
-    for size in (None, 2):
-        got = {r["id"]: (r["score"], r["_action"]) for r in
-               mg.merge_upsert(old, new, rule, source_rows=size).collect()}
-        assert got == {1: (5, "KEEP"), 2: (9, "UPDATE")}
+    got = {r["id"]: (r["score"], r["_action"]) for r in mg.merge_upsert(old, new, rule).collect()}
+    assert got == {1: (5, "KEEP"), 2: (9, "UPDATE")}
 
 
 def test_reads_open_only_the_asked_folders(spark, root):

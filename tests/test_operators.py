@@ -75,8 +75,8 @@ def skewed(spark, n):
 @pytest.mark.parametrize("lookup", [0, 10_000])
 def test_distributed_ranks_equal_windows(spark, n, lookup):
     df = skewed(spark, n)
-    plain = rk.with_ranks(df, SPECS, ["id"])
-    spread = rk.with_ranks(df, SPECS, ["id"], small_table=0, small_lookup=lookup)
+    plain = rk.with_ranks(df, SPECS, ["id"], one_task=True)
+    spread = rk.with_ranks(df, SPECS, ["id"], small_lookup=lookup)
     assert plain.columns == spread.columns
     assert rows(plain) == rows(spread)
 
