@@ -212,7 +212,8 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
                     .join(nodes.select("node", "doc_id"), "node"), "neardup-wanted")
 
     # one text per node that has a candidate: the first by id; its whole shingle set is stored once
-    texts = rows_of(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", wanted)
+    given = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
+    texts = rows_of(given, "doc_id", wanted).unionByName(given.filter("doc_id is null"))
     sets = stored(texts.select("text").mapInArrow(_shingle_rows(width, weights), "node bigint, items array<bigint>, weights array<double>")
                   .join(wanted.select("node"), "node", "left_semi").groupBy("node")
                   .agg(F.any_value("items").alias("items"), F.any_value("weights").alias("weights")), "neardup-sets")
@@ -321,10 +322,10 @@ def deduplicated(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
                   "neardup-gone")
     clean = rows_not_of(docs.filter(F.col(id_col).isNotNull()), id_col, gone)
     # ids that are NULL or repeated say nothing about a row: its node decides
-    node, alone, rank = fresh(docs, "_node", "_alone", "_rank")
+    node, alone, rank, root, named = fresh(docs, "_node", "_alone", "_rank", "_root", "_class")
     unsure = with_nodes(rows_of(docs, id_col, repeated).unionByName(docs.filter(F.col(id_col).isNull())),
                         text_col, node, alone, width, weights)
-    of = classes.select(F.col("node").alias(node), F.col("root").alias("_root_of"), F.col("class_id").alias("_class_of"))
-    chosen = (unsure.filter(~F.col(alone)).join(of, node).filter(F.col(id_col).eqNullSafe(F.col("_class_of")))
-              .withColumn(rank, F.row_number().over(Window.partitionBy("_root_of").orderBy(node))).filter(F.col(rank) == 1))
+    of = classes.select(F.col("node").alias(node), F.col("root").alias(root), F.col("class_id").alias(named))
+    chosen = (unsure.filter(~F.col(alone)).join(of, node).filter(F.col(id_col).eqNullSafe(F.col(named)))
+              .withColumn(rank, F.row_number().over(Window.partitionBy(root).orderBy(node))).filter(F.col(rank) == 1))
     return clean.unionByName(chosen.select(*docs.columns)).unionByName(unsure.filter(alone).select(*docs.columns))
