@@ -14,7 +14,7 @@ more than another. Of equal vectors only the k + 1 smallest ids can be among any
 nearest, so only those go on. Hyperplanes are random; a bounded sample gives the centre.
 
 Candidates per query are a share of all rows: the given vectors have no cluster structure
-(neighbours are at 0.7 to 0.8 of the usual distance), and a fixed number would lose recall as rows grow.
+(the tenth neighbour is at about 0.8 of the usual distance), and a fixed number would lose recall as rows grow.
 
 Defined results: vectors that are NULL, zero or hold NULL, NaN or infinite components take
 no part, nor do rows without an id or of another dimension than most. Repeated rows count once.
