@@ -83,26 +83,32 @@ def _kernel(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return (a @ b.T) / size
 
 
+def _unpacked(bits: np.ndarray) -> np.ndarray:
+    return np.unpackbits(bits, axis=1).astype(np.float32)
+
+
 def fit(rows: list[np.ndarray], labels: list[str], landmarks: int = LANDMARKS, ridge: float = RIDGE) -> LanguageModel:
     """Fit on presence rows (packed bits) and their languages."""
     languages = sorted(set(labels))
     if not languages:
         return LanguageModel([], np.zeros((0, SLOTS // 8), np.uint8), np.zeros((0, 0), np.float32), np.zeros(0, np.float32))
-    x = np.unpackbits(np.stack(rows), axis=1).astype(np.float32)
+    packed = np.stack(rows)
     y = np.array([languages.index(v) for v in labels])
     each = max(1, landmarks // len(languages))
     chosen = np.concatenate([np.flatnonzero(y == c)[:each] for c in range(len(languages))])
-    values, vectors = np.linalg.eigh(_kernel(x[chosen], x[chosen]).astype(np.float64))
+    marks = _unpacked(packed[chosen])
+    values, vectors = np.linalg.eigh(_kernel(marks, marks).astype(np.float64))
     good = values > 1e-6 * values.max()
     whiten = vectors[:, good] / np.sqrt(values[good])
-    z = _kernel(x, x[chosen]) @ whiten
+    # a block of rows at a time: whole, the sample's matrix would take hundreds of megabytes of the driver
+    z = np.concatenate([_kernel(_unpacked(packed[a:a + _TEXTS]), marks) for a in range(0, len(packed), _TEXTS)]) @ whiten
     target = np.where(y[:, None] == np.arange(len(languages)), 1.0, -1.0)
     # every language weighs the same, however many texts it has
     weight = (len(y) / (len(languages) * np.bincount(y)))[y][:, None]
     centre, mean = (weight * z).sum(0) / weight.sum(), (weight * target).sum(0) / weight.sum()
     zc = z - centre
     beta = np.linalg.solve(zc.T @ (weight * zc) + ridge * len(y) / 100 * np.eye(z.shape[1]), zc.T @ (weight * (target - mean)))
-    return LanguageModel(languages, np.packbits(x[chosen].astype(bool), axis=1), (whiten @ beta).astype(np.float32),
+    return LanguageModel(languages, packed[chosen], (whiten @ beta).astype(np.float32),
                          (mean - centre @ beta).astype(np.float32))
 
 
@@ -152,7 +158,7 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
 
 def _predict(model: LanguageModel, text_at: int, names: list[str]):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        landmarks = np.unpackbits(model.landmarks, axis=1).astype(np.float32)
+        landmarks = _unpacked(model.landmarks)
         for batch in batches:
             texts = batch.column(text_at).to_pylist()
             for a, b in text_blocks(texts, 1 << 20):
