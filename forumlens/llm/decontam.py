@@ -150,7 +150,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
                    .mapInArrow(_items(least), f"item {kind}, tokens array<bigint>, seeds array<bigint>")
                    .filter(F.size("seeds") > 0).withColumn("item_key", F.xxhash64("tokens")), "decontam-items")
     once = items.groupBy("item_key").agg(F.any_value("tokens").alias("tokens"), F.any_value("seeds").alias("seeds"))
-    seeds = once.select("item_key", F.size("tokens").alias("n_words"), F.explode(F.array_distinct("seeds")).alias("seed"))
+    # a seed counts at every place of the item it stands at: each tiled word lies in the ``least`` words of such a place
+    seeds = (once.select("item_key", F.size("tokens").alias("n_words"), F.explode("seeds").alias("seed"))
+             .groupBy("item_key", "seed").agg(F.count(F.lit(1)).alias("places"), F.any_value("n_words").alias("n_words")))
 
     # the hash is unsigned in Python: its low bits are the same
     slot = F.expr(f"seed & {FILTER_BITS - 1}L")
@@ -165,7 +167,7 @@ def leaks(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_co
                   .mapInArrow(_seeded_runs(least, bitmap), "key bigint, start bigint, tokens array<bigint>, seeds array<bigint>")
                   .dropDuplicates(["key", "start"]), "decontam-runs")
     shared = runs.select("key", F.explode("seeds").alias("seed")).distinct().join(seeds, "seed")
-    pairs = (shared.groupBy("key", "item_key").agg(F.count(F.lit(1)).alias("n"), F.max("n_words").alias("n_words"))
+    pairs = (shared.groupBy("key", "item_key").agg(F.sum("places").alias("n"), F.max("n_words").alias("n_words"))
              .filter(F.col("n") * least >= F.lit(coverage) * F.col("n_words")).select("key", "item_key"))
     by_text = runs.groupBy("key").agg(F.collect_list(F.struct("start", "tokens")).alias("runs"))  # of one text
     tiled = (pairs.join(by_text, "key").join(once.select("item_key", "tokens"), "item_key").select("key", "item_key", "runs", "tokens")

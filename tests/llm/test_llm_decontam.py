@@ -83,3 +83,15 @@ def test_given_documents_equal_brute_force(spark):
                 covered = sum(k for k, _, _ in greedy(p, t[near[0]:near[-1] + 5], 5)) / len(p)
                 want += [(d, item.item_id)] if covered >= 0.5 else []
     assert rows(decontam.contaminated(docs, items).select("doc_id", "item_id")) == sorted(want)
+
+
+def test_items_that_repeat_themselves_are_found(spark):
+    line = "aa bb cc dd ee ff gg hh ii jj"
+    items = [" ".join([line] * 12), " ".join(["one"] * 30), f"{A} {A} {A} {B}"]
+    docs = [f"before {items[0]} after", f"so {items[1]} it is", f"{line} and no more", "one " * 12 + "two", f"{A}. {A}", " ".join([line] * 6)]
+    want = [(d, i) for d, text in enumerate(docs) for i, item in enumerate(items)
+            if sum(k for k, _, _ in greedy(common.words(item), common.words(text), 5)) >= 0.5 * len(common.words(item))]
+    assert want == [(0, 0), (1, 1), (5, 0)]
+    df, benchmark = spark.createDataFrame(list(enumerate(docs)), DOC), spark.createDataFrame(list(enumerate(items)), ITEM)
+    assert rows(decontam.contaminated(df, benchmark).select("doc_id", "item_id")) == want
+    assert [r[0] for r in rows(decontam.decontaminated(df, benchmark))] == [2, 3, 4]
