@@ -2,11 +2,13 @@
 
 The base finds e-mail addresses, IPv4 addresses, card numbers and phone numbers by their
 form. Around every run of tokens with a digit or an @ sign, lexical patterns are read off:
-the two words before, the words on either side, the two words after. Runs that hold a base
-match are seeds of its kind. Patterns and instances then score each other in rounds over
-their graph: a pattern by the share of its instances that are of a kind, an instance by the
-patterns it stands in (noisy or). Runs without a base match whose score reaches
-``CONFIDENCE`` by patterns with at least ``SUPPORT`` different seeds are reported as well.
+the two words before, the words on either side, the two words after. The tokens of a base
+match are a run of their own, a seed of its kind; those beside it are cut off as further runs.
+Patterns and instances then score each other in rounds over their graph: a pattern by the
+share of its instances that are of a kind, an instance by the patterns it stands in (noisy
+or). Runs without a base match whose score reaches ``CONFIDENCE`` by patterns with at least
+``SUPPORT`` different seeds are reported and are seeds of their kind from the next round on;
+there are ``ROUNDS`` rounds, and more as long as the last one found something.
 
 DataFrame functions throughout. Scores are computed on distinct (pattern, instance) pairs,
 so copies of a document count once and a frequent word is combined before any shuffle.
@@ -38,6 +40,10 @@ _NEEDS = {"email": r"@[A-Za-z0-9-]", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][ -]?
 _BYTE = r"0*(?:25[0-5]|2[0-4][0-9]|1?[0-9]?[0-9])"
 _TOKEN = r"(?=[^\s0-9@]*+[0-9@])\S++"
 RUN = rf"(?<!\S){_TOKEN}(?: {_TOKEN})*+"
+#: Stand for the characters of base matches, one for each kind, where a run is cut; other uses in the run count as ``_OTHER``.
+_MARKS, _OTHER = "\ue000\ue001\ue002\ue003", "\ue004"
+#: One token that a base match touches (its spaces are marked as well), or tokens that none touches.
+_PIECE = rf"[^ {_MARKS}]*+[{_MARKS}][^ ]*+|[^ {_MARKS}]++(?: [^ {_MARKS}]++(?![^ ]))*+"
 SUPPORT, CONFIDENCE, ROUNDS = 3, 0.8, 3
 
 
@@ -95,25 +101,52 @@ def _words(text: Column, first: bool) -> Column:
     return F.filter(F.split(F.lower(near), r"[^\p{L}\p{N}']+", -1), lambda w: w != "")
 
 
+def _marked(run: Column, start: Column, inside: Column) -> Column:
+    """A run with the characters of base matches replaced by the mark of their kind; of overlapping ones the first counts."""
+    at = lambda acc, s: F.greatest(acc["at"], s["start"] - start)
+    end = lambda s: F.least(s["end"] - start, F.length(run))  # noqa: E731  # a match may reach into the next run
+    plain = F.translate(run, _MARKS, _OTHER * len(_MARKS))
+    mark = lambda s: F.substring(F.lit(_MARKS), s["kind"] + 1, F.lit(1))
+    zero = F.struct(F.lit(0).alias("at"), F.lit("").alias("text"))
+    done = F.aggregate(inside, zero, lambda acc, s: F.struct(
+        F.greatest(acc["at"], end(s)).alias("at"),
+        F.concat(acc["text"], F.substring(plain, acc["at"] + 1, at(acc, s) - acc["at"]),
+                 F.repeat(mark(s), F.greatest(F.lit(0), end(s) - at(acc, s)))).alias("text")))
+    return F.concat(done["text"], F.substring(plain, done["at"] + 1, F.length(plain)))
+
+
 def occurrences(rows: DataFrame) -> DataFrame:
-    """(key, start, end, instance, kinds, pattern) of every run, from rows (key, text, base)."""
+    """(key, start, end, instance, seed, patterns) of every run, from rows (key, text, base)."""
     gaps, hits = _located(F.col("text"), RUN)
-    found = (rows.filter(F.col("text").rlike("[0-9@]")).withColumns({"gaps": gaps, "hits": hits})
+    whole = (rows.filter(F.col("text").rlike("[0-9@]")).withColumns({"gaps": gaps, "hits": hits})
              .withColumn("ends", _ends(F.col("gaps"), F.col("hits")))
              .select("key", "base", F.posexplode(F.arrays_zip("hits", "ends")).alias("i", "run"), "gaps")
              .select("key", "base", F.col("run.hits").alias("run"), F.col("run.ends").alias("run_end"),
-                     F.get("gaps", F.col("i")).alias("before"), F.get("gaps", F.col("i") + 1).alias("after")))
+                     F.get("gaps", F.col("i")).alias("before"), F.get("gaps", F.col("i") + 1).alias("after"))
+             .withColumn("run_start", F.col("run_end") - F.length("run"))
+             .withColumn("inside", F.filter("base", lambda s: (s["start"] < F.col("run_end")) & (s["end"] > F.col("run_start")))))
+    pieces = F.when(F.size("inside") > 0, F.regexp_extract_all(_marked(F.col("run"), F.col("run_start"), F.col("inside")), F.lit(_PIECE), F.lit(0))
+                    ).otherwise(F.array(F.translate("run", _MARKS, _OTHER * len(_MARKS))))
+    # one space lies between pieces
+    ends = running_total(F.transform("pieces", lambda p: F.length(p) + 1))
+    cut = (whole.withColumn("pieces", pieces).withColumn("n", F.size("pieces"))
+           .select("key", "run", "run_start", "before", "after", "n", F.posexplode(F.arrays_zip("pieces", ends.alias("ends"))).alias("i", "piece"))
+           .withColumn("at", F.col("piece.ends") - 1 - F.length("piece.pieces")))
+    found = cut.select("key", F.substring("run", F.col("at") + 1, F.length("piece.pieces")).alias("run"),
+                       (F.col("run_start") + F.col("piece.ends") - 1).alias("run_end"),
+                       (F.instr(F.lit(_MARKS), F.nullif(F.regexp_extract("piece.pieces", f"[{_MARKS}]", 0), F.lit(""))) - 1).alias("seed"),
+                       F.when(F.col("i") == 0, F.col("before")).otherwise(" ").alias("before"),
+                       F.when(F.col("i") == F.col("n") - 1, F.col("after")).otherwise(" ").alias("after"))
     lead = F.length(F.regexp_extract("run", r"^[^\p{L}\p{N}+(@]*", 0))
     cut = F.regexp_replace(F.regexp_replace("run", r"^[^\p{L}\p{N}+(@]+", ""), r"[^\p{L}\p{N})]+$", "")
     start = F.col("run_end") - F.length("run") + lead
-    placed = found.select("key", "base", "before", "after", cut.alias("instance"), start.alias("start"),
+    placed = found.select("key", "seed", "before", "after", cut.alias("instance"), start.alias("start"),
                           (start + F.length(cut)).alias("end")).filter(F.length("instance") >= 4)
     left, right = _words(F.col("before"), False), _words(F.col("after"), True)
     l1, l2 = (F.coalesce(F.try_element_at("left", F.lit(-n)), F.lit("^")) for n in (1, 2))
     r1, r2 = (F.coalesce(F.try_element_at("right", F.lit(n)), F.lit("$")) for n in (1, 2))
-    inside = F.filter("base", lambda s: (s["start"] < F.col("end")) & (s["end"] > F.col("start")))
-    return (placed.withColumns({"left": left, "right": right, "inside": inside})
-            .select("key", "start", "end", "instance", F.get(F.transform("inside", lambda s: s["kind"]), F.lit(0)).alias("seed"),
+    return (placed.withColumns({"left": left, "right": right})
+            .select("key", "start", "end", "instance", "seed",
                     F.array(F.concat_ws(" ", l2, l1, F.lit("_")), F.concat_ws(" ", l1, F.lit("_"), r1),
                             F.concat_ws(" ", F.lit("_"), r1, r2)).alias("patterns")))
 
@@ -124,28 +157,33 @@ def discovered(found: DataFrame, support: int = SUPPORT, confidence: float = CON
                    .groupBy("pattern", "instance").agg(F.min("seed").alias("seed")), "pii-edges")
     seeds = (edges.filter("seed is not null").groupBy("instance").agg(F.min("seed").alias("kind"))
              .withColumn("score", F.lit(1.0)))
-    scores = seeds = stored(seeds, "pii-seeds")
-    # patterns that no seed ever stands in score nothing in any round
-    seeded = (edges.join(seeds, "instance").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
-              .filter(F.col("seeds") >= support))
-    sizes = edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n"))
-    strong = stored(seeded.join(sizes, "pattern"), "pii-patterns")
-    open_edges = stored(edges.join(strong.select("pattern").distinct(), "pattern").select("pattern", "instance"), "pii-graph")
-    for _ in range(rounds):
+    scores = known = seeds = stored(seeds, "pii-seeds")
+    sizes = stored(edges.groupBy("pattern").agg(F.count(F.lit(1)).alias("n")), "pii-sizes")
+    done = 0
+    while True:
+        # patterns with support among all that is known by now; others score nothing in this round
+        strong = stored(edges.join(known, "instance").groupBy("pattern", "kind").agg(F.count(F.lit(1)).alias("seeds"))
+                        .filter(F.col("seeds") >= support).join(sizes, "pattern"), "pii-patterns")
+        open_edges = stored(edges.join(strong.select("pattern").distinct(), "pattern").select("pattern", "instance"), "pii-graph")
         weight = open_edges.join(scores, "instance").groupBy("pattern", "kind").agg(F.sum("score").alias("mass"))
         reliable = (strong.join(weight, ["pattern", "kind"])
                     .select("pattern", "kind", F.least(F.lit(0.999), F.col("mass") / F.col("n")).alias("trust")))
         told = (open_edges.join(reliable, "pattern").groupBy("instance", "kind")
                 .agg((1 - F.exp(F.sum(F.log1p(-F.col("trust"))))).alias("score"))
-                .join(seeds.select("instance"), "instance", "left_anti"))
-        best = (told.groupBy("instance").agg(F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("kind")).alias("kind"))).alias("b"))
-                .select("instance", (-F.col("b.kind")).alias("kind"), F.col("b.score").alias("score")))
-        before, scores = scores, stored(seeds.unionByName(best), "pii-scores")
-        if before is not seeds:
-            discard(before)
-    new = scores.filter(F.col("score") >= confidence).join(seeds.select("instance"), "instance", "left_anti").select("instance", "kind")
-    out = stored(new, "pii-new")
-    for df in (edges, seeds, strong, open_edges, scores):
+                .join(known.select("instance"), "instance", "left_anti"))
+        best = stored(told.groupBy("instance").agg(F.max(F.struct(F.round("score", 9).alias("score"), (-F.col("kind")).alias("kind"))).alias("b"))
+                      .select("instance", (-F.col("b.kind")).alias("kind"), F.col("b.score").alias("score")), "pii-best")
+        sure = F.col("score") >= confidence
+        n_new = best.filter(sure).count()
+        old, scores = {id(x): x for x in (known, scores) if x is not seeds}, stored(known.unionByName(best), "pii-scores")
+        known = stored(known.unionByName(best.filter(sure)), "pii-known")
+        for df in (*old.values(), strong, open_edges, best):
+            discard(df)
+        done += 1
+        if done >= rounds and not n_new:
+            break
+    out = stored(known.join(seeds.select("instance"), "instance", "left_anti").select("instance", "kind"), "pii-new")
+    for df in (edges, sizes, seeds, scores, known):
         discard(df)
     return out
 

@@ -69,3 +69,35 @@ def test_redaction_of_overlapping_spans_and_nulls(spark):
     assert got[0] == (None, "[IP] und [CARD]é") and got[2:] == [(2, None), (3, ""), (4, "[EMAIL]")]
     assert got[1] == (1, "x [PHONE] y")  # a phone number whose digits are a card number too
     assert pii.redacted(df.limit(0)).columns == ["doc_id", "text"]
+
+
+def added_of(spark, docs):
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    return {docs[r.doc_id]: [(docs[r.doc_id][a:b], k) for a, k, b in r.added] for r in pii.personal_data(df).collect()}
+
+
+def test_found_identifiers_support_further_contexts(spark):
+    first = [f"please call me at +1 555 010 {i:04d} tomorrow" for i in range(8)]
+    docs = [*first, *[f"please call me at 555-01{k}9 tomorrow" for k in "4"], "fax of ours: 555-0149 ask reception",
+            *[f"fax of ours: +1 555 010 {i:04d} ask reception" for i in (0, 1)], "fax of ours: 555-7777 ask reception", "the year 1999 was good"]
+    # two base seeds and one found identifier stand in the fax context: together they support it
+    got = added_of(spark, docs)
+    assert got["please call me at 555-0149 tomorrow"] == [("555-0149", 3)]
+    assert got["fax of ours: 555-7777 ask reception"] == [("555-7777", 3)] and got["the year 1999 was good"] == []
+
+
+def test_tokens_beside_a_base_match_stay_instances(spark):
+    seeds = [f"please call me at +1 555 010 {i:04d} tomorrow" for i in range(8)]
+    docs = [*seeds, "write a@b.com 555-0199 tomorrow", "a@b.com c@d.org \ue000x555-0177 tomorrow", "é x=1.2.3.4; 4111 1111 1111 1111 x555-0188 tomorrow"]
+    got = added_of(spark, docs)
+    assert [got[d] for d in docs[8:]] == [[("555-0199", 3)], [("x555-0177", 3)], [("x555-0188", 3)]]
+    assert not any(got[d] for d in seeds)
+
+
+def test_runs_are_cut_at_base_matches(spark):
+    df = spark.createDataFrame([(t, t) for t in texts()], "key string, text string").repartition(8)
+    found = pii.with_base_spans(df, F.col("text"), "base")
+    base = {r.key: [tuple(s) for s in r.base] for r in found.collect()}
+    for r in pii.occurrences(found).collect():
+        assert r.key[r.start:r.end] == r.instance
+        assert r.seed == next((k for a, k, b in base[r.key] if a < r.end and b > r.start), None), repr((r.key[:200], r.instance))
