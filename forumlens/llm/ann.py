@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from .common import small_batches, stored
 
 #: Trees, bits of a hash string, and the candidates to ascend to, as a share of all rows counted over all trees.
-TREES, BITS, SHARE, LEAST = 64, 32, 0.5, 4000
+TREES, BITS, SHARE = 64, 32, 0.75
 BLOCK_ROWS, QUERY_ROWS, SAMPLE_ROWS = 8192, 1024, 4096
 SEED = 20170
 
@@ -149,7 +149,8 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_i
         everywhere(q).groupBy("block", "portion")).applyInArrow(f, schema))
 
     counts = meet(portioned, _count(dim, centre), "query_id bigint, counts array<bigint>")
-    enough = max(LEAST, int(share * n))
+    # a row is counted once a tree at most: from so many on there are k others; it decides below TREES * (k + 1) / share rows only
+    enough = max(TREES * (k + 1), int(share * n))
     levels = (counts.select("query_id", F.posexplode("counts").alias("level", "n")).groupBy("query_id", "level").agg(F.sum("n").alias("n"))
               .groupBy("query_id").agg(F.coalesce(F.max(F.when(F.col("n") >= enough, F.col("level"))), F.lit(0)).cast("long").alias("level")))
     levels = stored(levels, "ann-levels")

@@ -49,3 +49,17 @@ def test_many_equal_vectors_and_few_candidates(spark):
     two = df.filter("vec_id IN (0, 100)")
     assert rows(ann.nearest(two, two.filter("vec_id = 0"), 4).select("query_id", "rank", "vec_id")) == [(0, 1, 100)]
     assert ann.nearest(df.limit(0), df.limit(0)).count() == 0
+
+
+def test_recall_at_the_production_share(spark):
+    e = spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").toPandas()
+    x = np.stack(e.embedding.values).astype(float)
+    assert not hasattr(ann, "LEAST") and ann.TREES * 11 < ann.SHARE * len(x)  # no floor decides at this size
+    # more rows than are given: Gaussian vectors of the same mean and covariance
+    n = 10_000
+    y = np.random.default_rng(3).multivariate_normal(x.mean(0), np.cov(x.T), n)
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(y)], "vec_id long, embedding array<double>")
+    want = brute(range(n), y, range(0, n, 500), 10)
+    got = {(r.query_id, r.vec_id) for r in ann.nearest(df, df.filter(F.col("vec_id") % 500 == 0), 10).collect()}
+    hits = sum((q, v) in got for q, near in want.items() for v, _ in near)
+    assert hits >= 0.92 * 200
