@@ -17,7 +17,9 @@ Candidates per query are a share of all rows: the given vectors have no cluster
 (the tenth neighbour is at about 0.8 of the usual distance), and a fixed number would lose recall as rows grow.
 
 Defined results: vectors that are NULL, zero or hold NULL, NaN or infinite components take
-no part, nor do rows without an id or of another dimension than most. Repeated rows count once.
+no part, nor do rows without an id or of another dimension than most. Repeated rows count once; of several
+vectors with one id the smallest, component by component, stands for it. A query whose ascent finds
+fewer than k rows is compared with all of them.
 """
 
 from __future__ import annotations
@@ -36,12 +38,12 @@ SEED = 20170
 
 
 def usable(df: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """Distinct (vec_id, vector) that take part."""
+    """(vec_id, vector) that take part, one row per id."""
     v = F.col("vector")
     rows = df.select(F.col(id_col).cast("long").alias("vec_id"), F.col(vector_col).cast("array<double>").alias("vector")).filter(
         F.col("vec_id").isNotNull() & v.isNotNull()
-        & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0)).distinct()
-    return rows
+        & ~F.exists(v, lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf"))) & F.exists(v, lambda x: x != 0))
+    return rows.groupBy("vec_id").agg(F.min("vector").alias("vector"))
 
 
 def _matrix(column: pa.ChunkedArray, dim: int) -> np.ndarray:
@@ -149,13 +151,18 @@ def nearest(df: DataFrame, queries: DataFrame, k: int = 10, id_col: str = "vec_i
         everywhere(q).groupBy("block", "portion")).applyInArrow(f, schema))
 
     counts = meet(portioned, _count(dim, centre), "query_id bigint, counts array<bigint>")
-    # a row is counted once a tree at most: from so many on there are k others; it decides below TREES * (k + 1) / share rows only
-    enough = max(TREES * (k + 1), int(share * n))
+    enough = max(1, int(share * n))
     levels = (counts.select("query_id", F.posexplode("counts").alias("level", "n")).groupBy("query_id", "level").agg(F.sum("n").alias("n"))
               .groupBy("query_id").agg(F.coalesce(F.max(F.when(F.col("n") >= enough, F.col("level"))), F.lit(0)).cast("long").alias("level")))
     levels = stored(levels, "ann-levels")
-    found = meet(portioned.join(levels, portioned["vec_id"] == levels["query_id"]).drop("query_id"), _compare(dim, centre, k),
-                 "query_id bigint, vec_id bigint, score double")
+    schema = "query_id bigint, vec_id bigint, score double"
+    found = stored(meet(portioned.join(levels, portioned["vec_id"] == levels["query_id"]).drop("query_id"), _compare(dim, centre, k), schema), "ann-found")
+    # the same rows from several trees are one candidate: whoever found too few others asks every row
+    full = found.groupBy("query_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= k).select(F.col("query_id").alias("vec_id"))
+    short = stored(portioned.join(full, "vec_id", "left_anti").withColumn("level", F.lit(0).cast("long")), "ann-short")
+    if not short.isEmpty():
+        found = found.join(short.select(F.col("vec_id").alias("query_id")), "query_id", "left_anti").unionByName(
+            meet(short.select("vec_id", "vector", "portion", "level"), _compare(dim, centre, k), schema))
     rank = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return (found.withColumn("rank", F.row_number().over(rank)).filter(F.col("rank") <= k)
             .select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score"))

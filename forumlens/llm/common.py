@@ -74,10 +74,10 @@ def fresh(df: DataFrame, *wanted: str) -> list[str]:
 
 
 class _WordHashes(dict):
-    """64-bit hash by word; forgotten when it holds a million words, so that its size is bounded."""
+    """64-bit hash by word; forgotten when it holds 50,000 words (7 MB), since workers live through many stages."""
 
     def __missing__(self, word: str) -> int:
-        if len(self) > 1_000_000:
+        if len(self) >= 50_000:
             self.clear()
         value = self[word] = xxhash.xxh64_intdigest(word)
         return value
@@ -135,12 +135,12 @@ def shingles(texts: Iterable[str | None], width: int = SHINGLE_WORDS) -> tuple[n
     return doc, value
 
 
-def text_blocks(texts: list, most: int = 4 << 20) -> Iterator[tuple[int, int]]:
-    """Ranges of a batch with about ``most`` characters each; a longer text is a range of its own."""
+def text_blocks(texts: list, most: int = 1 << 20, rows: int = 256) -> Iterator[tuple[int, int]]:
+    """Ranges of a batch with about ``most`` characters and at most ``rows`` texts; a longer text is a range of its own."""
     start = size = 0
     for i, text in enumerate(texts):
         n = len(text) if text else 0
-        if i > start and size + n > most:
+        if i > start and (size + n > most or i - start >= rows):
             yield start, i
             start, size = i, 0
         size += n

@@ -30,7 +30,7 @@ from .common import rows_of, small_batches, stored, text_blocks
 
 SAMPLE_ROWS, LANDMARKS, SLOTS, ORDERS, RIDGE = 2000, 128, 1 << 15, 3, 1e-2
 UNKNOWN = "und"
-_TEXTS = 128
+_TEXTS, _SHARES = 128, 64
 _LETTERS: dict[str, np.ndarray] = {}
 
 
@@ -133,7 +133,7 @@ def _presence_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
                                               pa.array(known)], names=["lang", "key", "bits", "known"])
 
 
-def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang",
+def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
           sample_rows: int = SAMPLE_ROWS) -> LanguageModel:
     """Fit on at most ``sample_rows`` different labelled texts, as many of each language (fewer where it has fewer).
 
@@ -142,15 +142,15 @@ def train(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_
     """
     small_batches(docs.sparkSession)
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
-        F.col(id_col).alias("doc_id"), F.col(lang_col).cast("string").alias("lang"), F.xxhash64(text_col).alias("key"))
-    counts = labelled.groupBy("lang", "key").agg(F.min("doc_id").alias("doc_id"))
-    ranked = stored(counts.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key", "doc_id")))
-                    .filter(F.col("rank") <= sample_rows), "langid-sample")
+        F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
+    # the smallest of each share of a language, then of the language: no task ranks a whole language
+    first = lambda rows, *by: rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", *by).orderBy("key"))).filter(F.col("rank") <= sample_rows)
+    shares = labelled.select("lang", "key").distinct().withColumn("share", F.pmod(F.shiftright("key", 7), F.lit(_SHARES)))
+    ranked = stored(first(first(shares, "share").select("lang", "key")), "langid-sample")
     languages = max(1, ranked.select("lang").distinct().count())
     chosen = ranked.filter(F.col("rank") <= max(1, sample_rows // languages)).orderBy("rank", "lang").limit(sample_rows)
-    chosen = stored(chosen.select("doc_id", "lang", "key"), "langid-chosen")
-    texts = rows_of(docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")), "doc_id", chosen)
-    rows = (texts.withColumn("key", F.xxhash64("text")).join(chosen, ["doc_id", "key"]).select("lang", "key", "text")
+    chosen = stored(chosen.select("lang", "key"), "langid-chosen")
+    rows = (rows_of(labelled, "key", chosen).join(chosen, ["lang", "key"]).groupBy("lang", "key").agg(F.min("text").alias("text"))
             .mapInArrow(_presence_rows, "lang string, key bigint, bits binary, known boolean").filter("known"))
     found = sorted({(r.key, r.lang, bytes(r.bits)) for r in rows.collect()})  # at most sample_rows rows of 4 KB
     return fit([np.frombuffer(b, np.uint8) for _, _, b in found], [lang for _, lang, _ in found])
@@ -173,7 +173,8 @@ def _predict(model: LanguageModel, text_at: int, names: list[str]):
 
 def classified(docs: DataFrame, model: LanguageModel, text_col: str = "text", lang_as: str = "lang_pred",
                score_as: str = "score") -> DataFrame:
-    """``docs`` with the predicted language of every whole text and its score."""
+    """``docs`` with the predicted language of every whole text and its score; columns of these names are replaced."""
     small_batches(docs.sparkSession)
+    docs = docs.drop(lang_as, score_as)
     schema = T.StructType([*docs.schema.fields, T.StructField(lang_as, T.StringType()), T.StructField(score_as, T.DoubleType())])
     return docs.mapInArrow(_predict(model, docs.columns.index(text_col), schema.names), schema)

@@ -63,3 +63,21 @@ def test_recall_at_the_production_share(spark):
     got = {(r.query_id, r.vec_id) for r in ann.nearest(df, df.filter(F.col("vec_id") % 500 == 0), 10).collect()}
     hits = sum((q, v) in got for q, near in want.items() for v, _ in near)
     assert hits >= 0.92 * 200
+
+
+def test_recall_on_few_rows(spark):
+    e = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet").toPandas()
+    ids, x = e.vec_id.values, np.stack(e.embedding.values).astype(float)
+    assert len(ids) < 940
+    df = spark.createDataFrame(e[["vec_id", "embedding"]])
+    want = brute(ids, x, [i for i in ids if i % 20 == 0], 10)
+    got = {(r.query_id, r.vec_id) for r in ann.nearest(df, df.filter(F.col("vec_id") % 20 == 0), 10).collect()}
+    hits = sum((q, v) in got for q, near in want.items() for v, _ in near)
+    print("recall", hits / sum(map(len, want.values())))
+    assert hits >= 0.9 * sum(map(len, want.values()))
+
+
+def test_an_id_with_two_vectors_is_the_smaller_one(spark):
+    df = spark.createDataFrame([(1, [5.0, 5.0]), (1, [1.0, 0.0]), (2, [1.0, 1.0]), (3, [0.0, 9.0])], "vec_id long, embedding array<double>")
+    got = rows(ann.nearest(df, df.filter("vec_id = 1"), 3).select("query_id", "rank", "vec_id", "score"))
+    assert got == [(1, 1, 2, 1.0), (1, 2, 3, np.sqrt(82.0))]

@@ -39,3 +39,14 @@ def test_the_sample_has_its_bound_and_every_language(spark):
     data = [(i, f"text number {i} of many", "xx") for i in range(300)] + [(1000, "the only one", "yy")]
     model = langid.train(spark.createDataFrame(data, KIND), sample_rows=10)
     assert model.languages == ["xx", "yy"] and len(model.landmarks) <= 10
+
+
+def test_labelled_rows_without_ids_train_and_names_may_clash(spark):
+    data = [(None, "the cat and the dog sat there", "en"), (None, "der hund und die katze sind hier", "de")] * 3
+    docs = spark.createDataFrame(data, KIND)
+    model = langid.train(docs)
+    assert model.languages == ["de", "en"]
+    clash = docs.withColumn("score", F.lit("old")).withColumn("LANG_PRED", F.lit(7))
+    got = langid.classified(clash, model)
+    assert got.columns == ["doc_id", "text", "lang", "lang_pred", "score"]
+    assert got.filter("lang = lang_pred").count() == 6
