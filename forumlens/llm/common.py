@@ -208,6 +208,32 @@ def joined_by_id(df: DataFrame, key: str, facts: DataFrame) -> DataFrame:
     return sure.unionByName(rest)
 
 
+# ---- facts of groups that may hold any share of the rows
+
+#: Groups that are broadcast in ``joined_by_group``.
+LARGE_GROUPS = 1000
+
+
+def joined_by_group(rows: DataFrame, keys: list[str], groups: DataFrame, size: str) -> DataFrame:
+    """Left join of ``rows`` with ``groups`` (one row per key, NULL keys included; ``size`` is its number of rows).
+
+    The ``LARGE_GROUPS`` largest groups are broadcast, and only rows of other groups are
+    shuffled: whatever share of the rows one key has, no task receives it. ``rows`` is read
+    twice and should be stored.
+    """
+    hit, = fresh(rows, "_hit")
+    mine = fresh(rows, *(f"_key_{k}" for k in keys))
+    named = groups.select(*[F.col(k).alias(m) for k, m in zip(keys, mine)], *[c for c in groups.columns if c not in keys])
+    large = stored(named.orderBy(F.desc(size), *mine).limit(LARGE_GROUPS).withColumn(hit, F.lit(True)), "large-groups")
+    same = reduce(lambda a, b: a & b, [F.col(k).eqNullSafe(F.col(m)) for k, m in zip(keys, mine)])
+    added = [c for c in groups.columns if c not in keys]
+    first = rows.join(F.broadcast(large), same, "left")
+    small = named.join(F.broadcast(large.select(*[F.col(m).alias(f"{m}_") for m in mine])),
+                       reduce(lambda a, b: a & b, [F.col(m).eqNullSafe(F.col(f"{m}_")) for m in mine]), "left_anti")
+    rest = first.filter(F.col(hit).isNull()).select(*rows.columns).join(small, same, "left")
+    return first.filter(F.col(hit)).select(*rows.columns, *added).unionByName(rest.select(*rows.columns, *added))
+
+
 # ---- connected components
 
 

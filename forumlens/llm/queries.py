@@ -7,8 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import ann, chat, decontam, langid, neardup, packing, pii, secret_scan, suffix, tokencount
-from .common import stored
+from . import align, ann, chat, decontam, langid, neardup, packing, pii, rules, secret_scan, suffix, tokencount, vectorcode
+from .common import joined_by_group, stored
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
@@ -118,3 +118,72 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents; the forest learns from candidates labelled by form."""
     found = secret_scan.described(table(spark, sf_dir, "documents"))
     return secret_scan.secrets(found, secret_scan.train(secret_scan.labelled_by_form(found)))
+
+
+@query("op11_diagonal_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tokens of two tokenizers aligned over every document, and how its links stand in the corpus."""
+    rows, files = align.aligned_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return align.alignment_digest(rows, files, align.link_counts(rows))
+
+
+@query("op12_laesa_codes")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Code and error of every vector, and the error of its label."""
+    coded, books = vectorcode.compressed(table(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label"))
+    coded = stored(coded, "vectorcode-codes")
+    code = F.array_join(F.transform("code", lambda i: F.lower(F.lpad(F.hex(i), 2, "0"))), "")
+    labels = coded.groupBy("label").agg(F.sum("error").alias("label_error"), F.count(F.lit(1)).alias("n"))
+    rows = joined_by_group(coded, ["label"], labels, "n")
+    return rows.select("vec_id", code.alias("code"), "error", "label_error", F.lit(books.digest() if books else None).cast("string").alias("codebooks_sha256"))
+
+
+@query("op13_adaptive_rules")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Base measures of every document and the verdict of thresholds of its language and source."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    rows = stored(rules.measured(docs).drop("text"), "rules-rows")
+    limits = rules.thresholds(stored(rules.sketched(rows, ["lang", "source"]), "rules-sketches"))
+    done = rules.judged(rows, limits)
+    return done.select("doc_id", *[f"quality.{m}" for m in rules.MEASURES], "quality.base_failed", "kept")
+
+
+# the base measures by unnesting, thresholds by plain sums over the same buckets
+ORACLE["op13_adaptive_rules"] = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text FROM documents),
+t AS (SELECT r, unnest(ws) AS word, generate_subscripts(ws, 1) AS pos FROM (
+  SELECT r, list_filter(regexp_split_to_array(text, '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM d)),
+w AS (SELECT r, count(*) AS n_words, CAST(sum(length(word)) AS BIGINT) AS word_chars FROM t GROUP BY r),
+run AS (SELECT r, pos, word || ' ' || lead(word, 1) OVER o || ' ' || lead(word, 2) OVER o AS three FROM t WINDOW o AS (PARTITION BY r ORDER BY pos)),
+twice AS (SELECT r, pos FROM run WHERE three IS NOT NULL QUALIFY count(*) OVER (PARTITION BY r, three) > 1),
+again AS (SELECT r, count(*) AS n FROM (SELECT r, pos FROM twice UNION SELECT r, pos + 1 FROM twice UNION SELECT r, pos + 2 FROM twice) GROUP BY r),
+l AS (SELECT r, count(*) AS n_lines, count(*) - count(DISTINCT line) AS repeated FROM (SELECT r, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '[^\x20\x09-\x0D]') GROUP BY r),
+m AS (SELECT d.r, doc_id, lang, source, coalesce(n_words, 0) AS n_words, coalesce(word_chars, 0) AS word_chars,
+    CAST(length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols, coalesce(repeated, 0) AS n_dup_lines,
+    coalesce(again.n, 0) AS n_repeat_words, coalesce(n_lines, 0) AS n_lines
+  FROM d LEFT JOIN w USING (r) LEFT JOIN l USING (r) LEFT JOIN again USING (r)),
+s AS (SELECT r, lang, source, 'word_length' AS signal, word_chars * 100 // n_words AS v FROM m WHERE n_words > 0
+  UNION ALL SELECT r, lang, source, 'symbols', n_symbols * 10000 // word_chars FROM m WHERE n_words > 0
+  UNION ALL SELECT r, lang, source, 'dup_lines', n_dup_lines * 10000 // n_lines FROM m WHERE n_words > 0
+  UNION ALL SELECT r, lang, source, 'repeats', n_repeat_words * 10000 // n_words FROM m WHERE n_words > 0),
+b AS (SELECT *, CASE WHEN v < 128 THEN v ELSE (CAST(v AS BIGINT) >> (length(bin(v)) - 7)) << (length(bin(v)) - 7) END AS f FROM s),
+least AS (SELECT * FROM (VALUES ('word_length', 40), ('symbols', 60), ('dup_lines', 700), ('repeats', 700)) x(signal, spread)),
+ranked AS (SELECT signal, f, lang, source,
+    row_number() OVER (PARTITION BY lang, source, signal ORDER BY f) AS i0, count(*) OVER (PARTITION BY lang, source, signal) AS n0,
+    row_number() OVER (PARTITION BY lang, signal ORDER BY f) AS i1, count(*) OVER (PARTITION BY lang, signal) AS n1,
+    row_number() OVER (PARTITION BY signal ORDER BY f) AS i2, count(*) OVER (PARTITION BY signal) AS n2 FROM b),
+q AS (SELECT 0 AS level, lang, source, signal, n0 AS n, min(f) FILTER (i0 * 4 >= n0) AS q1, min(f) FILTER (i0 * 4 >= n0 * 3) AS q3 FROM ranked GROUP BY ALL
+  UNION ALL SELECT 1, lang, NULL, signal, n1, min(f) FILTER (i1 * 4 >= n1), min(f) FILTER (i1 * 4 >= n1 * 3) FROM ranked GROUP BY ALL
+  UNION ALL SELECT 2, NULL, NULL, signal, n2, min(f) FILTER (i2 * 4 >= n2), min(f) FILTER (i2 * 4 >= n2 * 3) FROM ranked GROUP BY ALL),
+fence AS (SELECT level, lang, source, signal, n, greatest(q1 - 3 * greatest(q3 - q1, spread), 0) AS low, q3 + 3 * greatest(q3 - q1, spread) AS high FROM q JOIN least USING (signal)),
+lf AS (SELECT x.lang, x.signal, (x.low * x.n + y.low * 100) // (x.n + 100) AS low, (x.high * x.n + y.high * 100) // (x.n + 100) AS high
+  FROM fence x JOIN fence y ON y.level = 2 AND y.signal = x.signal WHERE x.level = 1),
+gf AS (SELECT x.lang, x.source, x.signal, (x.low * x.n + y.low * 100) // (x.n + 100) AS low, (x.high * x.n + y.high * 100) // (x.n + 100) AS high
+  FROM fence x JOIN lf y ON y.lang IS NOT DISTINCT FROM x.lang AND y.signal = x.signal WHERE x.level = 0),
+out AS (SELECT DISTINCT s.r FROM s JOIN gf ON gf.lang IS NOT DISTINCT FROM s.lang AND gf.source IS NOT DISTINCT FROM s.source AND gf.signal = s.signal
+  WHERE s.v > gf.high OR (s.signal = 'word_length' AND s.v < gf.low))
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+  n_words < 50 OR n_repeat_words * 100 > n_words * 50 AS base_failed,
+  NOT (n_words < 50 OR n_repeat_words * 100 > n_words * 50) AND r NOT IN (SELECT r FROM out) AS kept
+FROM m"""
