@@ -3,8 +3,8 @@
 Runs of ``least`` words that a document shares with a benchmark item are its seeds. Seeds are
 joined on their hash; a bitmap of the benchmark's seeds, of fixed size whatever the
 benchmark's, keeps other runs out of the shuffle. Every (document, item) pair whose seeds
-could cover the threshold is then tiled: a running Karp-Rabin search finds the longest
-common run of unmarked words, marks it in both texts and starts again, down to ``least``
+could cover the threshold is then tiled: Karp-Rabin hashes find the common runs, and the
+longest run of unmarked words is marked in both texts, again and again, down to ``least``
 words. As tiles may stand in any order, a passage with its sentences rearranged is covered
 like the original. An item is leaked where tiles cover the threshold share of its words.
 
@@ -18,7 +18,7 @@ stand there; a repeated item is reported under each of its ids.
 
 from __future__ import annotations
 
-from collections import defaultdict
+import heapq
 from collections.abc import Iterator
 
 import numpy as np
@@ -32,43 +32,69 @@ from .common import FILTER_BITS, fresh, maybe_in, rows_not_of, small_batches, st
 LEAST_WORDS, COVERAGE = 5, 0.5
 
 
-def _common(p: np.ndarray, t: np.ndarray, free_p: np.ndarray, free_t: np.ndarray, s: int) -> list[tuple[int, int, int]]:
-    """Maximal common runs of at least s unmarked words: (length, place in p, place in t)."""
-    hp, ht = window_hashes(p, s), window_hashes(t, s)
-    open_p = np.flatnonzero(np.convolve(free_p, np.ones(s, int), "valid") == s)
-    open_t = np.flatnonzero(np.convolve(free_t, np.ones(s, int), "valid") == s)
-    wanted = set(hp[open_p].tolist())
-    places = defaultdict(list)
-    for j in open_t[np.isin(ht[open_t], hp[open_p])].tolist():
-        if (h := int(ht[j])) in wanted:
-            places[h].append(j)
-    found = []
-    for i in open_p.tolist():
-        for j in places.get(int(hp[i]), ()):
-            if i and j and free_p[i - 1] and free_t[j - 1] and p[i - 1] == t[j - 1]:
-                continue  # part of the run that starts one word earlier
-            most = min(len(p) - i, len(t) - j)
-            same = (p[i:i + most] == t[j:j + most]) & (free_p[i:i + most] == 1) & (free_t[j:j + most] == 1)
-            k = most if same.all() else int(same.argmin())
-            if k >= s:
-                found.append((k, i, j))
-    return found
+def _run_length(p: np.ndarray, t: np.ndarray, i: int, j: int) -> int:
+    """Equal words from (i, j) on, compared in blocks of doubling size."""
+    most, k, step = min(len(p) - i, len(t) - j), 0, 16
+    while k < most:
+        end = min(most, k + step)
+        same = p[i + k:i + end] == t[j + k:j + end]
+        if not same.all():
+            return k + int(same.argmin())
+        k, step = end, step * 2
+    return most
+
+
+def common_runs(p: np.ndarray, t: np.ndarray, least: int) -> list[tuple[int, int, int]]:
+    """Maximal common runs of at least ``least`` words: (-length, place in p, place in t).
+
+    Karp-Rabin hashes of ``least`` words name the places where a run can start. Places of one
+    hash are kept apart by the word before them: equal words before two places mean that the
+    run started earlier, so a word that repeats without end gives one run per diagonal and
+    not one per pair of places.
+    """
+    hp, ht = window_hashes(p, least), window_hashes(t, least)
+    places: dict[int, dict[int, list[int]]] = {}
+    for j in np.flatnonzero(np.isin(ht, hp)).tolist():
+        places.setdefault(int(ht[j]), {}).setdefault(int(t[j - 1]) if j else -1, []).append(j)
+    runs = []
+    for i, h in enumerate(hp.tolist()):
+        before = int(p[i - 1]) if i else -2
+        for other, starts in places.get(h, {}).items():
+            if other != before:
+                for j in starts:
+                    if (k := _run_length(p, t, i, j)) >= least:
+                        runs.append((-k, i, j))
+    return runs
+
+
+def _free_pieces(free: np.ndarray, i: int, j: int, least: int) -> Iterator[tuple[int, int, int]]:
+    """Runs of true values in a part of the run (i, j), as runs of their own."""
+    edge = np.flatnonzero(np.diff(np.concatenate([[0], free.view(np.int8), [0]])))
+    for a, b in zip(edge[::2].tolist(), edge[1::2].tolist()):
+        if b - a >= least:
+            yield a - b, i + a, j + a
 
 
 def tile(pattern: np.ndarray, text: np.ndarray, least: int = LEAST_WORDS) -> list[tuple[int, int, int]]:
-    """Greedy string tiling of two word sequences: (length, place in pattern, place in text), longest first."""
-    tiles = []
-    free_p, free_t = np.ones(len(pattern), int), np.ones(len(text), int)
-    s = min(len(pattern), len(text))
-    while s >= least:
-        runs = _common(pattern, text, free_p, free_t, s)
-        if not runs:
-            s = s // 2 if s // 2 >= least else (least if s > least else 0)
-            continue
-        for k, i, j in sorted(runs, key=lambda r: (-r[0], r[1], r[2])):
-            if free_p[i:i + k].all() and free_t[j:j + k].all():
-                free_p[i:i + k] = free_t[j:j + k] = 0
-                tiles.append((k, i, j))
+    """Greedy string tiling of two word sequences: (length, place in pattern, place in text), longest first.
+
+    Maximal runs wait in a queue by length (equal ones by place). The longest is marked if
+    all of it is free; what is left of one that was partly marked goes back with its new length.
+    """
+    tiles: list[tuple[int, int, int]] = []
+    free_p, free_t, left = np.ones(len(pattern), bool), np.ones(len(text), bool), len(pattern)
+    queue = common_runs(pattern, text, least)
+    heapq.heapify(queue)
+    while queue and left >= least:
+        k, i, j = heapq.heappop(queue)
+        free = free_p[i:i - k] & free_t[j:j - k]
+        if free.all():
+            free_p[i:i - k] = free_t[j:j - k] = False
+            left += k
+            tiles.append((-k, i, j))
+        else:
+            for piece in _free_pieces(free, i, j, least):
+                heapq.heappush(queue, piece)
     return tiles
 
 
