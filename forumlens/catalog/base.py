@@ -143,11 +143,29 @@ def plain_source(sql: str) -> str:
     return re.sub(r"\{(\w+)\}", r"\1", sql)
 
 
-def case_table(expr: str, op: str, bounds, otherwise: str | int) -> str:
-    def lit(v):
-        return str(v) if isinstance(v, int) else f"'{v}'"
-    arms = " ".join(f"WHEN {expr} {op} {b} THEN {lit(v)}" for b, v in bounds)
-    return f"CASE {arms} ELSE {lit(otherwise)} END"
+# Fixed values as the published scripts state them, written out here apart from the engine's own.
+REPUTATION_SQL = """CASE WHEN {0} < 500 THEN 'Beginner' WHEN {0} < 3000 THEN 'Intermediate' WHEN {0} < 10000 THEN 'Advanced'
+  WHEN {0} < 50000 THEN 'Expert' ELSE 'Elite' END"""
+REPUTATION_STEP_SQL = "CASE WHEN {0} < 500 THEN 1 WHEN {0} < 3000 THEN 2 WHEN {0} < 10000 THEN 3 WHEN {0} < 50000 THEN 4 ELSE 5 END"
+ACCOUNT_AGE_SQL = """CASE WHEN {0} < 365 THEN 'New (< 1 year)' WHEN {0} < 1095 THEN 'Established (1-3 years)'
+  WHEN {0} < 2555 THEN 'Veteran (3-7 years)' ELSE 'Long-term (7+ years)' END"""
+GROWTH_SQL = """CASE WHEN {0} IS NULL THEN 'New/Baseline' WHEN {0} >= 50 THEN 'Explosive Growth' WHEN {0} >= 20 THEN 'Strong Growth'
+  WHEN {0} >= 5 THEN 'Moderate Growth' WHEN {0} >= -5 THEN 'Stable' WHEN {0} >= -20 THEN 'Moderate Decline' ELSE 'Strong Decline' END"""
+HEALTH_SQL = "CASE WHEN {0} >= 75 THEN 'Thriving' WHEN {0} >= 50 THEN 'Healthy' WHEN {0} >= 25 THEN 'Developing' ELSE 'At Risk' END"
+TREND_SQL = """CASE WHEN {0} <= 10 THEN 'Top 10' WHEN {0} <= 25 THEN 'Top 25' WHEN {0} <= 50 THEN 'Top 50' WHEN {0} <= 100 THEN 'Top 100'
+  ELSE 'Emerging' END"""
+CATEGORY_SQL = """CASE
+  WHEN {0} IN ('python', 'r', 'julia', 'matlab', 'scala', 'haskell', 'erlang') THEN 'Data/Scientific'
+  WHEN {0} IN ('javascript', 'typescript', 'coffeescript', 'elm', 'purescript') THEN 'Web Frontend'
+  WHEN {0} IN ('java', 'c#', 'kotlin', 'swift', 'objective-c', 'dart') THEN 'Application'
+  WHEN {0} IN ('c', 'c++', 'rust', 'go', 'assembly', 'fortran') THEN 'Systems'
+  WHEN {0} IN ('sql', 'mysql', 'postgresql', 'oracle', 'sqlite', 'bigquery', 'mongodb', 'redis', 'cassandra', 'elasticsearch') THEN 'Data/Database'
+  WHEN {0} IN ('docker', 'kubernetes', 'terraform', 'ansible', 'jenkins', 'github-actions', 'aws', 'gcp', 'azure') THEN 'DevOps/Cloud'
+  WHEN {0} IN ('react', 'angular', 'vue.js', 'svelte', 'next.js', 'gatsby') THEN 'Web Framework'
+  WHEN {0} IN ('django', 'flask', 'fastapi', 'spring', 'rails', 'laravel', 'express', 'nestjs') THEN 'Backend Framework'
+  WHEN {0} IN ('machine-learning', 'deep-learning', 'tensorflow', 'pytorch', 'scikit-learn', 'keras', 'nlp', 'computer-vision') THEN 'AI/ML'
+  WHEN {0} IN ('android', 'ios', 'react-native', 'flutter', 'xamarin') THEN 'Mobile'
+  ELSE 'Other' END"""
 
 
 def columns(contract, missing: set[str] = frozenset()) -> str:
@@ -173,7 +191,6 @@ def with_relations(sql: str) -> str:
     return ("WITH " + ",\n".join(parts) + "\n" if parts else "") + sql
 
 
-from ..functions import labels  # noqa: E402
 from ..sources import schemas  # noqa: E402
 
 Q_ABSENT = {f.name for f in schemas.POST.fields} - {
@@ -246,7 +263,6 @@ WHERE {in_time(at)} AND parent_id IS NOT NULL AND coalesce(score, 0) > -10000"""
 
 
 REP = "coalesce(reputation, 1)"
-REP_STEPS = [(b, i) for i, (b, _) in enumerate(labels.REPUTATION_BELOW, start=1)]
 
 
 def stg_users_sql(raw: str, at: str = fx.AS_OF) -> str:
@@ -256,8 +272,8 @@ SELECT id AS user_id, trim(coalesce(display_name, 'Anonymous')) AS display_name,
   last_access_date, {big(f"DATE '{at}' - CAST(creation_date AS DATE)")} AS account_age_days,
   {REP} AS reputation, coalesce(up_votes, 0) AS up_votes, coalesce(down_votes, 0) AS down_votes,
   coalesce(views, 0) AS profile_views, trim(coalesce(location, 'Unknown')) AS location,
-  {case_table(REP, "<", labels.REPUTATION_BELOW, labels.REPUTATION_TOP)} AS reputation_bucket,
-  {big(case_table(REP, "<", REP_STEPS, 5))} AS reputation_bucket_ordinal,
+  {REPUTATION_SQL.format(REP)} AS reputation_bucket,
+  {big(REPUTATION_STEP_SQL.format(REP))} AS reputation_bucket_ordinal,
   coalesce(DATE '{at}' - CAST(last_access_date AS DATE) <= 365, false) AS is_active,
   _ingested_at, _batch_id, TIMESTAMP '{at} 00:00:00' AS _staged_at
 FROM (SELECT * FROM {raw} QUALIFY row_number() OVER (PARTITION BY id ORDER BY
@@ -303,7 +319,7 @@ FROM {stg_a} a LEFT JOIN {stg_q} q ON q.question_id = a.question_id"""
 def dim_user_sql(stg: str, at: str = fx.AS_OF) -> str:
     return f"""
 SELECT user_id, display_name, account_creation_date, account_creation_date_date, last_access_date,
-  account_age_days, {case_table("account_age_days", "<", labels.ACCOUNT_AGE_BELOW, labels.ACCOUNT_AGE_TOP)}
+  account_age_days, {ACCOUNT_AGE_SQL.format("account_age_days")}
   AS account_age_bucket, reputation, reputation_bucket, reputation_bucket_ordinal, up_votes, down_votes,
   profile_views, location, is_active, _staged_at AS dim_updated_at FROM {stg}
 UNION ALL SELECT -1, 'Anonymous/Deleted User', TIMESTAMP '2008-01-01 00:00:00', DATE '2008-01-01',
@@ -312,10 +328,7 @@ UNION ALL SELECT -1, 'Anonymous/Deleted User', TIMESTAMP '2008-01-01 00:00:00',
 
 
 def category_sql(tag: str) -> str:
-    arms = " ".join(
-        f"WHEN {tag} IN ({', '.join(repr(n) for n in names)}) THEN '{label}'"
-        for label, names in labels.TAG_CATEGORIES.items())
-    return f"CASE {arms} ELSE 'Other' END"
+    return CATEGORY_SQL.format(tag)
 
 
 def tag_rows(table: str) -> str:

@@ -5,11 +5,14 @@ The target is the load at the earlier snapshot, the change set what happened sin
 
 from __future__ import annotations
 
+import re
 from dataclasses import replace
+from functools import reduce
 
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.merge import MergeRule, merge_into_table, merge_upsert, newest_versions, read_watermark, watermark
+from ..operators.merge import merge_into_table, merge_upsert, newest_versions, read_watermark, watermark
 from ..operators.relational import dedup_latest
 from ..plans import dimensions, facts, incremental as inc, marts, refresh, staging
 from ..plans.quality import Bounds
@@ -18,7 +21,7 @@ from ..sources import fixtures as fx
 from ..sources import ingest as ing
 from ..sources import schemas
 from ..sources import tables
-from ..streaming.upsert import stream_upsert
+from ..streaming.upsert import Repeats, stream_upsert
 from . import marts as _mart_relations  # noqa: F401  (declares x_m1)
 from .base import (RELATIONS, BATCH, Inputs, dim_user_sql, fact_answers_sql, fact_questions_sql, query, r,
                    raw_sql, stg_answers_sql, stg_questions_sql, stg_users_sql)
@@ -28,21 +31,47 @@ T0, T1 = fx.SNAPSHOT, fx.AS_OF
 
 
 # ------------------------------------------------------------ cross-check merge
-def merge_sql(target: str, source: str, cols: list[str], rule: MergeRule, extra_target: tuple[str, ...] = (),
+# Fixed values as the published scripts state them, apart from the engine's own: key, compared, compared null-safe, overwritten.
+_LOADED = "_ingested_at _batch_id _load_type"
+_RULES = {
+    "raw_questions": ("id", "score answer_count view_count favorite_count last_activity_date", "accepted_answer_id",
+                      f"score answer_count view_count favorite_count accepted_answer_id last_activity_date last_edit_date {_LOADED}"),
+    "raw_answers": ("id", "score last_activity_date", "", f"score last_activity_date last_edit_date {_LOADED}"),
+    "raw_users": ("id", "reputation up_votes down_votes last_access_date", "",
+                  f"reputation up_votes down_votes last_access_date location {_LOADED}"),
+    "stg_questions": ("question_id", "score answer_count view_count", "accepted_answer_id",
+                      "score answer_count view_count favorite_count accepted_answer_id is_answered has_accepted_answer last_activity_date _staged_at"),
+    "stg_answers": ("answer_id", "score comment_count last_activity_date", "", "score comment_count score_sentiment last_activity_date last_edit_date _staged_at"),
+    "stg_users": ("user_id", "reputation up_votes down_votes last_access_date location is_active", "",
+                  "reputation reputation_bucket reputation_bucket_ordinal up_votes down_votes profile_views last_access_date location is_active "
+                  "account_age_days _staged_at"),
+    "dim_user": ("user_id", "reputation is_active location", "",
+                 "reputation reputation_bucket reputation_bucket_ordinal reputation_percentile_pct account_age_days account_age_bucket is_active "
+                 "location last_access_date dim_updated_at"),
+    "fact_questions": ("question_id", "score answer_count view_count", "",
+                       "score answer_count view_count favorite_count has_accepted_answer accepted_answer_id is_answered engagement_score quality_tier"),
+    "fact_answers": ("answer_id", "score comment_count accepted_answer_flag", "",
+                     "score comment_count accepted_answer_flag quality_tier score_sentiment engagement_score last_activity_date"),
+}
+
+
+def merge_sql(target: str, source: str, cols: list[str], table: str, extra_target: tuple[str, ...] = (),
               span: str | None = None, action: bool = True) -> str:
     """Full outer join with a CASE per column; written apart from the Spark operator."""
-    differ = " OR ".join([f"coalesce(t.{c} <> s.{c}, false)" for c in rule.compare]
-                         + [f"t.{c} IS DISTINCT FROM s.{c}" for c in rule.compare_null_safe])
+    key, compare, null_safe, overwrite = _RULES[table]
+    overwrite = overwrite.split()
+    differ = " OR ".join([f"coalesce(t.{c} <> s.{c}, false)" for c in compare.split()]
+                         + [f"t.{c} IS DISTINCT FROM s.{c}" for c in null_safe.split()])
 
     def old(c):
         return "NULL" if c in extra_target else f"t.{c}"
     picked = ", ".join(
-        f"CASE WHEN _a = 'INSERT' {'OR _a = ' + chr(39) + 'UPDATE' + chr(39) if c in rule.overwrite else ''} "
+        f"CASE WHEN _a = 'INSERT' {'OR _a = ' + chr(39) + 'UPDATE' + chr(39) if c in overwrite else ''} "
         f"THEN s_{c} ELSE t_{c} END AS {c}" for c in cols)
     both = ", ".join(f"{old(c)} AS t_{c}, s.{c} AS s_{c}" for c in cols)
-    on = f"t.{rule.key} = s.{rule.key}" + (f" AND {span}" if span else "")
+    on = f"t.{key} = s.{key}" + (f" AND {span}" if span else "")
     return (f"SELECT {picked}{', _a AS _action' if action else ''} FROM (SELECT {both}, "
-            f"CASE WHEN t.{rule.key} IS NULL THEN 'INSERT' WHEN s.{rule.key} IS NOT NULL AND ({differ}) "
+            f"CASE WHEN t.{key} IS NULL THEN 'INSERT' WHEN s.{key} IS NOT NULL AND ({differ}) "
             f"THEN 'UPDATE' ELSE 'KEEP' END AS _a FROM {target} t FULL JOIN {source} s ON {on})")
 
 
@@ -63,9 +92,9 @@ RELATIONS["x_chg_u"] = raw_sql("users", "x_src_u", "incremental_load", T1, BATCH
 RELATIONS["x_one_a0"] = (
     "SELECT * FROM x_raw_a0 QUALIFY row_number() OVER (PARTITION BY id ORDER BY last_activity_date DESC, "
     "comment_count DESC, creation_date DESC, owner_user_id DESC, parent_id DESC, score DESC) = 1")
-RELATIONS["x_raw_q1"] = merge_sql("x_raw_q0", "x_chg_q", _POST, inc.RAW_QUESTIONS)
-RELATIONS["x_raw_a1"] = merge_sql("x_one_a0", "x_chg_a", _POST, inc.RAW_ANSWERS)
-RELATIONS["x_raw_u1"] = merge_sql("x_raw_u0", "x_chg_u", _USER, inc.RAW_USERS)
+RELATIONS["x_raw_q1"] = merge_sql("x_raw_q0", "x_chg_q", _POST, "raw_questions")
+RELATIONS["x_raw_a1"] = merge_sql("x_one_a0", "x_chg_a", _POST, "raw_answers")
+RELATIONS["x_raw_u1"] = merge_sql("x_raw_u0", "x_chg_u", _USER, "raw_users")
 RELATIONS["x_stg_q0"] = stg_questions_sql("x_raw_q0", T0)
 RELATIONS["x_stg_a0"] = stg_answers_sql("x_one_a0", T0)
 RELATIONS["x_stg_u0"] = stg_users_sql("x_raw_u0", T0)
@@ -209,9 +238,9 @@ def _staged(target, merged, clean, rule):
     return merge_upsert(clean(target, T0, fx.FLOOR), changes, rule, check=False)
 
 
-RELATIONS["x_stg_q1"] = merge_sql("x_stg_q0", "x_stg_qc", STG_Q_COLS, inc.STG_QUESTIONS)
-RELATIONS["x_stg_a1"] = merge_sql("x_stg_a0", "x_stg_ac", STG_A_COLS, inc.STG_ANSWERS)
-RELATIONS["x_stg_u1"] = merge_sql("x_stg_u0", "x_stg_uc", STG_U_COLS, inc.STG_USERS)
+RELATIONS["x_stg_q1"] = merge_sql("x_stg_q0", "x_stg_qc", STG_Q_COLS, "stg_questions")
+RELATIONS["x_stg_a1"] = merge_sql("x_stg_a0", "x_stg_ac", STG_A_COLS, "stg_answers")
+RELATIONS["x_stg_u1"] = merge_sql("x_stg_u0", "x_stg_uc", STG_U_COLS, "stg_users")
 
 
 def _stg_questions(x: Inputs):
@@ -242,7 +271,7 @@ SELECT d.*, {r("percent_rank() OVER (ORDER BY reputation) * 100", 2)} AS reputat
 FROM (SELECT * FROM x_du WHERE user_id <> -1) d"""
 
 
-@query("scd1_dim_user", merge_sql("x_du0", "x_ranked_u", USER_COLS + list(RANK_COLS), inc.DIM_USER, RANK_COLS))
+@query("scd1_dim_user", merge_sql("x_du0", "x_ranked_u", USER_COLS + list(RANK_COLS), "dim_user", RANK_COLS))
 def scd1_dim_user(x: Inputs):
     old = dimensions.build_dim_user(staging.clean_users(Loads(x).u0, T0, fx.FLOOR), T0)
     return inc.scd1_dim_user(old, x.stg_users)
@@ -259,13 +288,13 @@ RELATIONS["x_fac"] = fact_answers_sql(
 _SPAN = f"t.creation_date BETWEEN DATE '{FACT_FROM}' AND DATE '{FACT_AT}'"
 
 
-@query("merge_fact_questions", merge_sql("x_fq0", "x_fqc", FACT_Q_COLS, inc.FACT_QUESTIONS, span=_SPAN))
+@query("merge_fact_questions", merge_sql("x_fq0", "x_fqc", FACT_Q_COLS, "fact_questions", span=_SPAN))
 def merge_fact_questions(x: Inputs):
     old = facts.build_fact_questions(staging.clean_questions(Loads(x).q0, T0, fx.FLOOR))
     return inc.merge_fact_questions(old, x.stg_questions, FACT_AT, FACT_BACK)
 
 
-@query("merge_fact_answers", merge_sql("x_fa0", "x_fac", FACT_A_COLS, inc.FACT_ANSWERS, span=_SPAN))
+@query("merge_fact_answers", merge_sql("x_fa0", "x_fac", FACT_A_COLS, "fact_answers", span=_SPAN))
 def merge_fact_answers(x: Inputs):
     loads = Loads(x)
     old = facts.build_fact_answers(staging.clean_answers(loads.a0, T0, fx.FLOOR),
@@ -313,8 +342,7 @@ def merge_user_activity(x: Inputs):
 
 # ---------------------------------------------------------------- whole run
 _TOLERATED = ("DQ-007", "DQ-008", "DQ-009", "DQ-012")
-RUN = refresh.Settings(floor=fx.FLOOR, min_year=fx.MIN_YEAR, tolerated_checks=_TOLERATED, lookback_days=2500,
-                       bounds=Bounds(floor=fx.FLOOR))
+RUN = refresh.Settings(floor=fx.FLOOR, min_year=fx.MIN_YEAR, tolerated_checks=_TOLERATED, bounds=Bounds(floor=fx.FLOOR))
 
 
 @query("full_rebuild", "FROM x_m1")
@@ -352,3 +380,150 @@ def stream(x: Inputs):
                         ["last_activity_date", "_ingested_at"], f"{root}/progress")
     run.awaitTermination()
     return newest_versions(tables.read_layer(x.spark, root, "raw", "raw_questions", q0.columns), inc.RAW_QUESTIONS)
+
+
+@query("stream_upsert_late", "SELECT * EXCLUDE (_action) FROM x_raw_q1")
+def stream_late(x: Inputs):
+    """One file per trigger: older versions before and after newer ones, a replayed file, and a restart in between."""
+    root, s = x.scratch("late"), x.spark
+    q0 = Loads(x).q0
+    tables.store(q0, root, "raw", "raw_questions")
+    changes = stored(inc.raw_changes(x.src_questions, ing.QUESTIONS, T0, T1, BATCH))
+    older = changes.withColumns({"score": F.col("score") - 7, "last_activity_date": F.col("last_activity_date") - F.expr("INTERVAL 1 DAY"),
+                                 "_ingested_at": F.col("_ingested_at") - F.expr("INTERVAL 1 DAY")}).filter(f"last_activity_date > TIMESTAMP_NTZ '{T0} 00:00:00'")
+    part = lambda df, k: df.filter(F.pmod(F.xxhash64("id"), F.lit(3)) == k)
+    landing = f"{root}/landing"
+
+    def run(*files):
+        for df in files:
+            df.coalesce(1).write.mode("append").parquet(landing)
+        incoming = s.readStream.schema(changes.schema).option("maxFilesPerTrigger", 1).parquet(landing)
+        stream_upsert(incoming, root, "raw", "raw_questions", inc.RAW_QUESTIONS, ["last_activity_date", "_ingested_at"], f"{root}/progress",
+                      repeats=Repeats(("last_activity_date",), "_ingested_at")).awaitTermination()
+
+    run(part(older, 0), part(changes, 1), part(changes, 0))
+    run(part(older, 1), part(changes, 0), part(changes, 2))
+    return newest_versions(tables.read_layer(s, root, "raw", "raw_questions", q0.columns), inc.RAW_QUESTIONS)
+
+
+# -------------------------------------------------- whole runs, nothing left out
+# All relations again over the sources of a run: "y_" at its day, "z_" at the first load.
+def _again(prefix: str, at: str) -> None:
+    sources = {"src_q": fx.RUN_QUESTIONS.replace("{src}", "x_src_q"),
+               "src_a": fx.RUN_ANSWERS.replace("{src}", "x_src_a").replace("{questions}", "x_src_q"),
+               "src_u": fx.RUN_USERS.replace("{src}", "x_src_u").replace("EXCEPT (", "EXCLUDE (")}
+    for name, text in sources.items():
+        RELATIONS[prefix + name] = text.replace("{at}", at)
+    for name, text in _PLAIN.items():
+        if name[2:] not in sources:
+            RELATIONS[prefix + name[2:]] = re.sub(r"\bx_(\w+)", rf"{prefix}\1", text).replace(fx.AS_OF, at)
+
+
+_PLAIN = {n: t for n, t in RELATIONS.items() if n.startswith("x_")}
+_again("y_", fx.RUN_NOW)
+_again("z_", fx.RUN_FIRST)
+
+# table -> (layer, relation, columns by kind: n number, s text, d day, b flag); load columns and ages follow the run that wrote a row
+_WHOLE = {
+    "stg_questions": ("staging", "y_stg_q", "n:question_id n:owner_user_id d:question_date s:title n:score n:view_count n:answer_count "
+                      "n:favorite_count n:accepted_answer_id b:is_answered b:has_accepted_answer s:tags_clean n:tag_count"),
+    "stg_answers": ("staging", "y_stg_a", "n:answer_id n:question_id n:owner_user_id d:answer_date n:score n:comment_count s:score_sentiment"),
+    "stg_users": ("staging", "y_stg_u", "n:user_id s:display_name d:account_creation_date_date n:reputation s:reputation_bucket s:location b:is_active"),
+    "dim_user": ("warehouse", "y_du", "n:user_id s:display_name n:reputation s:reputation_bucket n:reputation_bucket_ordinal s:location b:is_active"),
+    "dim_tag": ("warehouse", "y_dt", "s:tag_name s:tag_category"),
+    "fact_questions": ("warehouse", "y_fq", "n:question_id n:date_key n:user_id d:creation_date n:score n:view_count n:answer_count n:favorite_count "
+                       "b:is_answered b:has_accepted_answer n:accepted_answer_id s:tags_clean s:primary_tag s:quality_tier n:engagement_score"),
+    "fact_answers": ("warehouse", "y_fa", "n:answer_id n:question_id n:user_id n:date_key d:creation_date n:score n:comment_count "
+                     "n:accepted_answer_flag s:quality_tier s:score_sentiment n:engagement_score"),
+    "fact_user_activity": ("warehouse", "y_ua", "n:user_id d:activity_date n:questions_posted n:answers_posted n:total_posts n:engagement_score"),
+    "mart_tag_growth": ("marts", "y_m1", "n:question_year s:tag_name n:question_count n:prior_year_question_count n:yoy_growth_rate_pct "
+                        "n:distinct_contributors n:prior_year_contributors n:contributor_growth_rate_pct n:avg_score n:avg_views n:avg_engagement "
+                        "n:answered_questions n:answer_rate_pct n:cumulative_question_count n:rank_by_volume_in_year s:growth_classification"),
+    "mart_trending_technologies": ("marts", "y_m2", "s:tag_name s:tag_category n:popularity_score n:question_count n:yoy_growth_rate_pct "
+                                   "n:rank_by_volume_in_year n:popularity_rank n:rank_within_category s:trend_tier"),
+    "mart_unanswered_questions": ("marts", "y_m3", "s:tag_name n:total_questions n:unanswered_questions n:answered_questions "
+                                  "n:accepted_answer_questions n:avg_answers_per_question n:avg_question_score n:avg_view_count n:distinct_askers "
+                                  "n:total_views n:unanswered_pct n:acceptance_rate_pct n:answer_rate_pct n:knowledge_gap_score "
+                                  "n:rank_by_unanswered_count n:rank_by_unanswered_pct"),
+    "mart_top_contributors": ("marts", "y_m4", "n:user_id s:display_name n:reputation b:is_active n:total_answers n:accepted_answers n:avg_answer_score "
+                              "n:total_answer_score n:total_questions_asked n:avg_question_score n:total_views_generated d:first_answer_date "
+                              "d:latest_answer_date n:active_months n:acceptance_rate_pct n:activity_consistency_pct n:contribution_score "
+                              "n:rank_by_accepted_answers n:rank_by_total_answers n:rank_by_reputation n:rank_by_contribution_score "
+                              "n:contributor_decile n:contributor_percentile_bucket"),
+    "mart_contributor_retention": ("marts", "y_m5", "d:activity_month n:total_active_contributors n:new_contributors n:retained_contributors "
+                                   "n:returned_contributors n:avg_posts_per_contributor n:total_posts n:month_over_month_retention_pct "
+                                   "n:net_new_contributors n:rolling_3m_avg_contributors"),
+    "mart_answer_latency": ("marts", "y_m6", "s:tag_name n:total_questions n:questions_with_answers n:avg_hours_to_first_answer "
+                            "n:median_hours_to_first_answer n:avg_hours_to_accepted_answer n:min_hours_to_first_answer n:max_hours_to_first_answer "
+                            "n:answer_rate_pct n:rank_fastest_community"),
+    "mart_community_health": ("marts", "y_m7", "s:tag_name s:tag_category n:total_questions n:answer_rate_pct n:acceptance_rate_pct n:unanswered_pct "
+                              "n:avg_hours_to_first_answer n:yoy_growth_rate_pct n:avg_engagement n:annual_questions n:response_rate_score "
+                              "n:acceptance_rate_score n:speed_score n:growth_score n:engagement_score n:community_health_score "
+                              "s:health_classification n:health_rank"),
+}
+
+
+# whether a user was active lately follows the run that last changed the user
+_BY_RUN = {"stg_users", "dim_user", "mart_top_contributors"}
+
+
+def _columns(table: str, daily: bool) -> list[tuple[str, str]]:
+    named = [tuple(c.split(":")) for c in _WHOLE[table][2].split()]
+    return [c for c in named if not (daily and table in _BY_RUN and c[1] == "is_active")]
+
+
+def _sums_sql(daily: bool = False) -> str:
+    """(table_name, column_name, n_rows, n_values, total) of every column: numbers in ten-thousandths, texts by length, days from 1970."""
+    value = {"n": "CAST(round(CAST({c} AS DOUBLE) * 10000) AS HUGEINT)", "s": "length({c})", "d": "CAST({c} AS DATE) - DATE '1970-01-01'",
+             "b": "CAST({c} AS INTEGER)"}
+    return " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, '{c}' AS column_name, count(*) AS n_rows, count({c}) AS n_values, "
+        f"CAST(coalesce(sum({value[kind].format(c=c)}), 0) AS BIGINT) AS total FROM {relation}"
+        for table, (_, relation, _) in _WHOLE.items() for kind, c in _columns(table, daily))
+
+
+def _sums(x: Inputs, root: str, daily: bool = False):
+    """The same from the stored tables, one pass over each."""
+    out = []
+    for table, (layer, _, _) in _WHOLE.items():
+        df = tables.read_layer(x.spark, root, layer, table)
+        value = {"n": lambda c: F.round(F.col(c).cast("double") * 10000).cast("decimal(38,0)"), "s": lambda c: F.length(c),
+                 "d": lambda c: F.datediff(F.to_date(c), F.lit("1970-01-01")), "b": lambda c: F.col(c).cast("int")}
+        one = df.agg(F.array(*[F.struct(F.lit(c).alias("column_name"), F.count(F.lit(1)).alias("n_rows"), F.count(c).alias("n_values"),
+                                        F.coalesce(F.sum(value[kind](c)), F.lit(0)).cast("long").alias("total")) for kind, c in _columns(table, daily)]).alias("v"))
+        out.append(one.select(F.lit(table).alias("table_name"), F.explode("v").alias("v")).select("table_name", "v.*"))
+    return reduce(DataFrame.unionByName, out)
+
+
+_DIFFERS = {"stg_questions": ("y_stg_q", "z_stg_q", "question_id", "score answer_count view_count accepted_answer_id"),
+            "stg_answers": ("y_stg_a", "z_stg_a", "answer_id", "score comment_count last_activity_date"),
+            "stg_users": ("y_stg_u", "z_stg_u", "user_id", "reputation up_votes down_votes last_access_date location"),
+            "fact_questions": ("y_fq", "z_fq", "question_id", "score answer_count view_count"),
+            "fact_answers": ("y_fa", "z_fa", "answer_id", "score comment_count accepted_answer_flag")}
+# what the audit log says of every merge: rows that are new, and rows that differ from the first load
+_AUDIT_SQL = " UNION ALL ".join(
+    f"SELECT 'audit of {table}', v.column_name, (SELECT count(*) FROM {now}), v.n, v.n FROM (SELECT 'inserted' AS column_name, count(*) FILTER (b.{key} IS NULL) AS n "
+    f"FROM {now} a LEFT JOIN {then} b ON b.{key} = a.{key} UNION ALL SELECT 'updated', count(*) FROM {now} a JOIN {then} b ON b.{key} = a.{key} "
+    f"WHERE {' OR '.join(f'a.{c} IS DISTINCT FROM b.{c}' for c in columns.split())}) v" for table, (now, then, key, columns) in _DIFFERS.items())
+WHOLE_RUN = refresh.Settings(floor=fx.FLOOR, min_year=fx.MIN_YEAR, bounds=Bounds(floor=fx.FLOOR), exact_median=True)
+
+
+@query("full_rebuild_whole", _sums_sql())
+def full_rebuild_whole(x: Inputs):
+    """Every stored table and mart of a rebuild that passes all twelve checks, column by column."""
+    root = x.scratch("rebuild")
+    refresh.full_rebuild(x.spark, refresh.Sources(*fx.run_sources(x.spark, x.sf_dir, fx.RUN_NOW)), root, fx.RUN_NOW, WHOLE_RUN)
+    return _sums(x, root)
+
+
+@query("run_incremental_whole", f"{_sums_sql(True)} UNION ALL {_AUDIT_SQL}")
+def run_incremental_whole(x: Inputs):
+    """The same after a first load and one daily run with the published window, and what its audit log says."""
+    root, s = x.scratch("incremental"), x.spark
+    refresh.full_rebuild(s, refresh.Sources(*fx.run_sources(s, x.sf_dir, fx.RUN_FIRST)), root, fx.RUN_FIRST, WHOLE_RUN)
+    log = inc.run_incremental(s, refresh.Sources(*fx.run_sources(s, x.sf_dir, fx.RUN_NOW)), root, fx.RUN_NOW, WHOLE_RUN)
+    sizes = [tables.read_layer(s, root, _WHOLE[t][0], t).agg(F.lit(t).alias("step_name"), F.count(F.lit(1)).alias("n_rows")) for t in _DIFFERS]
+    told = log.join(F.broadcast(reduce(DataFrame.unionByName, sizes)), "step_name").select(
+        F.concat(F.lit("audit of "), F.col("step_name")).alias("table_name"), "n_rows",
+        F.expr("stack(2, 'inserted', rows_inserted, 'updated', rows_updated) AS (column_name, total)"))
+    return _sums(x, root, True).unionByName(told.select("table_name", "column_name", "n_rows", F.col("total").alias("n_values"), "total"))

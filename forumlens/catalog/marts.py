@@ -4,12 +4,12 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ..functions import labels
 from ..functions.numbers import contribution_score, knowledge_gap
+from ..operators.relational import explode_tags
 from ..plans import kpis, marts
 from ..session import stored
 from ..sources import fixtures as fx
-from .base import RELATIONS, Inputs, big, case_table, query, r, share
+from .base import GROWTH_SQL, HEALTH_SQL, RELATIONS, TREND_SQL, Inputs, big, query, r, share
 from .operators import _COHORT, _COMBINED
 
 # The checking engine evaluates each relation once, so the marts can build on one another.
@@ -33,9 +33,7 @@ FROM (SELECT *, lag(question_count) OVER h AS prior_year_question_count,
     FROM x_tagged WHERE year(creation_date) >= {fx.MIN_YEAR} GROUP BY ALL)
   WINDOW h AS (PARTITION BY tag_name ORDER BY question_year))"""
 
-_CLASS = "yoy_growth_rate_pct"
-_GROWTH_CLASS = (f"CASE WHEN {_CLASS} IS NULL THEN 'New/Baseline' ELSE "
-                 f"{case_table(_CLASS, '>=', labels.GROWTH_FROM, 'Strong Decline')} END")
+_GROWTH_CLASS = GROWTH_SQL.format("yoy_growth_rate_pct")
 RELATIONS["x_m1"] = f"SELECT *, {_GROWTH_CLASS} AS growth_classification FROM x_growth"
 
 
@@ -61,7 +59,7 @@ RELATIONS["x_m2"] = f"""
 SELECT tag_name, tag_category, popularity_score, question_count, yoy_growth_rate_pct, avg_engagement,
   contributor_growth_rate_pct, distinct_contributors, answer_rate_pct, rank_by_volume_in_year, popularity_rank,
   rank() OVER (PARTITION BY tag_category ORDER BY popularity_score DESC NULLS LAST) AS rank_within_category,
-  {case_table("popularity_rank", "<=", labels.TREND_UP_TO, "Emerging")} AS trend_tier
+  {TREND_SQL.format("popularity_rank")} AS trend_tier
 FROM (SELECT *, rank() OVER (ORDER BY popularity_score DESC NULLS LAST) AS popularity_rank
   FROM (SELECT *, {_POPULAR} AS popularity_score FROM x_norm))"""
 
@@ -172,7 +170,7 @@ RELATIONS["x_m7"] = f"""
 SELECT * EXCLUDE (response, acceptance, speed, growth, engagement), {r("response", 2)} AS response_rate_score,
   {r("acceptance", 2)} AS acceptance_rate_score, {r("speed", 2)} AS speed_score, {r("growth", 2)} AS growth_score,
   {r("engagement", 2)} AS engagement_score,
-  {case_table("community_health_score", ">=", labels.HEALTH_FROM, "At Risk")} AS health_classification,
+  {HEALTH_SQL.format("community_health_score")} AS health_classification,
   rank() OVER (ORDER BY community_health_score DESC NULLS LAST) AS health_rank
 FROM (SELECT *, {_HEALTH} AS community_health_score FROM x_scores)"""
 
@@ -218,6 +216,8 @@ query("activity_consistency", "SELECT user_id, activity_consistency_pct FROM x_p
                                          x.dim_user, fx.AS_OF).select("user_id", "activity_consistency_pct"))
 
 query("mart_contributor_retention", "FROM x_m5")(lambda x: marts.contributor_retention(x.keep("stg_questions").user_activity))
+query("mart_contributor_retention_bitmaps", "FROM x_m5")(
+    lambda x: marts.retention_of_bitmaps(stored(marts.month_bitmaps(x.keep("stg_questions").user_activity))))
 query("retention_of_events", """
 SELECT user_id, CAST(date_trunc('month', activity_date) AS DATE) AS activity_month,
   CAST(sum(questions_posted) AS BIGINT) AS monthly_questions, CAST(sum(answers_posted) AS BIGINT) AS monthly_answers,
@@ -253,6 +253,42 @@ query("community_health_score", f"SELECT tag_name, {_HEALTH} AS community_health
     lambda x: marts.health_scores(marts.health_inputs(*_health_parts(x))).select(
         "tag_name", "community_health_score"))
 
+# --------------------------------------------------------------------- sketches
+@query("distinct_askers_by_sketch", """
+SELECT tag_name, year(creation_date) AS question_year, count(DISTINCT user_id) AS exact, true AS within_bound FROM x_tagged GROUP BY 1, 2
+UNION ALL SELECT tag_name, NULL, count(DISTINCT user_id), true FROM x_tagged GROUP BY 1""")
+def askers_by_sketch(x: Inputs):
+    """Exact distinct askers of every tag and year, and of all time, and whether united monthly sketches are within four standard errors."""
+    fq = x.keep("fact_questions").fact_questions
+    sketches = stored(marts.asker_sketches(fq))
+    pairs = explode_tags(fq.withColumn("question_year", F.year("creation_date").cast("long")), ["question_year", "user_id"])
+    exact = pairs.groupBy("tag_name", "question_year").agg(F.count_distinct("user_id").alias("exact")).unionByName(
+        pairs.groupBy("tag_name").agg(F.count_distinct("user_id").alias("exact")).withColumn("question_year", F.lit(None).cast("long")))
+    year = F.year("month").cast("long").alias("question_year")
+    guess = marts.distinct_askers(sketches, year).unionByName(
+        marts.distinct_askers(sketches).withColumn("question_year", F.lit(None).cast("long")))
+    both = exact.join(guess.withColumnsRenamed({"tag_name": "_tag", "question_year": "_year"}),
+                      (F.col("tag_name") == F.col("_tag")) & F.col("question_year").eqNullSafe(F.col("_year")), "left")
+    error = 4 * 1.04 / 2 ** (marts.HLL_LOG / 2)
+    return both.select("tag_name", "question_year", "exact", F.coalesce(
+        F.abs(F.col("distinct_askers") - F.col("exact")) <= F.greatest(F.lit(1.0), F.col("exact") * error), F.lit(False)).alias("within_bound"))
+
+
+@query("median_latency_by_sketch", """
+SELECT tag_name, count(hours_to_first_answer) FILTER (hours_to_first_answer >= 0) AS n, true AS within_bound
+FROM (SELECT *, lower(trim(part)) AS tag_name FROM (SELECT *, unnest(string_split(tags_clean, '|')) AS part FROM x_latency) WHERE trim(part) <> '')
+GROUP BY 1 HAVING count(hours_to_first_answer) FILTER (hours_to_first_answer >= 0) > 0""")
+def latency_by_sketch(x: Inputs):
+    """Whether the median from merged monthly sketches stands within 3 % of the middle rank of every tag's exact values."""
+    latency = stored(marts.question_latency(x.keep("stg_questions").fact_questions, x.fact_answers))
+    guess = marts.median_hours(stored(marts.latency_sketches(latency)))
+    values = explode_tags(latency.filter("hours_to_first_answer >= 0"), ["hours_to_first_answer"])
+    h, m = F.col("hours_to_first_answer"), F.col("median_hours")
+    ranked = values.join(F.broadcast(guess), "tag_name", "left").groupBy("tag_name").agg(
+        F.count(F.lit(1)).alias("n"), F.count_if(h < m).alias("below"), F.count_if(h <= m).alias("upto"))
+    return ranked.select("tag_name", "n", ((F.col("below") <= F.col("n") * 0.53 + 1) & (F.col("upto") >= F.col("n") * 0.47 - 1)).alias("within_bound"))
+
+
 # ------------------------------------------------------------------------- KPIs
 query("kpi_01_platform_overview", f"""
 SELECT (SELECT count(DISTINCT question_id) FROM x_fq) AS total_questions,

@@ -9,7 +9,7 @@ from ..operators.merge import changed
 from ..plans import staging
 from ..sources import fixtures as fx
 from ..sources import ingest as ing
-from .base import (ENGAGE_A, ENGAGE_Q, TAGS_SQL, Inputs, REP, REP_STEPS, big, case_table, category_sql,
+from .base import (ENGAGE_A, ENGAGE_Q, TAGS_SQL, Inputs, REP, ACCOUNT_AGE_SQL, REPUTATION_SQL, REPUTATION_STEP_SQL, big, category_sql,
                    in_time, query, r, share, tier_sql)
 
 query("null_defaults", """
@@ -54,8 +54,8 @@ SELECT id, score, CASE sign(coalesce(score, 0)) WHEN 1 THEN 'positive' WHEN 0 TH
     lambda x: x.raw_answers.select("id", "score", labels.score_sentiment("score").alias("score_sentiment")))
 
 query("reputation_bucket", f"""
-SELECT id, {case_table(REP, "<", labels.REPUTATION_BELOW, labels.REPUTATION_TOP)} AS reputation_bucket,
-  {big(case_table(REP, "<", REP_STEPS, 5))} AS reputation_bucket_ordinal FROM x_raw_u""")(
+SELECT id, {REPUTATION_SQL.format(REP)} AS reputation_bucket,
+  {big(REPUTATION_STEP_SQL.format(REP))} AS reputation_bucket_ordinal FROM x_raw_u""")(
     lambda x: x.raw_users.select("id", labels.reputation_bucket("reputation").alias("reputation_bucket"),
                                  labels.reputation_ordinal("reputation").alias("reputation_bucket_ordinal")))
 
@@ -72,7 +72,7 @@ FROM x_raw_u""")(
 
 query("account_age_bucket", f"""
 SELECT user_id, account_age_days,
-  {case_table("account_age_days", "<", labels.ACCOUNT_AGE_BELOW, labels.ACCOUNT_AGE_TOP)}
+  {ACCOUNT_AGE_SQL.format("account_age_days")}
   AS account_age_bucket FROM x_stg_u""")(
     lambda x: x.stg_users.select("user_id", "account_age_days",
                                  labels.account_age_bucket("account_age_days").alias("account_age_bucket")))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions.calendar import Moment, as_python_date
 from ..session import stored
+from .keyfilter import near_keys
 
 EPOCH = "2008-01-01 00:00:00"
 
@@ -91,13 +92,13 @@ def _prefixed(df: DataFrame, prefix: str, columns: Sequence[str] | None = None)
 
 
 def merge_upsert(target: DataFrame, source: DataFrame, rule: MergeRule,
-                 target_range: Column | None = None, check: bool = True) -> DataFrame:
+                 target_range: Column | None = None, check: bool = True, with_old: bool = False) -> DataFrame:
     """Target after the merge, with ``_action`` UPDATE, INSERT or KEEP per row.
 
     Every matched row that changed takes the rule's ``overwrite`` columns, unmatched source
     rows are inserted, everything else stays; a NULL key matches nothing on either side.
     Columns are matched by name and new ones are added. ``target_range`` limits which
-    target rows may match.
+    target rows may match. ``with_old`` adds ``_old``, the row as it was before an update.
     """
     if check:
         reject_duplicate_keys(source, rule.key)
@@ -107,7 +108,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, rule: MergeRule,
     if target_range is not None:
         inside = F.coalesce(target_range, F.lit(False))
         outside = target.filter(~inside).withColumn("_action", F.lit("KEEP"))
-        return merge_upsert(target.filter(inside), source, rule, None, False).unionByName(outside)
+        within = merge_upsert(target.filter(inside), source, rule, None, False, with_old)
+        return within.unionByName(outside, allowMissingColumns=True)
 
     # marks of presence: a key may be NULL in a row that is there
     both = _prefixed(target, "t_").withColumn("_in_target", F.lit(True)).join(
@@ -122,7 +124,8 @@ def merge_upsert(target: DataFrame, source: DataFrame, rule: MergeRule,
         if c in rule.overwrite:
             return F.when(F.col("_action") == "KEEP", F.col("t_" + c)).otherwise(F.col("s_" + c)).alias(c)
         return F.when(F.col("_action") == "INSERT", F.col("s_" + c)).otherwise(F.col("t_" + c)).alias(c)
-    return both.select(*[final(c) for c in names], "_action")
+    old = [F.when(F.col("_action") == "UPDATE", F.struct(*[F.col("t_" + c).alias(c) for c in names])).alias("_old")] if with_old else []
+    return both.select(*[final(c) for c in names], "_action", *old)
 
 
 def action_counts(merged: DataFrame) -> dict[str, int]:
@@ -139,20 +142,29 @@ class MergeResult:
 
 
 def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule: MergeRule,
-                     target_between: tuple[str, Moment, Moment] | None = None) -> MergeResult:
+                     target_between: tuple[str, Moment, Moment] | None = None, feed: str | None = None) -> MergeResult:
     """Merge a change set into a stored table; a missing table is created from it.
 
     An append-only table (``version_by``) takes new and changed rows into the folder they
     belong to and nothing else is written. A partitioned table is first read for its key
-    and compared columns only, which tells the files with changed rows; those files alone
-    are read in full and replaced. An unpartitioned table is merged as a whole.
+    and compared columns only, which tells the files with changed rows (what is shuffled are
+    rows that may have a partner); those files alone are read in full and replaced. An
+    unpartitioned table is merged as a whole.
+
+    ``feed`` names a folder to which every inserted and updated row is appended before the
+    table changes: its final values, ``_action``, and ``_old``, the row before (NULL when inserted).
     """
     from ..sources import tables
 
+    def tell(changes: DataFrame) -> None:
+        if feed:
+            changes.write.mode("append").parquet(feed)
+
     source = stored(source)
     rows = reject_duplicate_keys(source, rule.key)
     spark = source.sparkSession
     if not tables.exists(spark, tables.table_path(root, layer, table)):
+        tell(_inserted(source))
         tables.store(source, root, layer, table)
         return MergeResult(inserted=rows, processed=rows)
     if rows == 0:
@@ -164,16 +176,32 @@ def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule:
     if rule.version_by:
         return _append_versions(root, layer, table, source, rows, rule)
     if table in tables.PARTITIONS:
-        return _merge_files(root, layer, table, source, rows, rule, span, target_between)
+        return _merge_files(root, layer, table, source, rows, rule, span, target_between, tell if feed else None)
 
     target = tables.read_layer(spark, root, layer, table)
-    merged = stored(merge_upsert(target, source, rule, span, False))
+    merged = stored(merge_upsert(target, source, rule, span, False, with_old=True))
     counts = action_counts(merged)
     if set(counts) - {"KEEP"}:
-        tables.store(merged.drop("_action"), root, layer, table)
+        tell(merged.filter("_action <> 'KEEP'"))
+        tables.store(merged.drop("_action", "_old"), root, layer, table)
     return MergeResult(counts.get("INSERT", 0), counts.get("UPDATE", 0), rows)
 
 
+def _inserted(rows: DataFrame) -> DataFrame:
+    """Rows as a feed tells them when they are new."""
+    return rows.select("*", F.lit("INSERT").alias("_action"), F.lit(None).cast(rows.schema).alias("_old"))
+
+
+def read_feed(spark, path: str, schema) -> DataFrame:
+    """Changes told to a folder, for rows of ``schema``; none where there is no folder yet."""
+    from pyspark.sql import types as T
+
+    from ..sources import tables
+
+    fields = T.StructType([*schema.fields, T.StructField("_action", T.StringType()), T.StructField("_old", schema)])
+    return spark.read.schema(fields).parquet(path) if tables.exists(spark, path) else spark.createDataFrame([], fields)
+
+
 def newest_versions(df: DataFrame, rule: MergeRule) -> DataFrame:
     """The newest version of every key of an append-only table; of copies in one load all stay. NULL keys stay."""
     newest = df.groupBy(rule.key).agg(F.max(rule.version_by).alias("_newest")).withColumnRenamed(rule.key, "_key")
@@ -202,7 +230,7 @@ def _append_versions(root, layer, table, source, rows, rule) -> MergeResult:
     return MergeResult(counts["new"], counts["changed"], rows)
 
 
-def _merge_files(root, layer, table, source, rows, rule, span, target_between) -> MergeResult:
+def _merge_files(root, layer, table, source, rows, rule, span, target_between, tell) -> MergeResult:
     """Replace the files that hold changed rows; new rows become new files.
 
     Inserts are decided by an anti join on matched keys and updates row by row, so keys
@@ -212,14 +240,14 @@ def _merge_files(root, layer, table, source, rows, rule, span, target_between) -
     from ..sources import tables
 
     spark = source.sparkSession
-    path = tables.table_path(root, layer, table)
     everything = tables.read_layer(spark, root, layer, table, keep_partition=True, with_file="_file")
     target = evolve(everything, source)
     near = target
     if span is not None:
         near = tables.folders_between(near, table, *target_between[1:]).filter(span)
     full = evolve(source, target.drop("_file", tables.PARTITIONS[table][0]))
-    found = stored(_prefixed(near, "t_", [*rule.read_columns(), "_file"])
+    # only rows whose key is among the changes, as far as a bitmap can tell, are shuffled
+    found = stored(_prefixed(near_keys(near, rule.key, full), "t_", [*rule.read_columns(), "_file"])
                    .join(_prefixed(full, "s_", rule.read_columns()), F.col("t_" + rule.key) == F.col("s_" + rule.key))
                    .select(F.col("s_" + rule.key).alias("_key"), F.col("t__file").alias("_file"), rule.condition().alias("changed")))
     fresh = stored(full.join(found.select("_key").distinct(), F.col(rule.key) == F.col("_key"), "left_anti"))
@@ -229,11 +257,18 @@ def _merge_files(root, layer, table, source, rows, rule, span, target_between) -
     if not result.inserted and not result.updated:
         return result
 
-    out = fresh
+    out, names = fresh, [c for c in target.columns if c not in ("_file", tables.PARTITIONS[table][0])]
+    changes = _inserted(fresh.select(*names))
     if dirty:
         rewritten = tables.read_files(spark, root, layer, table, dirty)
         matching = full.join(found.select("_key").distinct(), F.col(rule.key) == F.col("_key"), "left_semi")
-        merged = merge_upsert(rewritten, matching, rule, span, False).filter("_action <> 'INSERT'").drop("_action")
-        out = merged.unionByName(fresh, allowMissingColumns=True)
+        merged = merge_upsert(rewritten, matching, rule, span, False).filter("_action <> 'INSERT'")
+        if tell:
+            told = near_keys(rewritten, rule.key, matching)
+            updated = merge_upsert(told, matching, rule, span, False, with_old=True).filter("_action = 'UPDATE'")
+            changes = changes.unionByName(updated.select(*names, "_action", F.struct(*[F.col(f"_old.{c}").alias(c) for c in names]).alias("_old")))
+        out = merged.drop("_action").unionByName(fresh, allowMissingColumns=True)
+    if tell:
+        tell(changes)
     result.partitions = tables.replace_files(spark, out, root, layer, table, dirty)
     return result

@@ -5,13 +5,17 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..functions import labels
 from ..functions.calendar import Moment, date_key, day, ntz, week_from_sunday
 from ..functions.text import stable_key
-from ..operators.ranking import Rank, with_ranks
+from ..functions.numbers import rnd
+from ..operators.keyfilter import near_keys
+from ..operators.ranking import ntile_of
 from ..operators.relational import explode_tags
+from ..session import stored
 
 # Calendar bounds, the launch day counted from, and the stand-in user.
 CALENDAR = ("2008-01-01", "2035-12-31")
@@ -24,6 +28,9 @@ UNKNOWN_USER = {
     "location": "Unknown", "is_active": False,
 }
 
+#: Users of equal reputation are counted per block of 2^ID_BLOCK_BITS ids.
+ID_BLOCK_BITS = 12
+
 
 def date_spine(spark: SparkSession, start: Moment = CALENDAR[0], end: Moment = CALENDAR[1]) -> DataFrame:
     """One row per day, both ends included."""
@@ -87,13 +94,49 @@ def build_dim_user(stg_users: DataFrame, as_of: Moment = None) -> DataFrame:
     return add_unknown_member(user_attributes(stg_users), as_of=as_of)
 
 
-def ranked_users(stg_users: DataFrame, **limits) -> DataFrame:
-    """User attributes with percentile, quartile and rank inside the reputation bucket."""
-    return with_ranks(user_attributes(stg_users), [
-        Rank("reputation_percentile_pct", "percent_rank", "reputation", descending=False),
-        Rank("reputation_quartile", "ntile", "reputation", descending=False, tiles=4),
-        Rank("rank_within_bucket", "row_number", "reputation", within="reputation_bucket"),
-    ], tiebreak=["user_id"], **limits)
+def reputation_counts(users: DataFrame) -> DataFrame:
+    """Users per reputation and block of ids; combined before the shuffle, so a reputation that most users have is no hot key."""
+    return users.groupBy("reputation_bucket", "reputation", F.shiftright("user_id", ID_BLOCK_BITS).alias("id_block")).agg(
+        F.sum(F.col("_sign") if "_sign" in users.columns else F.lit(1)).alias("n"))
+
+
+def ranked_users(stg_users: DataFrame, among: DataFrame | None = None, counts: DataFrame | None = None) -> DataFrame:
+    """User attributes with percentile, quartile and rank inside the reputation bucket.
+
+    Ranks are looked up: users with a lower (higher) reputation come from prefix sums over
+    the counts per reputation, users before one of equal reputation from prefix sums over
+    id blocks, and within a block of ids at most 2^ID_BLOCK_BITS users are numbered. Users
+    are not sorted as a whole. ``among`` are all users where ``stg_users`` are only some of
+    them, and ``counts`` their stored ``reputation_counts``.
+
+    The one window without a key runs over distinct reputations, at most 2,000,000 by the
+    rules of staging.
+    """
+    everyone = stg_users if among is None else among
+    counts = counts if counts is not None else stored(reputation_counts(everyone))
+    values = counts.groupBy("reputation_bucket", "reputation").agg(F.sum("n").alias("n"))
+    total = values.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
+    up = W.orderBy(F.col("reputation").asc_nulls_first()).rowsBetween(W.unboundedPreceding, -1)
+    down = W.partitionBy("reputation_bucket").orderBy(F.col("reputation").desc_nulls_last()).rowsBetween(W.unboundedPreceding, -1)
+    places = values.select(F.col("reputation").alias("_value"), F.coalesce(F.sum("n").over(up), F.lit(0)).alias("_lower"),
+                           F.coalesce(F.sum("n").over(down), F.lit(0)).alias("_higher"))
+    earlier = W.partitionBy("reputation").orderBy("id_block").rowsBetween(W.unboundedPreceding, -1)
+    blocks = (counts.select(F.col("reputation").alias("_value"), F.col("id_block").alias("_block"),
+                            F.coalesce(F.sum("n").over(earlier), F.lit(0)).alias("_before")).join(places, "_value"))
+
+    block = F.shiftright("user_id", ID_BLOCK_BITS)
+    members = everyone.select("user_id", "reputation", block.alias("id_block"))
+    if among is not None:
+        wanted = stg_users.select("reputation", block.alias("id_block")).distinct()
+        members = near_keys(members, "id_block", wanted).join(wanted, ["reputation", "id_block"], "left_semi")
+    inside = members.withColumn("_at", F.row_number().over(W.partitionBy("reputation", "id_block").orderBy("user_id")))
+    placed = inside.join(blocks, (inside["reputation"] == blocks["_value"]) & (inside["id_block"] == blocks["_block"])).select(
+        F.col("user_id").alias("_user"), "_lower", "_higher", (F.col("_before") + F.col("_at")).alias("_tie"))
+    return user_attributes(stg_users).join(placed, F.col("user_id") == F.col("_user")).withColumns({
+        "reputation_percentile_pct": rnd(F.col("_lower") / F.lit(float(max(total - 1, 1))) * 100.0, 2),
+        "reputation_quartile": ntile_of(F.col("_lower") + F.col("_tie"), total, 4),
+        "rank_within_bucket": (F.col("_higher") + F.col("_tie")).cast("long"),
+    }).drop("_user", "_lower", "_higher", "_tie")
 
 
 def distinct_tags(posts: DataFrame) -> DataFrame:

@@ -1,4 +1,10 @@
-"""Daily incremental run: change sets by high-water mark, merged layer by layer."""
+"""Daily incremental run: change sets by high-water mark, merged layer by layer.
+
+Every merge of staging and of the facts tells the rows it inserted or changed, with their
+values before and after, and the next layer takes those: facts from changed staged rows,
+ranks, activity and the sums behind the marts from changed facts. A change reaches all of
+them however old the post is. The published look-back window is taken along with it.
+"""
 
 from __future__ import annotations
 
@@ -9,11 +15,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Moment, as_python_date, day, ntz, settled
-from ..operators.merge import MergeResult, MergeRule, merge_into_table, merge_upsert, read_watermark
-from ..session import scratch
+from ..operators.keyfilter import near_keys
+from ..operators.merge import MergeResult, MergeRule, merge_into_table, merge_upsert, read_feed, read_watermark
+from ..operators.relational import dedup_latest
+from ..session import scratch, stored
 from ..sources import ingest as ing
 from ..sources import tables
-from . import dimensions, facts, refresh, staging
+from . import aggregates, dimensions, facts, refresh, staging
 
 _LOAD = ("_ingested_at", "_batch_id", "_load_type")
 
@@ -64,7 +72,6 @@ def raw_changes(source: DataFrame, feed: ing.Feed, watermark: str, as_of: Moment
                 batch_id: str | None = None) -> DataFrame:
     """Source rows active after the mark, stamped as an incremental load, newest copy per id."""
     rows = ing.ingest(source, feed, as_of, "incremental_load", batch_id, since=watermark)
-    from ..operators.relational import dedup_latest
     rest = [c for c in feed.contract.names if c not in ("id", feed.activity)]
     return dedup_latest(rows, ["id"], [feed.activity], rest)
 
@@ -90,9 +97,9 @@ def merge_fact_questions(fact: DataFrame, stg_questions: DataFrame, as_of: Momen
     return merge_upsert(fact, fresh, FACT_QUESTIONS, span)
 
 
-def scd1_dim_user(dim: DataFrame, stg_users: DataFrame, rule: MergeRule = DIM_USER, **limits) -> DataFrame:
+def scd1_dim_user(dim: DataFrame, stg_users: DataFrame, rule: MergeRule = DIM_USER) -> DataFrame:
     """Overwrite changed users in place, ranking columns included; new users are added."""
-    return merge_upsert(dim, dimensions.ranked_users(stg_users, **limits), rule)
+    return merge_upsert(dim, dimensions.ranked_users(stg_users), rule)
 
 
 def activity_keyed(activity: DataFrame) -> DataFrame:
@@ -129,13 +136,44 @@ def run_incremental(spark: SparkSession, sources: refresh.Sources, root: str, as
     return log()
 
 
+def feed_path(root: str, table: str) -> str:
+    """Where changes of a table wait for the next layer."""
+    return tables.table_path(root, "changes", table)
+
+
+def newest_told(feed: DataFrame, key: str) -> DataFrame:
+    """Changed rows with their present values; of a key that changed in several runs the last."""
+    rows = feed.drop("_action", "_old")
+    return dedup_latest(rows, [key], ["_staged_at", "_ingested_at"])
+
+
+def with_window(told: DataFrame, window: DataFrame, key: str) -> DataFrame:
+    """Changed rows and those of the look-back window, each key once."""
+    return told.unionByName(window.join(told.select(key), key, "left_anti"))
+
+
+def answers_of_moved_marks(spark: SparkSession, root: str, question_feed: DataFrame) -> DataFrame:
+    """Staged answers that a question began or ceased to accept.
+
+    Ids come from the feed; which months hold them is found on two narrow columns.
+    """
+    old, new = F.col("_old.accepted_answer_id"), F.col("accepted_answer_id")
+    moved = question_feed.filter(F.col("_old").isNull() | ~old.eqNullSafe(new))
+    ids = stored(moved.select(F.explode(F.array(old, new)).alias("answer_id")).filter("answer_id IS NOT NULL").distinct())
+    staged = tables.read_layer(spark, root, "staging", "stg_answers", keep_partition=True)
+    part = tables.PARTITIONS["stg_answers"][0]
+    hit = lambda df: near_keys(df, "answer_id", ids).join(ids, "answer_id", "left_semi")
+    months = [r[0] for r in hit(staged.select("answer_id", part)).select(part).distinct().collect()]
+    return hit(staged.filter(F.col(part).isin(months)).drop(part))
+
+
 def _run_steps(spark, sources, root, as_of, settings, batch_id, with_marts, steps, doing) -> None:
     def read(layer, table, **kw):
         return tables.read_layer(spark, root, layer, table, **kw)
 
-    def merge(layer, table, rows, rule, mark=None, between=None):
+    def merge(layer, table, rows, rule, mark=None, feed=None):
         doing.append(table)
-        steps.append((table, merge_into_table(root, layer, table, rows, rule, between), mark))
+        steps.append((table, merge_into_table(root, layer, table, rows, rule, feed=feed), mark))
 
     feeds = [(ing.QUESTIONS, sources.questions, RAW_QUESTIONS, "stg_questions"),
              (ing.ANSWERS, sources.answers, RAW_ANSWERS, "stg_answers"),
@@ -147,6 +185,10 @@ def _run_steps(spark, sources, root, as_of, settings, batch_id, with_marts, step
         mark = read_watermark(last, "_ingested_at")
         merge("raw", feed.table, raw_changes(source, feed, mark, as_of, batch_id), rule, mark)
 
+    # a mark left over from a run that broke off: its changes are still told, what it added up is not known
+    running = feed_path(root, "_running")
+    broken = tables.exists(spark, running)
+    tables.touch(spark, running)
     cleaners = [("stg_questions", "raw_questions", staging.clean_questions, STG_QUESTIONS),
                 ("stg_answers", "raw_answers", staging.clean_answers, STG_ANSWERS),
                 ("stg_users", "raw_users", staging.clean_users, STG_USERS)]
@@ -154,24 +196,38 @@ def _run_steps(spark, sources, root, as_of, settings, batch_id, with_marts, step
         mark = read_watermark(read("staging", table), "_staged_at")
         # load days before the mark cannot hold newer rows, so their folders stay closed
         fresh = staged_since(read("raw", raw, between=(mark, as_of)), mark)
-        merge("staging", table, clean(fresh, as_of, settings.floor), rule, mark)
-
-    merge("warehouse", "dim_user", dimensions.ranked_users(read("staging", "stg_users")), DIM_USER)
-    start = window_start(as_of, settings.lookback_days)
-    span = (start, as_python_date(as_of))
-    recent_q = fact_window(read("staging", "stg_questions", between=span), "question_date", as_of,
-                           settings.lookback_days)
-    recent_a = fact_window(read("staging", "stg_answers", between=span), "answer_date", as_of,
-                           settings.lookback_days)
+        merge("staging", table, clean(fresh, as_of, settings.floor), rule, mark, feed_path(root, table))
+
+    def told(table):
+        return read_feed(spark, feed_path(root, table), read("staging", table).schema)
+
+    users = stored(newest_told(told("stg_users"), "user_id"))
+    if broken:
+        tables.delete(spark, tables.table_path(root, aggregates.LAYER, aggregates.REPUTATION.table))
+    counts = aggregates.add_users(spark, root, feed_path(root, "stg_users"))
+    merge("warehouse", "dim_user", dimensions.ranked_users(users, read("staging", "stg_users"), counts), DIM_USER)
+
+    span = (window_start(as_of, settings.lookback_days), as_python_date(as_of))
+    window = lambda table, date: fact_window(read("staging", table, between=span), date, as_of, settings.lookback_days)
+    recent_q = stored(with_window(newest_told(told("stg_questions"), "question_id"), window("stg_questions", "question_date"), "question_id"))
+    recent_a = with_window(newest_told(told("stg_answers"), "answer_id"), window("stg_answers", "answer_date"), "answer_id")
+    recent_a = stored(with_window(recent_a, answers_of_moved_marks(spark, root, told("stg_questions")), "answer_id"))
     merge("warehouse", "dim_tag", dimensions.build_dim_tag(recent_q, as_of), DIM_TAG)
-    merge("warehouse", "fact_questions", facts.build_fact_questions(recent_q), FACT_QUESTIONS,
-          between=("creation_date", *span))
-    # an answer of the window may belong to any question
-    merge("warehouse", "fact_answers",
-          facts.build_fact_answers(recent_a, read("staging", "stg_questions")), FACT_ANSWERS,
-          between=("creation_date", *span))
+    # one folder per run: what a fact merge tells is added once
+    question_feed, answer_feed = (f"{feed_path(root, t)}/{batch_id}" for t in ("fact_questions", "fact_answers"))
+    merge("warehouse", "fact_questions", facts.build_fact_questions(recent_q), FACT_QUESTIONS, feed=question_feed)
+    # an answer may belong to any question: of those only the ones that accept it are needed
+    accepting = near_keys(read("staging", "stg_questions", columns=["question_id", "accepted_answer_id"]), "accepted_answer_id", recent_a, "answer_id")
+    merge("warehouse", "fact_answers", facts.build_fact_answers(recent_a, accepting), FACT_ANSWERS, feed=answer_feed)
     doing.append("fact_user_activity")
-    rebuild_activity(spark, root, span)
+    if broken:
+        fq, fa = read("warehouse", "fact_questions"), read("warehouse", "fact_answers")
+        tables.store(facts.build_user_activity(fq, fa), root, "warehouse", "fact_user_activity")
+        if aggregates.exists(spark, root):
+            aggregates.rebuild(spark, root, as_of)
+    else:
+        aggregates.add_changes(spark, root, question_feed, answer_feed, as_of)
+    tables.delete(spark, feed_path(root, "").rstrip("/"))
 
     doing.append("quality_gate")
     refresh.check_warehouse(spark, root, as_of, settings)
@@ -181,15 +237,3 @@ def _run_steps(spark, sources, root, as_of, settings, batch_id, with_marts, step
     doing.append("retention")
     for feed, *_ in feeds:
         tables.drop_expired(spark, root, feed.table, as_of=as_of)
-
-
-def rebuild_activity(spark: SparkSession, root: str, span: tuple[Moment, Moment]) -> None:
-    """Recompute the activity months that the window touches; other months stay as they are."""
-    first = as_python_date(span[0]).replace(day=1)
-    whole_months = (first, span[1])
-
-    def read(table):
-        rows = tables.read_layer(spark, root, "warehouse", table, between=whole_months)
-        return rows.filter(F.col("creation_date") >= F.lit(first))
-    fresh = facts.build_user_activity(read("fact_questions"), read("fact_answers"))
-    tables.store(fresh, root, "warehouse", "fact_user_activity", dynamic=True)

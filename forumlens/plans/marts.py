@@ -53,6 +53,11 @@ def tag_year_volume(fact_questions: DataFrame, min_year: int = 2010) -> DataFram
         *_mean_of("score"), *_mean_of("view_count"),
         fixed_sum("engagement_score", 4).alias("engagement_sum"),
         F.count("engagement_score").alias("engagement_n"))
+    return volume_of(per_user)
+
+
+def volume_of(per_user: DataFrame) -> DataFrame:
+    """The same from sums per (question_year, tag_name, user_id)."""
     return per_user.groupBy("question_year", "tag_name").agg(
         F.sum("questions").alias("question_count"),
         F.count("user_id").alias("distinct_contributors"),
@@ -73,7 +78,11 @@ def yoy(df: DataFrame, part: str, order: str, value: str, prior: str, growth: st
 
 def tag_growth(fact_questions: DataFrame, min_year: int = 2010) -> DataFrame:
     """Yearly volume per tag with change on the previous present year, total to date and rank."""
-    volume = tag_year_volume(fact_questions, min_year)
+    return growth_of(tag_year_volume(fact_questions, min_year))
+
+
+def growth_of(volume: DataFrame) -> DataFrame:
+    """The same from the yearly volume of every tag."""
     by_tag = W.partitionBy("tag_name").orderBy("question_year")
     in_year = W.partitionBy("question_year").orderBy(F.col("question_count").desc())
     # one pass over each tag's years serves all three columns
@@ -143,7 +152,12 @@ def tag_answer_stats(fact_questions: DataFrame, min_questions: int = 50) -> Data
         F.count_if(F.col("answer_count") > 0).alias("answered"),
         F.count_if("has_accepted_answer").alias("accepted"),
         *_mean_of("answer_count"), *_mean_of("score"), *_mean_of("view_count"))
-    stats = per_user.groupBy("tag_name").agg(
+    return answer_state(answer_totals(per_user), min_questions)
+
+
+def answer_totals(per_user: DataFrame) -> DataFrame:
+    """Totals per tag from sums per (tag_name, user_id)."""
+    return per_user.groupBy("tag_name").agg(
         F.sum("questions").alias("total_questions"),
         F.sum("unanswered").alias("unanswered_questions"),
         F.sum("answered").alias("answered_questions"),
@@ -151,8 +165,12 @@ def tag_answer_stats(fact_questions: DataFrame, min_questions: int = 50) -> Data
         _mean("answer_count", 2, "avg_answers_per_question"),
         _mean("score", 2, "avg_question_score"), _mean("view_count", 0, "avg_view_count"),
         F.count("user_id").alias("distinct_askers"),
-        F.sum("view_count_sum").alias("total_views")).filter(F.col("total_questions") >= min_questions)
-    return stats.withColumns({
+        F.sum("view_count_sum").alias("total_views"))
+
+
+def answer_state(totals: DataFrame, min_questions: int = 50) -> DataFrame:
+    """Shares and the gap score of tags with enough questions."""
+    return totals.filter(F.col("total_questions") >= min_questions).withColumns({
         "unanswered_pct": pct("unanswered_questions", "total_questions"),
         "acceptance_rate_pct": pct("accepted_answer_questions", "total_questions"),
         "answer_rate_pct": pct("answered_questions", "total_questions"),
@@ -160,7 +178,11 @@ def tag_answer_stats(fact_questions: DataFrame, min_questions: int = 50) -> Data
 
 
 def unanswered(fact_questions: DataFrame, min_questions: int = 50) -> DataFrame:
-    stats = tag_answer_stats(fact_questions, min_questions).withColumn(
+    return ranked_gaps(tag_answer_stats(fact_questions, min_questions))
+
+
+def ranked_gaps(stats: DataFrame) -> DataFrame:
+    stats = stats.withColumn(
         "_share", ratio("unanswered_questions", "total_questions"))
     return with_ranks(stats, [Rank("rank_by_unanswered_count", "rank", "unanswered_questions"),
                               Rank("rank_by_unanswered_pct", "rank", "_share")], ["tag_name"], one_task=True).drop("_share")
@@ -175,6 +197,11 @@ def answer_stats_by_user(fact_answers: DataFrame) -> DataFrame:
                      F.count("*").alias("answers"), F.sum("accepted_answer_flag").alias("accepted"),
                      *_mean_of("score"), F.min("creation_date").alias("first_date"),
                      F.max("creation_date").alias("last_date")))
+    return answer_stats_of(per_month)
+
+
+def answer_stats_of(per_month: DataFrame) -> DataFrame:
+    """The same from sums per (user_id, _month)."""
     return per_month.groupBy("user_id").agg(
         F.sum("answers").alias("total_answers"), F.sum("accepted").alias("accepted_answers"),
         _mean("score", 2, "avg_answer_score"), F.sum("score_sum").alias("total_answer_score"),
@@ -191,8 +218,11 @@ def question_stats_by_user(fact_questions: DataFrame) -> DataFrame:
 
 def contributor_combined(fact_answers: DataFrame, fact_questions: DataFrame) -> DataFrame:
     """Users who answered or asked, with zeros for what they did not do."""
-    both = answer_stats_by_user(fact_answers).join(question_stats_by_user(fact_questions), "user_id",
-                                                   "full_outer")
+    return combined_stats(answer_stats_by_user(fact_answers), question_stats_by_user(fact_questions))
+
+
+def combined_stats(answers: DataFrame, questions: DataFrame) -> DataFrame:
+    both = answers.join(questions, "user_id", "full_outer")
     zero = {c: 0 for c in ("total_answers", "accepted_answers", "total_answer_score",
                            "total_questions_asked", "total_views_generated", "active_months")}
     zero.update({"avg_answer_score": 0.0, "avg_question_score": 0.0})
@@ -227,7 +257,11 @@ CONTRIBUTOR_RANKS = [
 
 def top_contributors(fact_answers: DataFrame, fact_questions: DataFrame, dim_user: DataFrame,
                      as_of: Moment = None, **limits) -> DataFrame:
-    profiles = contributor_profiles(contributor_combined(fact_answers, fact_questions), dim_user, as_of)
+    return ranked_contributors(contributor_combined(fact_answers, fact_questions), dim_user, as_of, **limits)
+
+
+def ranked_contributors(combined: DataFrame, dim_user: DataFrame, as_of: Moment = None, **limits) -> DataFrame:
+    profiles = contributor_profiles(combined, dim_user, as_of)
     return with_ranks(profiles, CONTRIBUTOR_RANKS, ["user_id"], **limits)
 
 
@@ -260,21 +294,21 @@ def cohort_months(activity: DataFrame) -> DataFrame:
 
 
 def contributor_retention(activity: DataFrame) -> DataFrame:
-    """Active, new, retained and returned contributors per month.
-
-    The windows at the end run over months only, a few hundred rows.
-    """
-    kinds = cohort_months(activity).groupBy("activity_month").agg(
+    """Active, new, retained and returned contributors per month."""
+    return retention_columns(cohort_months(activity).groupBy("activity_month").agg(
         F.count("user_id").alias("total_active_contributors"),
         F.count_if(F.col("contributor_type") == "New").alias("new_contributors"),
         F.count_if(F.col("contributor_type") == "Retained").alias("retained_contributors"),
         F.count_if(F.col("contributor_type") == "Returned").alias("returned_contributors"),
-        rnd(ratio(F.sum("total_monthly_posts"), F.count("total_monthly_posts")), 2)
-        .alias("avg_posts_per_contributor"),
-        F.sum("total_monthly_posts").alias("total_posts"))
+        F.sum("total_monthly_posts").alias("total_posts")))
+
+
+def retention_columns(kinds: DataFrame) -> DataFrame:
+    """Rates from the numbers of each month; the windows run over months only, a few hundred rows."""
     months = W.orderBy("activity_month")
     before = F.lag("total_active_contributors").over(months)
-    return (kinds.withColumn("_before", before)
+    return (kinds.withColumn("avg_posts_per_contributor", rnd(ratio("total_posts", "total_active_contributors"), 2))
+            .withColumn("_before", before)
             .withColumn("month_over_month_retention_pct", pct("retained_contributors", "_before"))
             .withColumn("net_new_contributors",
                         F.col("new_contributors") - (F.col("_before") - F.col("retained_contributors")))
@@ -283,6 +317,66 @@ def contributor_retention(activity: DataFrame) -> DataFrame:
             .drop("_before"))
 
 
+def month_bitmaps(activity: DataFrame) -> DataFrame:
+    """Per month and range of 32,768 user ids: a bitmap of the users who posted, and the posts."""
+    return activity.filter(F.col("user_id") > 0).groupBy(
+        month_of("activity_date").alias("activity_month"), F.bitmap_bucket_number("user_id").alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position("user_id")).alias("users"), F.sum("total_posts").alias("posts"))
+
+
+def retention_of_bitmaps(bitmaps: DataFrame) -> DataFrame:
+    """The retention mart from ``month_bitmaps``.
+
+    Whoever is new in a month adds to the union of all months so far; whoever is retained is
+    in the bitmaps of this month and of the one before. Windows hold the months of one range of ids.
+    """
+    so_far = W.partitionBy("bucket").orderBy("activity_month").rowsBetween(W.unboundedPreceding, 0)
+    seen = bitmaps.select("*", F.bitmap_count(F.bitmap_or_agg("users").over(so_far)).alias("seen"))
+    new = F.col("seen") - F.coalesce(F.lag("seen").over(W.partitionBy("bucket").orderBy("activity_month")), F.lit(0))
+    counted = seen.select("activity_month", F.bitmap_count("users").alias("active"), new.alias("new"), "posts")
+    # every bitmap also stands beside the next month's; where two meet, both months have users of the range
+    after = F.explode(F.array(F.struct(F.col("activity_month").alias("month"), F.lit(False).alias("earlier")),
+                              F.struct(F.add_months("activity_month", 1).alias("month"), F.lit(True).alias("earlier"))))
+    stayed = (bitmaps.select("bucket", "users", after.alias("_m")).groupBy(F.col("_m.month").alias("activity_month"), "bucket")
+              .agg(F.bitmap_and_agg("users").alias("both"), F.count(F.lit(1)).alias("n")).filter("n = 2")
+              .groupBy("activity_month").agg(F.sum(F.bitmap_count("both")).alias("retained_contributors")))
+    months = counted.groupBy("activity_month").agg(F.sum("active").alias("total_active_contributors"), F.sum("new").alias("new_contributors"),
+                                                   F.sum("posts").alias("total_posts"))
+    kinds = months.join(stayed, "activity_month", "left").withColumn("retained_contributors", F.coalesce("retained_contributors", F.lit(0)))
+    return retention_columns(kinds.withColumn("returned_contributors", F.col("total_active_contributors") - F.col("new_contributors")
+                                              - F.col("retained_contributors")))
+
+
+# ------------------------------------------------------------------- sketches
+
+#: Registers (2^n) of distinct-user sketches: standard error 1.04 / sqrt(2^n), 1.6 % at 12.
+HLL_LOG = 12
+
+
+def asker_sketches(fact_questions: DataFrame) -> DataFrame:
+    """Per tag and month a sketch of the askers; those of longer spans follow by union alone."""
+    rows = fact_questions.withColumn("month", month_of("creation_date"))
+    return explode_tags(rows, ["month", "user_id"]).groupBy("tag_name", "month").agg(F.hll_sketch_agg("user_id", HLL_LOG).alias("askers"))
+
+
+def distinct_askers(sketches: DataFrame, *span: Column) -> DataFrame:
+    """Estimated distinct askers per tag and span (none: all time)."""
+    return sketches.groupBy("tag_name", *span).agg(F.hll_sketch_estimate(F.hll_union_agg("askers", True)).alias("distinct_askers"))
+
+
+def latency_sketches(latency: DataFrame) -> DataFrame:
+    """Per tag and month a quantile sketch of the hours to the first answer, from ``question_latency``."""
+    hours = F.when(F.col("hours_to_first_answer") >= 0, F.col("hours_to_first_answer"))
+    rows = latency.withColumns({"month": month_of("question_date"), "hours": hours}).filter("hours IS NOT NULL")
+    return explode_tags(rows, ["month", "hours"]).groupBy("tag_name", "month").agg(F.kll_sketch_agg_double("hours").alias("hours"))
+
+
+def median_hours(sketches: DataFrame) -> DataFrame:
+    """Estimated median per tag; its rank is within 1.7 % of the middle (sketches of 200 entries, 99 of 100 times)."""
+    return sketches.groupBy("tag_name").agg(F.kll_merge_agg_double("hours").alias("all")).select(
+        "tag_name", F.kll_sketch_get_quantile_double("all", F.lit(0.5)).alias("median_hours"))
+
+
 # Ranks of tags (``one_task``) hold one row per tag: the tag vocabulary, not the posts, bounds them.
 
 # -------------------------------------------------------------------- latency
@@ -314,9 +408,11 @@ def tag_latency_stats(fact_questions: DataFrame, fact_answers: DataFrame, min_qu
     pairs = explode_tags(
         latency.withColumn("answered", F.col("first_answer_date").isNotNull()),
         ["answered", "hours_to_first_answer", "hours_to_accepted_answer"])
-    stats = _exact_latency(pairs) if exact else _approximate_latency(pairs)
-    stats = stats.filter(F.col("total_questions") >= min_questions)
-    return stats.select(
+    return latency_columns(_exact_latency(pairs) if exact else _approximate_latency(pairs), min_questions)
+
+
+def latency_columns(stats: DataFrame, min_questions: int = 100) -> DataFrame:
+    return stats.filter(F.col("total_questions") >= min_questions).select(
         "tag_name", "total_questions", "questions_with_answers",
         rnd(fixed_mean("_first_sum", "_first_n", 2), 2).alias("avg_hours_to_first_answer"),
         rnd("_median", 2).alias("median_hours_to_first_answer"),
@@ -346,10 +442,15 @@ def _exact_latency(pairs: DataFrame) -> DataFrame:
     distinct values has a bound that does not depend on the data volume); running counts
     over those give the middle.
     """
-    first, accepted = F.col("hours_to_first_answer"), F.col("hours_to_accepted_answer")
-    combined = pairs.groupBy("tag_name", "hours_to_first_answer").agg(
+    accepted = F.col("hours_to_accepted_answer")
+    return exact_latency_of(pairs.groupBy("tag_name", "hours_to_first_answer").agg(
         F.count("*").alias("n"), F.count_if("answered").alias("a"),
-        fixed_sum(accepted, 2).alias("s"), F.count(accepted).alias("c"))
+        fixed_sum(accepted, 2).alias("s"), F.count(accepted).alias("c")))
+
+
+def exact_latency_of(combined: DataFrame, interpolate: bool = True) -> DataFrame:
+    """The same from counts per (tag_name, hours_to_first_answer); without interpolation the lower middle is the median."""
+    first = F.col("hours_to_first_answer")
     weight = F.when(first >= 0, F.col("n")).otherwise(F.lit(0))
     placed = with_running_weight(combined, "tag_name", "hours_to_first_answer", weight)
     hundredths = F.rint(first * 100.0).cast("long")
@@ -360,12 +461,15 @@ def _exact_latency(pairs: DataFrame) -> DataFrame:
         F.sum("s").alias("_accepted_sum"), F.sum("c").alias("_accepted_n"),
         F.min(F.when(first > 0, first)).alias("_min"),
         F.max(F.when(first < 10000, first)).alias("_max"),
-        middle_value("hours_to_first_answer", F.col("_w"), F.col("_upto"), F.col("_total")).alias("_median"))
+        middle_value("hours_to_first_answer", F.col("_w"), F.col("_upto"), F.col("_total"), interpolate).alias("_median"))
 
 
 def answer_latency(fact_questions: DataFrame, fact_answers: DataFrame, min_questions: int = 100,
                    use_timestamps: bool = False, exact: bool = False) -> DataFrame:
-    stats = tag_latency_stats(fact_questions, fact_answers, min_questions, use_timestamps, exact)
+    return ranked_latency(tag_latency_stats(fact_questions, fact_answers, min_questions, use_timestamps, exact))
+
+
+def ranked_latency(stats: DataFrame) -> DataFrame:
     fastest = Rank("rank_fastest_community", "rank", "_mean_hours", descending=False)
     return with_ranks(stats, [fastest], ["tag_name"], one_task=True).drop("_mean_hours")
 

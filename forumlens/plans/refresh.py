@@ -11,7 +11,7 @@ from ..functions.calendar import Moment, settled
 from ..session import scratch
 from ..sources import ingest as ing
 from ..sources import tables
-from . import dimensions, facts, marts, quality, staging
+from . import aggregates, dimensions, facts, marts, quality, staging
 
 
 @dataclass(frozen=True)
@@ -39,7 +39,7 @@ class Sources:
 
 def refresh_marts(spark: SparkSession, root: str, as_of: Moment = None,
                   settings: Settings = Settings()) -> dict[str, DataFrame]:
-    """Rebuild the seven marts from the stored warehouse tables."""
+    """Compute the seven marts from the stored sums, which are built first where there are none, and small tables."""
     def wh(table, columns=None):
         return tables.read_layer(spark, root, "warehouse", table, columns)
 
@@ -48,14 +48,15 @@ def refresh_marts(spark: SparkSession, root: str, as_of: Moment = None,
         return out[name]
 
     s, out = settings, {}
-    fq, fa, tags = wh("fact_questions"), wh("fact_answers"), wh("dim_tag")
-    growth = keep("mart_tag_growth", marts.tag_growth(fq, s.min_year))
+    if not aggregates.exists(spark, root):
+        aggregates.rebuild(spark, root, as_of)
+    tags = wh("dim_tag")
+    growth = keep("mart_tag_growth", aggregates.growth(spark, root, s.min_year))
     keep("mart_trending_technologies", marts.trending(growth, tags, None, s.trending_min_questions))
-    gaps = keep("mart_unanswered_questions", marts.unanswered(fq, s.unanswered_min_questions))
-    keep("mart_top_contributors", marts.top_contributors(fa, fq, wh("dim_user"), as_of))
-    keep("mart_contributor_retention", marts.contributor_retention(wh("fact_user_activity")))
-    latency = keep("mart_answer_latency",
-                   marts.answer_latency(fq, fa, s.latency_min_questions, exact=s.exact_median))
+    gaps = keep("mart_unanswered_questions", aggregates.gaps(spark, root, s.unanswered_min_questions))
+    keep("mart_top_contributors", aggregates.contributors(spark, root, wh("dim_user"), as_of))
+    keep("mart_contributor_retention", aggregates.retention(spark, root))
+    latency = keep("mart_answer_latency", aggregates.latency(spark, root, s.latency_min_questions, s.exact_median))
     keep("mart_community_health",
          marts.community_health(gaps, latency, growth, tags, as_of, s.health_min_questions))
     return out
@@ -96,6 +97,9 @@ def _rebuild(spark, sources, root, as_of, settings, with_marts, batch_id) -> Non
                                                                              dimensions.CALENDAR[0])))
     st("warehouse", "dim_user", dimensions.build_dim_user(stg_u, as_of))
     st("warehouse", "dim_tag", dimensions.build_dim_tag(stg_q, as_of))
+    # sums and waiting changes of an earlier state
+    for old in (aggregates.LAYER, "changes"):
+        tables.delete(spark, tables.table_path(root, old, "").rstrip("/"))
     fq = st("warehouse", "fact_questions", facts.build_fact_questions(stg_q))
     fa = st("warehouse", "fact_answers", facts.build_fact_answers(stg_a, stg_q))
     st("warehouse", "fact_user_activity", facts.build_user_activity(fq, fa))

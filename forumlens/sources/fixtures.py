@@ -102,6 +102,34 @@ SELECT id, display_name, location, creation_date, up_votes, down_votes, views,
 FROM {src} WHERE creation_date <= CAST('2000-01-01' AS TIMESTAMP)
 """
 
+# Sources for whole runs, as they stood at a given day: every user is valid, every answer belongs to a question before it,
+# and activity after that day has not happened. A fortnight lies between the two days.
+RUN_FIRST, RUN_NOW = "2001-07-20", "2001-08-03"
+RUN_QUESTIONS = """
+SELECT id, title, comment_count, favorite_count, creation_date, owner_user_id, post_type_id, tags, answer_count, view_count,
+  CASE WHEN last_activity_date <= CAST('{at}' AS TIMESTAMP) THEN accepted_answer_id END AS accepted_answer_id,
+  CASE WHEN last_activity_date <= CAST('{at}' AS TIMESTAMP) THEN score ELSE score - 2 END AS score,
+  CASE WHEN last_activity_date <= CAST('{at}' AS TIMESTAMP) THEN last_activity_date ELSE creation_date END AS last_activity_date
+FROM {src} WHERE creation_date >= CAST('1995-06-01' AS TIMESTAMP) AND creation_date <= CAST('{at}' AS TIMESTAMP)
+"""
+RUN_ANSWERS = """
+SELECT a.id, a.parent_id, a.creation_date, a.owner_user_id, a.post_type_id, a.comment_count,
+  CASE WHEN a.last_activity_date <= CAST('{at}' AS TIMESTAMP) THEN a.score ELSE a.score - 1 END AS score,
+  CASE WHEN a.last_activity_date <= CAST('{at}' AS TIMESTAMP) THEN a.last_activity_date ELSE a.creation_date END AS last_activity_date
+FROM (SELECT id, parent_id, post_type_id, min(creation_date) AS creation_date, min(owner_user_id) AS owner_user_id,
+        min(comment_count) AS comment_count, min(score) AS score, max(last_activity_date) AS last_activity_date
+      FROM {src} GROUP BY id, parent_id, post_type_id) a
+JOIN {questions} q ON q.id = a.parent_id AND q.creation_date <= a.creation_date
+WHERE q.creation_date >= CAST('1995-06-01' AS TIMESTAMP) AND a.creation_date <= CAST('{at}' AS TIMESTAMP)
+"""
+RUN_USERS = """
+SELECT id, display_name, location, creation_date, up_votes, down_votes, views,
+  CASE WHEN last_access_date <= CAST('{at}' AS TIMESTAMP) THEN greatest(reputation, 10) ELSE greatest(reputation, 10) - 5 END AS reputation,
+  CASE WHEN last_access_date <= CAST('{at}' AS TIMESTAMP) THEN last_access_date ELSE creation_date END AS last_access_date
+FROM (SELECT * EXCEPT (creation_date), greatest(creation_date, CAST('1995-06-01' AS TIMESTAMP)) AS creation_date FROM {src}) u
+WHERE creation_date <= CAST('{at}' AS TIMESTAMP)
+"""
+
 
 _SCHEMAS: dict[str, StructType] = {}
 
@@ -148,3 +176,13 @@ def answers_earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def users_earlier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conform(spark.sql(_ntz(USERS_EARLIER), src=users(spark, sf_dir)), schemas.USER)
+
+
+def run_sources(spark: SparkSession, sf_dir: str, at: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Questions, answers and users of a whole run at a day."""
+    def sql(text, **named):
+        return spark.sql(_ntz(text.replace("{at}", at)), **named)
+
+    asked, answered, people = questions(spark, sf_dir), answers(spark, sf_dir), users(spark, sf_dir)
+    return (conform(sql(RUN_QUESTIONS, src=asked), schemas.POST), conform(sql(RUN_ANSWERS, src=answered, questions=asked), schemas.POST),
+            conform(sql(RUN_USERS, src=people), schemas.USER))

@@ -19,6 +19,7 @@ LAYERS = {
     "staging": "Deduplicated, typed and enriched rows",
     "warehouse": "Star schema of dimensions and facts",
     "marts": "Aggregated tables for reporting",
+    "aggregates": "Sums that changes are added to and marts are computed from",
 }
 RAW_RETENTION_DAYS = 60
 
@@ -29,9 +30,16 @@ PARTITIONS = {
     "raw_users": ("load_day", "_ingested_at", "day"),
     "stg_questions": ("month_start", "question_date", "month"),
     "stg_answers": ("month_start", "answer_date", "month"),
+    "stg_users": ("month_start", "account_creation_date_date", "month"),
+    "dim_user": ("month_start", "account_creation_date_date", "month"),
     "fact_questions": ("month_start", "creation_date", "month"),
     "fact_answers": ("month_start", "creation_date", "month"),
     "fact_user_activity": ("month_start", "activity_date", "month"),
+    "agg_tag_user": ("year_start", "period", "year"),
+    "agg_tag_latency": ("year_start", "period", "year"),
+    "agg_user_posts": ("year_start", "period", "year"),
+    "agg_month_users": ("year_start", "period", "year"),
+    "agg_tag_askers": ("year_start", "period", "year"),
 }
 CLUSTERS = {
     "raw_questions": ["id"], "raw_answers": ["id", "parent_id"], "raw_users": ["id"],
@@ -39,6 +47,8 @@ CLUSTERS = {
     "stg_users": ["reputation"], "dim_date": ["year", "month"], "dim_tag": ["tag_name"],
     "dim_user": ["reputation", "reputation_bucket"], "fact_questions": ["user_id", "score"],
     "fact_answers": ["question_id", "user_id"], "fact_user_activity": ["user_id"],
+    "agg_tag_user": ["tag_name"], "agg_tag_latency": ["tag_name"], "agg_user_posts": ["user_id"],
+    "tag_years": ["tag_name"], "tag_totals": ["tag_name"],
 }
 DESCRIPTIONS = {
     "raw_questions": "Question versions as loaded", "raw_answers": "Answer versions as loaded",
@@ -136,7 +146,7 @@ def partition_value(table: str) -> Column | None:
     if table not in PARTITIONS:
         return None
     _, source, grain = PARTITIONS[table]
-    return F.to_date(F.col(source)) if grain == "day" else F.trunc(F.col(source), "month")
+    return F.to_date(F.col(source)) if grain == "day" else F.trunc(F.col(source), grain)
 
 
 def write_layer(df: DataFrame, path: str, partition_by: str | None = None,
@@ -228,8 +238,10 @@ def folders_between(df: DataFrame, table: str, lo: Moment, hi: Moment) -> DataFr
     """Only the partition folders that can hold days from ``lo`` to ``hi``."""
     part, _, grain = PARTITIONS[table]
     first, last = as_python_date(lo), as_python_date(hi)
-    if grain == "month":
+    if grain in ("month", "year"):
         first = first.replace(day=1)
+    if grain == "year":
+        first = first.replace(month=1)
     return df.filter(F.col(part).between(F.lit(first), F.lit(last)))
 
 
