@@ -101,8 +101,8 @@ FROM rows GROUP BY conv_id"""
 
 @query("op10_edit_aware_tokens")
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Tokens of every document before and after three edits that are derived from its own text."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))
+    """Tokens of every document before and after three edits derived from its own text; the edits meet stored trees."""
+    trees = stored(tokencount.counted(table(spark, sf_dir, "documents").select("doc_id", F.coalesce("text", F.lit("")).alias("text"))), "token-trees")
     n, h = F.length("text").cast("long"), lambda k: F.xxhash64("doc_id", F.lit(k))
     place = lambda k: F.pmod(h(k), n + 1)
     edit = lambda start, size, text: F.struct(start.alias("start"), size.cast("long").alias("size"), text.alias("text"))
@@ -110,7 +110,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         edit(place(1), F.pmod(h(2), F.lit(40)), F.lit("")),  # a cut
         edit(place(3), F.lit(0), F.substring("text", 1, 25)),  # the beginning quoted elsewhere
         edit(F.pmod(h(4), n + 1), F.lit(12), F.concat(F.lit(" [edit "), F.col("doc_id").cast("string"), F.lit("] "))))  # a note
-    return tokencount.recounted(docs.withColumn("edits", edits)).drop("text_edited")
+    after = tokencount.edited(trees.withColumns({"edits": edits, "n_chars": n}))
+    return after.select("doc_id", F.col("n_tokens_before").alias("n_tokens"), F.col("n_tokens").alias("n_tokens_edited"),
+                        F.length("text").cast("long").alias("n_chars_edited"), "n_chars_reencoded", "n_chars", F.sha2("text", 256).alias("text_sha256"))
 
 
 @query("op4_forest_secrets")
@@ -124,7 +126,7 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens of two tokenizers aligned over every document, and how its links stand in the corpus."""
     rows, files = align.aligned_corpus(table(spark, sf_dir, "documents").select("doc_id", "text"))
-    return align.alignment_digest(rows, files, align.link_counts(rows))
+    return align.alignment_digest(rows, files, align.link_counts(rows, files))
 
 
 @query("op12_laesa_codes")
