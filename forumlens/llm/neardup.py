@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import (SHINGLE_WORDS, SIMILARITY, components, discard, fresh, mix, rows_not_of, rows_of, shingles, small_batches,
+from .common import (SHINGLE_WORDS, SIMILARITY, components, discard, fresh, mix, release, rows_not_of, rows_of, shingles, small_batches,
                      stored, text_blocks)
 
 #: 24 bands of 5: a pair at 0.8 shares a band with probability 0.99993, at 0.9 with 1 - 5e-10.
@@ -221,6 +221,7 @@ def duplicate_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     links = stored(verified(star, sets, threshold), "neardup-links")
     classes = stored(components(links), "neardup-classes")
 
+    release(docs.sparkSession)
     # nodes of buckets that still hold several classes meet again: first in finer buckets of two
     # bands, with both ends of each, then wherever their rarest shingles leave room for the threshold
     star_pairs = star.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
