@@ -87,7 +87,7 @@ def test_edge_texts(spark):
             (8, "word " * 30_000), (8, "word " * 3), (8, "word " * 3), (None, "x"), (9, "ﬁ Å"), (10, "aaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaaa")]
     docs = spark.createDataFrame(data, "doc_id long, text string").withColumn("n_a", F.lit("old")).withColumn("a_sizes", F.lit(1)).withColumn("extra", F.lit(7))
     done, files = align.aligned_corpus(docs)
-    out = align.alignment_digest(done, files, align.link_counts(done))
+    out = align.alignment_digest(done, files, align.link_counts(done, files))
     assert out.columns == ["doc_id", "extra", *RESULTS]
     short = [(i, t) for i, t in data if not t or len(t) < 1000]
     got = [r for r in rows(out.drop("extra")) if r[1] < 1000]
@@ -96,13 +96,13 @@ def test_edge_texts(spark):
     assert [keep(r) for r in got] == [keep(r) for r in expected(short)]
     empty = docs.limit(0)
     done, files = align.aligned_corpus(empty)
-    assert align.alignment_digest(done, files, align.link_counts(done)).count() == 0
+    assert align.alignment_digest(done, files, align.link_counts(done, files)).count() == 0
 
 
 def test_counts_with_ties_and_repeats(spark):
     data = [(1, "alpha beta gamma"), (1, "alpha beta gamma"), (2, "Gamma gamma unbelievable"), (3, "unbelievable tokenization"), (4, None)]
     done, files = align.aligned_corpus(spark.createDataFrame(data, "doc_id long, text string"))
-    assert rows(align.alignment_digest(done, files, align.link_counts(done))) == expected(data)
+    assert rows(align.alignment_digest(done, files, align.link_counts(done, files))) == expected(data)
 
 
 @settings(max_examples=300, deadline=None)
@@ -115,6 +115,19 @@ def test_groups_of_any_two_arrays(a, b):
     assert sum(a_sizes) == len(a) and sum(b_sizes) == len(b)
 
 
+_V = []
+
+
+@settings(max_examples=400, deadline=None)
+@given(st.text(alphabet=st.one_of(st.characters(max_codepoint=0x24F), st.sampled_from(" \t\n\r'sdtmlvre 0123ÀÿĀɏ¼²ªº\xa0\x85\x1c\u3000α")), max_size=60))
+def test_both_libraries_give_the_same_ids(text):
+    if not _V:
+        with open(align.A_FILE, "rb") as a, open(align.B_FILE, "rb") as b:
+            _V.append(align.Vocabularies(a.read(), b.read()))
+    v = _V[0]
+    assert v.fast and v.a_ids(text) == v.a.encode(" " + text, add_special_tokens=False).ids
+
+
 def test_long_equal_stretches():
     a = list(range(1, 10_001))
     b = [v for v in a if v % 1000 or v == 10_000]
@@ -122,10 +135,22 @@ def test_long_equal_stretches():
     assert a_sizes.count(2) == 9 and set(b_sizes) == {1} and sum(a_sizes) == len(a)
 
 
+def test_arrays_and_packed_numbers_are_the_same(spark):
+    docs = spark.createDataFrame([(1, "alpha beta gamma"), (2, None), (3, "Gamma unbelievable tokenization")], "doc_id long, text string")
+    files = align.shared_files(spark)
+    plain = align.aligned(docs, files).drop("text")
+    first = plain.filter("doc_id = 1").first()
+    assert sum(first.a_sizes) == len(first.a_ids) and sum(first.b_sizes) == len(first.b_ids) and len(first.a_sizes) == len(first.b_sizes)
+    packed, _ = align.aligned_corpus(docs)
+    counts = align.link_counts(plain, files)
+    assert rows(counts) == rows(align.link_counts(packed, files))
+    assert rows(align.alignment_digest(plain, files, counts)) == rows(align.alignment_digest(packed, files, counts))
+
+
 def test_pairs_are_bounded_by_the_vocabularies(spark):
     v = align.Vocabularies(*align.shared_files(spark).value)
     assert v.most_pairs() < 1_000_000
     done, files = align.aligned_corpus(spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text"))
-    for r in align.link_counts(done).collect():
+    for r in align.link_counts(done, files).collect():
         a, b = v.a_bytes[r.a_id], v.b_bytes[r.b_id]
         assert a.endswith(b) or b.endswith(a)
