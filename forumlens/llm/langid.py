@@ -26,11 +26,11 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import rows_of, small_batches, stored, text_blocks
+from .common import joined_by_group, rows_of, small_batches, stored, text_blocks
 
 SAMPLE_ROWS, LANDMARKS, SLOTS, ORDERS, RIDGE = 2000, 128, 1 << 15, 3, 1e-2
 UNKNOWN = "und"
-_TEXTS, _SHARES = 128, 64
+_TEXTS = 128
 _LETTERS: dict[str, np.ndarray] = {}
 
 
@@ -143,10 +143,12 @@ def train(docs: DataFrame, text_col: str = "text", lang_col: str = "lang",
     small_batches(docs.sparkSession)
     labelled = docs.filter(F.col(lang_col).isNotNull() & F.col(text_col).isNotNull()).select(
         F.col(lang_col).cast("string").alias("lang"), F.col(text_col).alias("text"), F.xxhash64(text_col).alias("key"))
-    # the smallest of each share of a language, then of the language: no task ranks a whole language
-    first = lambda rows, *by: rows.withColumn("rank", F.row_number().over(Window.partitionBy("lang", *by).orderBy("key"))).filter(F.col("rank") <= sample_rows)
-    shares = labelled.select("lang", "key").distinct().withColumn("share", F.pmod(F.shiftright("key", 7), F.lit(_SHARES)))
-    ranked = stored(first(first(shares, "share").select("lang", "key")), "langid-sample")
+    # keys are uniform: below this part of their range lie about four times the sample, so no task ranks a whole language
+    keys = stored(labelled.select("lang", "key").distinct(), "langid-keys")
+    sized = joined_by_group(keys, ["lang"], keys.groupBy("lang").agg(F.count(F.lit(1)).alias("n")), "n")
+    low = sized.filter(F.col("key") / 2.0 ** 64 + 0.5 <= F.lit(4.0 * max(sample_rows, 250)) / F.col("n"))
+    ranked = stored(low.withColumn("rank", F.row_number().over(Window.partitionBy("lang").orderBy("key")))
+                    .filter(F.col("rank") <= sample_rows).select("lang", "key", "rank"), "langid-sample")
     languages = max(1, ranked.select("lang").distinct().count())
     chosen = ranked.filter(F.col("rank") <= max(1, sample_rows // languages)).orderBy("rank", "lang").limit(sample_rows)
     chosen = stored(chosen.select("lang", "key"), "langid-chosen")
