@@ -13,6 +13,7 @@ from ..operators.ranking import Rank
 from ..plans import dimensions, facts, kpis, marts
 from ..session import stored
 from ..sources import fixtures as fx
+from ..sources.bucketed import beside, write_bucketed
 from .base import Inputs, big, query, r, share
 
 # ----------------------------------------------------------------------- joins
@@ -22,6 +23,24 @@ FROM x_stg_a a LEFT JOIN x_stg_q q ON q.question_id = a.question_id""")(
     lambda x: facts.join_answers_questions(x.stg_answers, x.stg_questions).select(
         "answer_id", "question_id", "question_accepted_answer_id"))
 
+
+
+def _bucketed(x: Inputs, df, key: str, name: str):
+    """A relation stored in eight buckets of a key, under a name of its own."""
+    path = x.scratch(name)
+    return write_bucketed(df, path, path.rsplit("/", 1)[-1].replace("-", "_"), key, 8)
+
+
+@query("join_answers_questions_bucketed", """
+SELECT answer_id, a.question_id, q.accepted_answer_id AS question_accepted_answer_id
+FROM x_stg_a a LEFT JOIN x_stg_q q ON q.question_id = a.question_id""")
+def join_bucketed(x: Inputs):
+    """The same from staging stored in buckets of the question: neither side is shuffled."""
+    answers = _bucketed(x, x.stg_answers.select("answer_id", "question_id"), "question_id", "bucketed-answers")
+    questions = _bucketed(x, x.stg_questions.select("question_id", "accepted_answer_id"), "question_id", "bucketed-questions")
+    return facts.join_answers_questions(answers.hint("merge"), questions).select("answer_id", "question_id", "question_accepted_answer_id")
+
+
 query("accepted_flag", """
 SELECT answer_id, CAST(EXISTS (SELECT 1 FROM x_stg_q q WHERE q.question_id = a.question_id
   AND q.accepted_answer_id = a.answer_id) AS BIGINT) AS accepted_answer_flag FROM x_stg_a a""")(
@@ -119,6 +138,20 @@ FROM x_early_q e FULL JOIN x_src_q s ON s.id = e.id""")(
     lambda x: fx.questions_earlier(x.spark, x.sf_dir).select("id", F.col("score").alias("old_score"))
     .join(x.src_questions.select("id", F.col("score").alias("new_score")), "id", "full_outer"))
 
+
+
+@query("merge_join_bucketed", """
+SELECT coalesce(e.id, s.id) AS id, e.score AS old_score, s.score AS new_score
+FROM x_early_q e FULL JOIN x_src_q s ON s.id = e.id""")
+def merge_join_bucketed(x: Inputs):
+    """The same with the target stored in buckets of its key: only the change set is dealt to them."""
+    old = fx.questions_earlier(x.spark, x.sf_dir).select("id", F.col("score").alias("old_score"))
+    path = x.scratch("bucketed-target")
+    name = path.rsplit("/", 1)[-1].replace("-", "_")
+    write_bucketed(old, path, name, "id", 8)
+    return beside(x.spark, name, x.src_questions.select("id", F.col("score").alias("new_score")), "id", "full_outer")
+
+
 query("scalar_subquery", """
 SELECT question_id, score FROM x_fq
 WHERE year(creation_date) = (SELECT max(year(creation_date)) - 1 FROM x_fq)""")(

@@ -11,7 +11,9 @@ SAMPLE = ["ingest_raw_answers", "stg_questions", "stg_answers", "stg_users", "di
           "merge_stg_questions", "scd1_dim_user", "merge_fact_questions", "distributed_rank",
           "ntile_percent_rank", "mart_tag_growth", "mart_unanswered_questions", "mart_top_contributors",
           "mart_contributor_retention", "mart_answer_latency", "mart_community_health",
-          "kpi_01_platform_overview", "kpi_10_losing_popularity", "stream_upsert"]
+          "kpi_01_platform_overview", "kpi_10_losing_popularity", "stream_upsert", "stream_upsert_late",
+          "mart_contributor_retention_bitmaps", "distinct_askers_by_sketch", "join_answers_questions_bucketed",
+          "merge_join_bucketed"]
 
 
 @pytest.fixture(scope="module")
