@@ -3,17 +3,16 @@
 Every position of a document has a name for the prefix that starts there. Names double:
 the name for 2h bytes is the pair of the names for h bytes at the position and h further on
 (1, 2, 4, … 32, 64, then 64 + 36 for the threshold of 100). A name is a 64-bit fingerprint of
-the pair in place of its rank, so names of all documents agree without a sort per step. Spark
-sorts (name, position) pairs twice: at 32 bytes, where positions with a unique name are
-dropped, and at 100 bytes, the threshold.
+the pair in place of its rank, so names of all documents agree, and there is no sort of
+(position, rank) pairs and no reranking.
 
 Sorting every position at 32 bytes would shuffle about twenty times the input. A string of 100 bytes is
-represented there by one of its 69 inner positions, the one with the smallest 32-byte name
+represented by one of its 69 inner positions, the one with the smallest 32-byte name
 (the leftmost of equals). Equal strings choose equal positions, so no repetition is lost,
 and neighbouring strings mostly choose the same one: a run of them is one row, named also by
-its whole context (at most 168 bytes). Rows with equal names and contexts repeat each other
-run by run. Only where contexts of one name differ, the runs' first occurrences are sorted
-at 100 bytes, string by string.
+its whole context (at most 168 bytes). Rows are grouped by the hash of their name; those with
+equal names and contexts repeat each other run by run. Only where contexts of one name differ,
+the runs' first occurrences are sorted at 100 bytes, string by string, within the group.
 
 Rows are dealt by name; equal names within a block of text are settled before, so that
 a passage which a third of all documents hold arrives once per block. Rows travel as packed
