@@ -8,7 +8,7 @@ from ..plans import dimensions, quality, refresh, staging
 from ..plans.quality import Bounds, CHECKS
 from ..session import stored
 from ..sources import fixtures as fx
-from ..sources import tables
+from ..sources import clustering, tables
 from .base import Inputs, big, key_sql, query, share
 
 # ------------------------------------------------------------------- raw layer
@@ -44,6 +44,22 @@ def read_layer(x: Inputs):
     return year.groupBy("user_id").agg(F.count("*").alias("posts"), F.sum("score").alias("total_score"))
 
 
+@query("recluster_layer", """
+SELECT 'user' AS filtered_by, count(*) AS posts, CAST(sum(score) AS BIGINT) AS total_score FROM x_fa WHERE user_id = 7
+UNION ALL SELECT 'question', count(*), CAST(sum(score) AS BIGINT) FROM x_fa WHERE question_id BETWEEN 100 AND 199
+UNION ALL SELECT 'all', count(*), CAST(sum(score) AS BIGINT) FROM x_fa""")
+def recluster_layer(x: Inputs):
+    """Stored answers rewritten in boxes of question and user, then read by one column or the other."""
+    root = x.scratch("recluster")
+    tables.store(x.fact_answers, root, "warehouse", "fact_answers")
+    clustering.recluster(x.spark, root, "warehouse", "fact_answers")
+    posts = tables.read_layer(x.spark, root, "warehouse", "fact_answers", ["question_id", "user_id", "score"])
+    some = {"user": F.col("user_id") == 7, "question": F.col("question_id").between(100, 199), "all": F.lit(True)}
+    sums = [posts.filter(f).agg(F.lit(k).alias("filtered_by"), F.count("*").alias("posts"), F.sum("score").cast("long").alias("total_score"))
+            for k, f in some.items()]
+    return sums[0].unionByName(sums[1]).unionByName(sums[2]).select("filtered_by", "posts", "total_score")
+
+
 @query("ensure_layers", """
 SELECT 'fact_questions' AS table_name, count(*) AS row_count FROM x_fq
 UNION ALL SELECT 'fact_answers', count(*) FROM x_fa""")

@@ -13,7 +13,7 @@ SAMPLE = ["ingest_raw_answers", "stg_questions", "stg_answers", "stg_users", "di
           "mart_contributor_retention", "mart_answer_latency", "mart_community_health",
           "kpi_01_platform_overview", "kpi_10_losing_popularity", "stream_upsert", "stream_upsert_late",
           "mart_contributor_retention_bitmaps", "distinct_askers_by_sketch", "join_answers_questions_bucketed",
-          "merge_join_bucketed"]
+          "merge_join_bucketed", "recluster_layer"]
 
 
 @pytest.fixture(scope="module")
