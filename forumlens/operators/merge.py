@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.calendar import Moment, as_python_date
-from ..session import stored
+from ..session import stored, stored_with
 from .keyfilter import near_keys
 
 EPOCH = "2008-01-01 00:00:00"
@@ -128,9 +128,9 @@ def merge_upsert(target: DataFrame, source: DataFrame, rule: MergeRule,
     return both.select(*[final(c) for c in names], "_action", *old)
 
 
-def action_counts(merged: DataFrame) -> dict[str, int]:
-    """Rows per action; three rows at most reach the driver."""
-    return {r["_action"]: r["n"] for r in merged.groupBy("_action").agg(F.count("*").alias("n")).collect()}
+def action_counts() -> dict[str, Column]:
+    """Inserted and updated rows, to be counted while a merge is written."""
+    return {"inserted": F.count_if(F.col("_action") == "INSERT"), "updated": F.count_if(F.col("_action") == "UPDATE")}
 
 
 @dataclass
@@ -179,12 +179,11 @@ def merge_into_table(root: str, layer: str, table: str, source: DataFrame, rule:
         return _merge_files(root, layer, table, source, rows, rule, span, target_between, tell if feed else None)
 
     target = tables.read_layer(spark, root, layer, table)
-    merged = stored(merge_upsert(target, source, rule, span, False, with_old=True))
-    counts = action_counts(merged)
-    if set(counts) - {"KEEP"}:
+    merged, counts = stored_with(merge_upsert(target, source, rule, span, False, with_old=True), **action_counts())
+    if counts["inserted"] or counts["updated"]:
         tell(merged.filter("_action <> 'KEEP'"))
         tables.store(merged.drop("_action", "_old"), root, layer, table)
-    return MergeResult(counts.get("INSERT", 0), counts.get("UPDATE", 0), rows)
+    return MergeResult(counts["inserted"], counts["updated"], rows)
 
 
 def _inserted(rows: DataFrame) -> DataFrame:
@@ -222,9 +221,8 @@ def _append_versions(root, layer, table, source, rows, rule) -> MergeResult:
     state = (pairs.groupBy(F.col("s_" + rule.key).alias("_key"))
              .agg(F.max(F.struct(F.col("t_" + rule.version_by), (~rule.condition()).alias("same"))).alias("_last"))
              .select("_key", F.col("_last.same").alias("_same")))
-    taken = stored(full.join(state, F.col(rule.key) == F.col("_key"), "left")
-                   .filter(F.col("_same").isNull() | ~F.col("_same")))
-    counts = taken.agg(F.count_if(F.col("_same").isNull()).alias("new"), F.count_if(F.col("_same").isNotNull()).alias("changed")).first()
+    taken, counts = stored_with(full.join(state, F.col(rule.key) == F.col("_key"), "left").filter(F.col("_same").isNull() | ~F.col("_same")),
+                                new=F.count_if(F.col("_same").isNull()), changed=F.count_if(F.col("_same").isNotNull()))
     if counts["new"] or counts["changed"]:
         tables.append(taken.select(*target.columns), root, layer, table)
     return MergeResult(counts["new"], counts["changed"], rows)
@@ -247,13 +245,15 @@ def _merge_files(root, layer, table, source, rows, rule, span, target_between, t
         near = tables.folders_between(near, table, *target_between[1:]).filter(span)
     full = evolve(source, target.drop("_file", tables.PARTITIONS[table][0]))
     # only rows whose key is among the changes, as far as a bitmap can tell, are shuffled
-    found = stored(_prefixed(near_keys(near, rule.key, full), "t_", [*rule.read_columns(), "_file"])
-                   .join(_prefixed(full, "s_", rule.read_columns()), F.col("t_" + rule.key) == F.col("s_" + rule.key))
-                   .select(F.col("s_" + rule.key).alias("_key"), F.col("t__file").alias("_file"), rule.condition().alias("changed")))
-    fresh = stored(full.join(found.select("_key").distinct(), F.col(rule.key) == F.col("_key"), "left_anti"))
+    pairs = (_prefixed(near_keys(near, rule.key, full), "t_", [*rule.read_columns(), "_file"])
+             .join(_prefixed(full, "s_", rule.read_columns()), F.col("t_" + rule.key) == F.col("s_" + rule.key))
+             .select(F.col("s_" + rule.key).alias("_key"), F.col("t__file").alias("_file"), rule.condition().alias("changed")))
+    found, old = stored_with(pairs, updated=F.count_if("changed"))
+    fresh, new = stored_with(full.join(found.select("_key").distinct(), F.col(rule.key) == F.col("_key"), "left_anti"),
+                             inserted=F.count(F.lit(1)))
     # names of files that are about to be replaced
     dirty = [r["_file"] for r in found.filter("changed").select("_file").distinct().collect()]
-    result = MergeResult(fresh.count(), found.filter("changed").count(), rows)
+    result = MergeResult(new["inserted"], old["updated"], rows)
     if not result.inserted and not result.updated:
         return result
 

@@ -127,17 +127,32 @@ def all_violations(fq: DataFrame, fa: DataFrame, dim_user: DataFrame, dim_date:
         "check_id", "check_category", "check_name", "occurrence_count")
 
 
-def failing_rows(fq: DataFrame, fa: DataFrame, dim_user: DataFrame, dim_date: DataFrame,
-                 as_of: Moment = None, bounds: Bounds = Bounds()) -> DataFrame:
+def row_checks(table: str, as_of: Moment = None, bounds: Bounds = Bounds()) -> dict[str, Column]:
+    """Aggregates that count the violations of the checks on single rows of a table, by check."""
+    latest = F.datediff(day(as_of), F.max("creation_date")) > bounds.max_age_days
+    known = {
+        "fact_questions": {"DQ-003": F.count_if(_any_null("user_id", "date_key")), "DQ-005": F.count_if(_bad_date(bounds, as_of)),
+                           "DQ-011": F.count_if(F.col("score") < bounds.min_score), "DQ-012": F.when(latest, 1).otherwise(0)},
+        "fact_answers": {"DQ-004": F.count_if(_any_null("user_id", "question_id", "date_key")),
+                         "DQ-006": F.count_if(_bad_date(bounds, as_of))},
+        "dim_user": {"DQ-010": F.count_if(_bad_reputation(bounds))},
+    }
+    return {check: test.cast("long") for check, test in known[table].items()}
+
+
+def failing_rows(fq: DataFrame, fa: DataFrame, dim_user: DataFrame, dim_date: DataFrame, as_of: Moment = None,
+                 bounds: Bounds = Bounds(), counted_before: dict[str, int] | None = None) -> DataFrame:
     """Number of violations per check, one row each.
 
-    Row conditions on one table are counted in one pass over it; key lookups count rows
-    per key before they are shuffled.
+    Row conditions on one table are counted in one pass over it, or taken from
+    ``counted_before`` where the tables were written with ``row_checks``; key lookups count
+    rows per key before they are shuffled.
     """
-    def counted(df, **tests):
-        one = df.agg(*[t.cast("long").alias(n) for n, t in tests.items()])
-        return one.unpivot([], list(tests), "check_id", "failing_rows").withColumn(
-            "check_id", F.replace("check_id", F.lit("_"), F.lit("-")))
+    def counted(df, table):
+        tests = row_checks(table, as_of, bounds)
+        if counted_before is not None:
+            return df.sparkSession.createDataFrame([(c, counted_before[c]) for c in tests], "check_id string, failing_rows long")
+        return df.agg(*[t.alias(c) for c, t in tests.items()]).unpivot([], list(tests), "check_id", "failing_rows")
 
     def named(check_id, df):
         return df.select(F.lit(check_id).alias("check_id"), F.col("n").alias("failing_rows"))
@@ -145,15 +160,8 @@ def failing_rows(fq: DataFrame, fa: DataFrame, dim_user: DataFrame, dim_date: Da
     def duplicates(df, key):
         return duplicate_keys(df, [key]).agg(F.count("*").alias("n"))
 
-    latest = F.datediff(day(as_of), F.max("creation_date")) > bounds.max_age_days
     parts = [
-        counted(fq, DQ_003=F.count_if(_any_null("user_id", "date_key")),
-                DQ_005=F.count_if(_bad_date(bounds, as_of)),
-                DQ_011=F.count_if(F.col("score") < bounds.min_score),
-                DQ_012=F.when(latest, 1).otherwise(0)),
-        counted(fa, DQ_004=F.count_if(_any_null("user_id", "question_id", "date_key")),
-                DQ_006=F.count_if(_bad_date(bounds, as_of))),
-        counted(dim_user, DQ_010=F.count_if(_bad_reputation(bounds))),
+        counted(fq, "fact_questions"), counted(fa, "fact_answers"), counted(dim_user, "dim_user"),
         named("DQ-001", duplicates(fq, "question_id")),
         named("DQ-002", duplicates(fa, "answer_id")),
         named("DQ-007", orphan_count(fa, fq, "question_id")),
@@ -180,8 +188,8 @@ def failures_first(report: DataFrame) -> DataFrame:
 
 
 def dq_report(fq: DataFrame, fa: DataFrame, dim_user: DataFrame, dim_date: DataFrame,
-              as_of: Moment = None, bounds: Bounds = Bounds()) -> DataFrame:
-    counts = failing_rows(fq, fa, dim_user, dim_date, as_of, bounds)
+              as_of: Moment = None, bounds: Bounds = Bounds(), counted_before: dict[str, int] | None = None) -> DataFrame:
+    counts = failing_rows(fq, fa, dim_user, dim_date, as_of, bounds, counted_before)
     return failures_first(with_catalogue(counts))
 
 

@@ -63,12 +63,15 @@ def refresh_marts(spark: SparkSession, root: str, as_of: Moment = None,
 
 
 def check_warehouse(spark: SparkSession, root: str, as_of: Moment = None,
-                    settings: Settings = Settings()) -> DataFrame:
-    """Quality report over the stored warehouse; raises if a check fails."""
+                    settings: Settings = Settings(), counted_before: dict[str, int] | None = None) -> DataFrame:
+    """Quality report over the stored warehouse; raises if a check fails.
+
+    ``counted_before`` holds the row checks that were counted while the tables were written.
+    """
     def wh(table):
         return tables.read_layer(spark, root, "warehouse", table)
     report = quality.dq_report(wh("fact_questions"), wh("fact_answers"), wh("dim_user"), wh("dim_date"),
-                               as_of, settings.bounds)
+                               as_of, settings.bounds, counted_before)
     quality.dq_gate(report, settings.tolerated_checks)
     return report
 
@@ -85,6 +88,14 @@ def _rebuild(spark, sources, root, as_of, settings, with_marts, batch_id) -> Non
     def st(layer, table, df):
         return tables.store(df, root, layer, table)
 
+    def checked(table, df):
+        """Stored, with the row checks of the table counted on the way."""
+        out, counts = tables.store_with(df, root, "warehouse", table, quality.row_checks(table, as_of, settings.bounds))
+        found.update(counts)
+        return out
+
+    found: dict[str, int] = {}
+
     def load(feed, source):
         return st("raw", feed.table, ing.ingest(source, feed, as_of, batch_id=batch_id))
 
@@ -95,15 +106,15 @@ def _rebuild(spark, sources, root, as_of, settings, with_marts, batch_id) -> Non
     stg_u = st("staging", "stg_users", staging.clean_users(raw_u, as_of, settings.floor))
     st("warehouse", "dim_date", dimensions.build_dim_date(spark, start=min(str(settings.floor)[:10],
                                                                              dimensions.CALENDAR[0])))
-    st("warehouse", "dim_user", dimensions.build_dim_user(stg_u, as_of))
+    checked("dim_user", dimensions.build_dim_user(stg_u, as_of))
     st("warehouse", "dim_tag", dimensions.build_dim_tag(stg_q, as_of))
     # sums and waiting changes of an earlier state
     for old in (aggregates.LAYER, "changes"):
         tables.delete(spark, tables.table_path(root, old, "").rstrip("/"))
-    fq = st("warehouse", "fact_questions", facts.build_fact_questions(stg_q))
-    fa = st("warehouse", "fact_answers", facts.build_fact_answers(stg_a, stg_q))
+    fq = checked("fact_questions", facts.build_fact_questions(stg_q))
+    fa = checked("fact_answers", facts.build_fact_answers(stg_a, stg_q))
     st("warehouse", "fact_user_activity", facts.build_user_activity(fq, fa))
-    check_warehouse(spark, root, as_of, settings)
+    check_warehouse(spark, root, as_of, settings, found)
     if with_marts:
         refresh_marts(spark, root, as_of, settings)
 

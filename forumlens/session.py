@@ -9,7 +9,7 @@ import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _OPEN: list[list[str]] = []  # paths of relations stored within each open ``scratch`` block
 
@@ -66,6 +66,21 @@ def stored(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def watched(df: DataFrame, metrics: dict[str, Column]) -> tuple[DataFrame, Observation]:
+    """``df`` with aggregates that its next action fills in on the way.
+
+    To be written as it is: above the last shuffle every row is counted once, also where tasks ran again.
+    """
+    seen = Observation()
+    return df.observe(seen, *[m.alias(name) for name, m in metrics.items()]), seen
+
+
+def stored_with(df: DataFrame, **metrics: Column) -> tuple[DataFrame, dict]:
+    """``stored``, and aggregates of the rows that came along with the write."""
+    out, seen = watched(df, metrics)
+    return stored(out), seen.get
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete relations stored inside the block when it ends; for runs that leave nothing lazy behind."""

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.calendar import Moment, as_python_date, ntz
+from ..session import watched
 from . import schemas
 
 # Namespaces of the warehouse and how long raw partitions are kept.
@@ -151,34 +152,44 @@ def partition_value(table: str) -> Column | None:
 
 def write_layer(df: DataFrame, path: str, partition_by: str | None = None,
                 cluster_by: list[str] | None = None, mode: str = "overwrite",
-                dynamic: bool = False) -> str:
+                dynamic: bool = False, metrics: dict[str, Column] | None = None) -> dict:
     """Store ``df`` as Parquet, partitioned and sorted.
 
     Rows are brought together per partition value by a rebalance, which lets the
     adaptive planner cut a large value (the first load is one single day) into
     several tasks and join small ones; a hash repartition would give it one task.
-    ``dynamic`` replaces only the partitions present in ``df``.
+    ``dynamic`` replaces only the partitions present in ``df``. Returned are the values of
+    ``metrics``, aggregates that are computed on the way.
     """
     sort = [c for c in [partition_by, *(cluster_by or [])] if c]
     out = df.hint("rebalance", partition_by) if partition_by else df.hint("rebalance")
     if sort:
         out = out.sortWithinPartitions(*sort)
+    seen = None
+    if metrics:
+        out, seen = watched(out, metrics)
     writer = out.write.mode(mode).option("partitionOverwriteMode", "dynamic" if dynamic else "static")
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
-    return path
+    return seen.get if seen else {}
 
 
 def store(df: DataFrame, root: str, layer: str, table: str, dynamic: bool = False) -> DataFrame:
     """Write a table in its standard layout and return the stored copy."""
+    return store_with(df, root, layer, table, {}, dynamic)[0]
+
+
+def store_with(df: DataFrame, root: str, layer: str, table: str, metrics: dict[str, Column],
+               dynamic: bool = False) -> tuple[DataFrame, dict]:
+    """``store``, and aggregates of the rows that came along with the write."""
     path = table_path(root, layer, table)
     value = partition_value(table)
     part = PARTITIONS[table][0] if table in PARTITIONS else None
     out = df.withColumn(part, value) if part else df
-    write_layer(out, path, part, CLUSTERS.get(table), dynamic=dynamic and part is not None)
+    seen = write_layer(out, path, part, CLUSTERS.get(table), dynamic=dynamic and part is not None, metrics=metrics)
     save_schema(df.sparkSession, path, df.schema)
-    return read_layer(df.sparkSession, root, layer, table, schema=df.schema)
+    return read_layer(df.sparkSession, root, layer, table, schema=df.schema), seen
 
 
 def append(df: DataFrame, root: str, layer: str, table: str) -> None:

@@ -201,3 +201,22 @@ def test_large_partition_is_written_by_several_tasks(spark, root):
     folder = f"{root}/raw/raw_users/load_day=2020-01-01"
     assert len([f for f in os.listdir(folder) if f.endswith(".parquet")]) > 1
     assert tables.read_layer(spark, root, "raw", "raw_users").count() == 200_000
+
+
+def test_counts_arrive_with_the_write(spark, root):
+    """No job of its own counts the rows of a merge, whatever they are; the counts equal those of the merged rows."""
+    from forumlens.session import stored_with
+
+    group = "merge-counts"
+    spark.sparkContext.setJobGroup(group, "counts")
+    try:
+        merged, counts = stored_with(mg.merge_upsert(target(spark), source(spark), RULE, check=False), **mg.action_counts())
+        n = len(spark.sparkContext.statusTracker().getJobIdsForGroup(group))
+        mg.merge_upsert(target(spark), source(spark), RULE, check=False).write.parquet(f"{root}/plain")
+        assert n == len(spark.sparkContext.statusTracker().getJobIdsForGroup(group)) - n
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert counts == {"inserted": 1, "updated": 2}
+    assert counts["updated"] == merged.filter("_action = 'UPDATE'").count()
+    none, counts = stored_with(merged.filter("false"), **mg.action_counts())
+    assert none.count() == 0 and counts == {"inserted": 0, "updated": 0}

@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 from forumlens.plans import quality
 from forumlens.plans.dimensions import build_dim_date
+from forumlens.sources import tables
 
 AS_OF = "2020-06-10"
 FQ = "question_id long, user_id long, date_key long, creation_date date, score long"
@@ -64,3 +65,20 @@ def test_gate_stops_and_names_failures(spark):
     assert stop.value.failed == {"DQ-001": 2}
     quality.dq_gate(report, ignore=("DQ-001",))
     assert report.first()["check_id"] == "DQ-001"
+
+
+def test_row_checks_that_came_with_the_write(spark, root):
+    fq, fa, users, days = clean(spark)
+    d = dt.date(2020, 6, 5)
+    fq = fq.union(spark.createDataFrame([(5, None, 20200605, d, 0), (7, 1, 20200605, dt.date(2021, 1, 1), -1001)], FQ))
+    found, kept = {}, []
+    for name, df in (("fact_questions", fq), ("fact_answers", fa), ("dim_user", users.withColumns({"account_creation_date_date": F.lit(d), "reputation_bucket": F.lit("any")}))):
+        stored, counts = tables.store_with(df, root, "warehouse", name, quality.row_checks(name, AS_OF))
+        found.update(counts)
+        kept.append(stored)
+    assert found == {"DQ-003": 1, "DQ-004": 0, "DQ-005": 1, "DQ-006": 0, "DQ-010": 0, "DQ-011": 1, "DQ-012": 0}
+    again = quality.dq_report(*kept, days, AS_OF, counted_before=found)
+    assert again.collect() == quality.dq_report(*kept, days, AS_OF).collect()
+    # what was counted before is not scanned again: only the five key checks read the facts
+    reads = [line.split("ReadSchema")[1] for line in again._jdf.queryExecution().executedPlan().toString().splitlines() if "ReadSchema" in line]
+    assert reads and not any(c in r for r in reads for c in ("score", "creation_date", "reputation"))
