@@ -119,7 +119,7 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Secrets in all documents; the forest learns from candidates labelled by form."""
     found = secret_scan.described(table(spark, sf_dir, "documents"))
-    return secret_scan.secrets(found, secret_scan.train(secret_scan.labelled_by_form(found)))
+    return secret_scan.secrets(found, secret_scan.train(secret_scan.labelled_by_form(found), features=secret_scan.BY_FORM))
 
 
 @query("op11_diagonal_alignment")

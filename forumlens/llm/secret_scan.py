@@ -1,6 +1,7 @@
 """Secrets in text: candidates by form, false positives removed by a random forest.
 
-Candidates are runs of at least ``SHORTEST`` characters that keys and tokens are made of.
+Candidates are runs of at least ``SHORTEST`` characters that keys and tokens are made of; an
+equals sign ends a name, and belongs to a candidate as its padding only.
 Each is described by its length, its character classes and the transitions between them,
 the share of its letter runs that are words of the corpus (dictionary coverage), words of
 the document's path that mark tests and samples, and the words before and after it. A
@@ -10,10 +11,12 @@ DataFrame functions and Spark's own forest only. Dictionary counts cover the who
 but only words that some candidate contains leave the map side. Training uses a bounded
 sample of findings (``SAMPLE_ROWS``), as many of each label, different candidates only.
 
-Findings may come labelled from a review (``train`` takes any). ``labelled_by_form`` gives
-first labels where there is no review: secrets are random-looking values assigned to a name
-like "token", the opposite are candidates without an assignment that are all letters or all
-digits; whatever is neither stays unlabelled and is left to the forest.
+Findings may come labelled from a review: ``train`` takes any and then uses all features.
+``labelled_by_form`` gives first labels where there is no review: secrets are random-looking
+values assigned to a name like "token", the opposite are candidates without an assignment
+that are all letters or all digits; whatever is neither stays unlabelled and is left to the
+forest. A forest learned from such labels does not see assignment and name (``BY_FORM``), or
+it would only repeat the rule that made them.
 
 Defined results: NULL and empty texts have no findings; repeated rows have equal findings;
 positions are code points, ends exclusive; with findings of one label only, every candidate
@@ -22,6 +25,7 @@ gets that label's probability, with none every candidate has probability 0.
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
@@ -33,12 +37,16 @@ from .common import discard, maybe_in, running_total, stored
 SHORTEST, SAMPLE_ROWS, TREES, DEPTH, SEED = 16, 20_000, 40, 6, 11
 #: Documents a word must occur in to count as a dictionary word.
 KNOWN_FROM = 3
-CANDIDATE = rf"(?<![A-Za-z0-9+/_=-])[A-Za-z0-9+/_=-]{{{SHORTEST},}}+"
+CANDIDATE = rf"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{{{SHORTEST},}}+={{0,2}}(?![A-Za-z0-9+/_-])"
+#: Characters before and after a candidate that its surroundings are taken from, other candidates among them.
+BEFORE, AFTER = 48, 32
 #: Names that secrets are assigned to, and words of paths that mark samples (fixed values).
 NAMES = ("token", "secret", "password", "passwd", "pwd", "key", "apikey", "credential", "auth", "bearer")
 SAMPLES = ("test", "tests", "example", "examples", "sample", "docs", "mock", "fixture", "fixtures")
 FEATURES = ("length", "digits", "upper", "lower", "hex", "marks", "transitions", "distinct", "longest_run", "coverage",
             "quoted", "assigned", "named", "word_before", "word_after", "sample_path")
+#: What a forest sees that learns from ``labelled_by_form``: no feature that made the labels' names.
+BY_FORM = tuple(f for f in FEATURES if f not in ("assigned", "named"))
 
 
 def _count(text: Column, cls: str) -> Column:
@@ -52,10 +60,18 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     found = (rows.withColumns({"gaps": F.split("text", CANDIDATE, -1), "hits": F.regexp_extract_all("text", F.lit(CANDIDATE), F.lit(0))})
              .filter(F.size("hits") > 0)
              .withColumn("ends", running_total(F.zip_with(F.slice("gaps", 1, F.size("hits")), "hits", lambda g, h: F.length(g) + F.length(h))))
-             .select("doc_id", "key", "path", "gaps", F.posexplode(F.arrays_zip("hits", "ends")).alias("i", "c")))
-    return found.select("doc_id", "key", (F.col("c.ends") - F.length("c.hits")).cast("long").alias("start"), F.col("c.ends").cast("long").alias("end"),
-                        F.col("c.hits").alias("candidate"), F.substring(F.get("gaps", F.col("i")), -48, 48).alias("before"),
-                        F.substring(F.get("gaps", F.col("i") + 1), 1, 32).alias("after"), "path")
+             # edges of the gaps are all that surroundings need; candidates between them count as text
+             .withColumns({"left": F.transform("gaps", lambda g: F.substring(g, -BEFORE, BEFORE)), "right": F.transform("gaps", lambda g: F.substring(g, 1, AFTER))})
+             .select("doc_id", "key", "path", "hits", "left", "right", F.posexplode("ends").alias("i", "stop")))
+    i, none = F.col("i"), F.lit("")
+    at = lambda parts, j: F.coalesce(F.get(parts, j), none)
+    # a candidate has SHORTEST characters or more, so three of them fill the space before, two that after
+    before = F.concat(*[x for k in (3, 2, 1) for x in (at("left", i - k), at("hits", i - k))], at("left", i))
+    after = F.concat(at("right", i + 1), *[x for k in (1, 2) for x in (at("hits", i + k), at("right", i + k + 1))])
+    hit = F.get("hits", i)
+    return found.select("doc_id", "key", (F.col("stop") - F.length(hit)).cast("long").alias("start"), F.col("stop").cast("long").alias("end"),
+                        hit.alias("candidate"), F.substring(before, -BEFORE, BEFORE).alias("before"),
+                        F.substring(after, 1, AFTER).alias("after"), "path")
 
 
 def _letter_runs(text: Column) -> Column:
@@ -109,20 +125,17 @@ def labelled_by_form(found: DataFrame) -> DataFrame:
     return found.withColumn("label", F.when(secret, 1.0).when(uniform & (F.col("assigned") == 0), 0.0)).filter("label is not null")
 
 
-def train(findings: DataFrame, sample_rows: int = SAMPLE_ROWS):
-    """A forest fitted on at most ``sample_rows`` labelled findings, half of each label, different candidates only."""
+def train(findings: DataFrame, sample_rows: int = SAMPLE_ROWS, features: tuple[str, ...] = FEATURES):
+    """Assembler and forest fitted on at most ``sample_rows`` labelled findings, half of each label, different candidates only."""
     once = findings.groupBy("candidate", "label").agg(*[F.max(f).alias(f) for f in FEATURES])
     halves = [once.filter(F.col("label") == v).orderBy(F.xxhash64("candidate"), "candidate").limit(sample_rows // 2) for v in (0.0, 1.0)]
     sample = stored(halves[0].unionByName(halves[1]), "secret-findings")
     if sample.select("label").distinct().count() < 2:
         row = sample.first()
         return float(row.label) if row else 0.0
-    return RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=SEED).fit(
-        _assembler().transform(sample.coalesce(1).sortWithinPartitions("label", "candidate")))
-
-
-def _assembler() -> VectorAssembler:
-    return VectorAssembler(inputCols=list(FEATURES), outputCol="features")
+    forest = RandomForestClassifier(labelCol="label", featuresCol="features", numTrees=TREES, maxDepth=DEPTH, seed=SEED)
+    return Pipeline(stages=[VectorAssembler(inputCols=list(features), outputCol="features"), forest]).fit(
+        sample.coalesce(1).sortWithinPartitions("label", "candidate"))
 
 
 def secrets(found: DataFrame, model, least: float = 0.5) -> DataFrame:
@@ -130,6 +143,6 @@ def secrets(found: DataFrame, model, least: float = 0.5) -> DataFrame:
     if isinstance(model, float):
         scored = found.withColumn("probability", F.lit(model))
     else:
-        scored = model.transform(_assembler().transform(found)).withColumn("probability", vector_to_array("probability")[1])
+        scored = model.transform(found).withColumn("probability", vector_to_array("probability")[1])
     return scored.filter(F.col("probability") >= least).select(
         "doc_id", "start", "end", "candidate", F.round("probability", 6).alias("probability"))

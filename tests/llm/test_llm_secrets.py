@@ -3,6 +3,7 @@ import re
 from conftest import SF_DIR, rows
 from forumlens.llm import secret_scan
 from forumlens.llm.queries import QUERIES
+from reviewed_secrets import reviewed
 
 KIND = "doc_id long, text string, source string"
 
@@ -38,3 +39,45 @@ def test_the_main_path_is_native(spark):
     found = secret_scan.described(spark.read.parquet(f"{SF_DIR}/documents.parquet"))
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert not re.search("Python|Pandas|Arrow", plan)
+
+
+def findings(spark, seed, n):
+    """Described candidates of the reviewed texts with their labels; every candidate of interest must be one."""
+    told = reviewed(seed, n)
+    docs = spark.createDataFrame([(i, t, s) for i, (t, _, s, _) in enumerate(told)], KIND)
+    labels = spark.createDataFrame([(i, c, y) for i, (_, c, _, y) in enumerate(told)], "doc_id long, candidate string, label double")
+    found = secret_scan.described(docs).join(labels, ["doc_id", "candidate"])
+    assert found.count() == len(told)
+    return found
+
+
+def test_reviewed_findings_are_told_apart(spark):
+    model = secret_scan.train(findings(spark, 1, 60))
+    test = findings(spark, 2, 40)
+    taken = {(r.doc_id, r.candidate) for r in secret_scan.secrets(test, model).collect()}
+    real = {(r.doc_id, r.candidate) for r in test.filter("label = 1").collect()}
+    assert len(taken & real) / len(real) >= 0.95 and len(taken & real) / len(taken) >= 0.95
+
+
+def test_names_end_at_the_equals_sign_and_long_names_stay_context(spark):
+    value = "0123456789abcdef0123"
+    padded = "QWxhZGRpbjpvcGVuIHNlc2FtZQ=="
+    df = spark.createDataFrame([(1, f"api_token={value}", "x"), (2, f'aws_secret_access_key = "{value}"', "x"),
+                                (3, f"client_secret_of_service={value}&next_parameter_name={value}", "x"), (4, f"auth: {padded}", "x")], KIND)
+    got = {(r.doc_id, r.candidate, r.start): (r.named, r.assigned) for r in secret_scan.described(df).collect()}
+    assert got[(1, value, 10)] == got[(2, value, 25)] == got[(3, value, 25)] == got[(4, padded, 6)] == (1.0, 1.0)
+    assert got[(3, value, 66)] == (0.0, 1.0)
+    around = {(r.doc_id, r.candidate): (r.before, r.after) for r in secret_scan.candidates(df).collect()}
+    assert around[(2, "aws_secret_access_key")] == ("", f' = "{value}"') and around[(2, value)] == ('aws_secret_access_key = "', '"')
+
+
+def test_surroundings_have_their_full_length_among_candidates(spark):
+    text = " ".join(f"candidate{i:07d}" for i in range(50))
+    got = secret_scan.candidates(spark.createDataFrame([(1, text, "x")], KIND)).collect()
+    assert len(got) == 50
+    for r in got:
+        assert r.before == text[max(0, r.start - secret_scan.BEFORE):r.start] and r.after == text[r.end:r.end + secret_scan.AFTER]
+
+
+def test_the_query_learns_without_the_features_that_name_its_labels():
+    assert set(secret_scan.FEATURES) - set(secret_scan.BY_FORM) == {"assigned", "named"}
