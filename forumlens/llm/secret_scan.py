@@ -62,18 +62,27 @@ def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
              .withColumn("ends", running_total(F.zip_with(F.slice("gaps", 1, F.size("hits")), "hits", lambda g, h: F.length(g) + F.length(h))))
              # edges of the gaps are all that surroundings need; candidates between them count as text
              .withColumns({"left": F.transform("gaps", lambda g: F.substring(g, -BEFORE, BEFORE)), "right": F.transform("gaps", lambda g: F.substring(g, 1, AFTER))})
-             .select("doc_id", "key", "path", "hits", "left", "right", F.posexplode("ends").alias("i", "stop")))
-    i, none = F.col("i"), F.lit("")
-    at = lambda parts, j: F.coalesce(F.get(parts, j), none)
-    # a candidate has SHORTEST characters or more, so three of them fill the space before, two that after
-    before = F.concat(*[x for k in (3, 2, 1) for x in (at("left", i - k), at("hits", i - k))], at("left", i))
-    after = F.concat(at("right", i + 1), *[x for k in (1, 2) for x in (at("hits", i + k), at("right", i + k + 1))])
-    hit = F.get("hits", i)
-    return found.select("doc_id", "key", (F.col("stop") - F.length(hit)).cast("long").alias("start"), F.col("stop").cast("long").alias("end"),
-                        hit.alias("candidate"), F.substring(before, -BEFORE, BEFORE).alias("before"),
+             .select("doc_id", "key", "path", F.explode(F.arrays_zip(
+                 "hits", "ends", *[_shifted(side, k).alias(f"{side[0]}{k + 3}") for side, k in _AROUND])).alias("c"))
+             .filter("c.hits is not null"))  # shifted lists are longer
+    at = lambda side, k: F.coalesce(F.col(f"c.{side}{k + 3}"), F.lit(""))
+    before = F.concat(*[at(side[0], k) for side, k in _AROUND if side == "left" or (side == "hits" and k < 0)])
+    after = F.concat(*[at(side[0], k) for side, k in _AROUND if side == "right" or (side == "hits" and k > 0)])
+    return found.select("doc_id", "key", (F.col("c.ends") - F.length("c.hits")).cast("long").alias("start"), F.col("c.ends").cast("long").alias("end"),
+                        F.col("c.hits").alias("candidate"), F.substring(before, -BEFORE, BEFORE).alias("before"),
                         F.substring(after, 1, AFTER).alias("after"), "path")
 
 
+# a candidate has SHORTEST characters or more, so three of them fill the space before, two that after
+_AROUND = [("left", -3), ("hits", -3), ("left", -2), ("hits", -2), ("left", -1), ("hits", -1), ("left", 0),
+           ("right", 1), ("hits", 1), ("right", 2), ("hits", 2), ("right", 3)]
+
+
+def _shifted(parts: str, k: int) -> Column:
+    """A list moved so that its element ``i + k`` stands at ``i``; rows of a long text stay small, as no list travels whole."""
+    return F.slice(parts, k + 1, F.size(parts)) if k > 0 else F.concat(F.array_repeat(F.lit(""), -k), F.col(parts))
+
+
 def _letter_runs(text: Column) -> Column:
     return F.filter(F.split(F.lower(text), "[^a-z]+", -1), lambda w: F.length(w) >= 3)
 
