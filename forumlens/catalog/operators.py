@@ -184,10 +184,9 @@ FROM x_tagged GROUP BY 1""")(
 
 query("count_distinct_approx", """
 SELECT tag_name, count(DISTINCT user_id) AS askers, true AS estimate_is_close FROM x_tagged GROUP BY 1""")(
-    lambda x: rel.explode_tags(x.fact_questions, ["user_id"]).groupBy("tag_name").agg(
-        F.count_distinct("user_id").alias("askers"),
-        (F.abs(F.approx_count_distinct("user_id", 0.02) - F.count_distinct("user_id"))
-         <= F.count_distinct("user_id") * 0.1).alias("estimate_is_close")))
+    lambda x: rel.distinct_and_estimate(rel.explode_tags(x.fact_questions, ["user_id"]), "tag_name", "user_id").select(
+        "tag_name", F.col("n_distinct").alias("askers"),
+        (F.abs(F.col("estimate") - F.col("n_distinct")) <= F.col("n_distinct") * 0.1).alias("estimate_is_close")))
 
 query("count_if", """
 SELECT tag_name, count(*) FILTER (answer_count = 0) AS unanswered, count(*) FILTER (answer_count > 0) AS answered,

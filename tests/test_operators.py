@@ -106,3 +106,13 @@ def test_ntile_of_matches_definition(spark):
         df.createOrReplaceTempView("numbers")
         theirs = spark.sql(f"SELECT id, mine, ntile({tiles}) OVER (ORDER BY id) AS t FROM numbers")
         assert theirs.filter("mine <> t").count() == 0
+
+
+def test_distinct_and_estimate_hold_one_sketch_per_key(spark):
+    """Each sketch counts pairs that were combined before; a sketch per pair would need 3 KB for every user of a tag."""
+    df = spark.createDataFrame([("a", 1), ("a", 1), ("a", 2), ("a", None), ("b", None), (None, 3)], "tag string, user long")
+    got = rel.distinct_and_estimate(df, "tag", "user")
+    assert rows(got) == [(None, 1, 1), ("a", 2, 2), ("b", 0, 0)]
+    steps = got._jdf.queryExecution().sparkPlan().toString().splitlines()
+    by_pair = [s for s in steps if "keys=[tag" in s and "user" in s.split("keys=[")[1].split("]")[0]]
+    assert by_pair and not any("approx_count_distinct" in s for s in by_pair)
