@@ -220,3 +220,15 @@ def test_counts_arrive_with_the_write(spark, root):
     assert counts["updated"] == merged.filter("_action = 'UPDATE'").count()
     none, counts = stored_with(merged.filter("false"), **mg.action_counts())
     assert none.count() == 0 and counts == {"inserted": 0, "updated": 0}
+
+
+def test_versions_without_a_change_are_not_shuffled(spark, root, monkeypatch):
+    """Of an append-only table only rows that may have a partner among the changes reach the join."""
+    seen, known = [], mg.near_keys
+    monkeypatch.setattr(mg, "near_keys", lambda df, key, changes: seen.append((known(df, key, changes).count(), df.count())) or known(df, key, changes))
+    tables.store(raw(spark, [(i, 1, "2020-01-01") for i in range(200)] + [(None, 1, "2020-01-01")]), root, "raw", "raw_answers")
+    versions = MergeRule("id", ("score",), ("score", "_ingested_at"), version_by="_ingested_at")
+    changes = raw(spark, [(5, 2, "2020-01-02"), (6, 1, "2020-01-02"), (900, 1, "2020-01-02"), (None, 3, "2020-01-02")])
+    done = mg.merge_into_table(root, "raw", "raw_answers", changes, versions)
+    assert (done.inserted, done.updated, done.processed) == (2, 1, 4)
+    assert len(seen) == 1 and seen[0][0] <= 4 and seen[0][1] == 201
