@@ -169,3 +169,14 @@ def test_rows_without_a_partner_are_not_shuffled(spark):
     assert "BroadcastHashJoin" in plan
     assert near_keys(table, "k", changes.filter("c is null"), "c").count() == 0
     assert near_keys(table.limit(0), "k", changes, "c").count() == 0
+
+
+def test_changed_rows_are_computed_once_beside_the_window(spark):
+    """The window is held against the keys of the feed, not against the newest rows found once more."""
+    load = "timestamp '2021-01-0{} 00:00:00' AS _staged_at, timestamp '2021-01-01 00:00:00' AS _ingested_at"
+    row = lambda k, v, d: spark.sql(f"SELECT {k}L AS k, {v} AS v, {load.format(d)}, 'UPDATE' AS _action, CAST(NULL AS INT) AS _old")
+    feed = row(1, 10, 1).unionByName(row(1, 11, 2)).unionByName(row(2, 20, 1))
+    window = row(2, 0, 1).unionByName(row(3, 30, 1)).drop("_action", "_old")
+    both = incremental.with_window(incremental.newest_told(feed, "k"), window, "k", feed)
+    assert rows(both.select("k", "v")) == [(1, 11), (2, 20), (3, 30)]
+    assert both._jdf.queryExecution().optimizedPlan().toString().count("Window [") <= 1

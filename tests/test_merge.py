@@ -232,3 +232,20 @@ def test_versions_without_a_change_are_not_shuffled(spark, root, monkeypatch):
     done = mg.merge_into_table(root, "raw", "raw_answers", changes, versions)
     assert (done.inserted, done.updated, done.processed) == (2, 1, 4)
     assert len(seen) == 1 and seen[0][0] <= 4 and seen[0][1] == 201
+
+
+def test_rewritten_files_are_joined_once_for_the_feed_and_the_table(spark, root, monkeypatch):
+    """What is told and what is written come from one join of the rewritten rows with the changes."""
+    day = "2020-01-01"
+    tables.store(raw(spark, [(i, 1, day) for i in range(20)] + [(3, 1, day), (None, 1, day)]), root, "raw", "raw_answers")
+    changes = raw(spark, [(3, 2, day), (4, 1, day), (900, 1, day), (None, 3, day)])
+    frame, how = type(changes), []
+    known = frame.join
+    monkeypatch.setattr(frame, "join", lambda df, other, on=None, kind=None: how.append(kind) or known(df, other, on, kind))
+    done = mg.merge_into_table(root, "raw", "raw_answers", changes, MergeRule("id", ("score",), ("score",)), feed=f"{root}/feed")
+    assert how.count("full_outer") + how.count("left_outer") == 1
+    assert (done.inserted, done.updated, done.processed) == (2, 2, 4)
+    now = rows(tables.read_layer(spark, root, "raw", "raw_answers", ["id", "score"]))
+    assert now == [(None, 1), (None, 3), *sorted([(i, 2 if i == 3 else 1) for i in range(20)] + [(3, 2), (900, 1)])]
+    told = rows(spark.read.parquet(f"{root}/feed").selectExpr("_action", "id", "score", "_old.score AS was"))
+    assert told == [("INSERT", None, 3, None), ("INSERT", 900, 1, None), ("UPDATE", 3, 2, 1), ("UPDATE", 3, 2, 1)]
